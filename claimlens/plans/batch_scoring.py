@@ -62,6 +62,7 @@ class ScoringTables:
     scores: str = "scores_reclamaciones"
     stage: str = "scoring_stage"
     runs: str = "scoring_runs"
+    location: str | None = None
 
 
 @dataclass(frozen=True)
@@ -94,7 +95,7 @@ def audit_row(
 
 def record_run(row: DataFrame, tables: ScoringTables) -> None:
     """Insert or replace the audit row of a run: a run owns its partition of the audit table."""
-    replace_partitions(row, tables.runs, ["id_ejecucion"])
+    replace_partitions(row, tables.runs, ["id_ejecucion"], tables.location)
 
 
 def publish(staged: DataFrame, tables: ScoringTables, run_id: str) -> int:
@@ -104,7 +105,7 @@ def publish(staged: DataFrame, tables: ScoringTables, run_id: str) -> int:
     """
     spark = staged.sparkSession
     target = table_or_empty(spark, tables.scores, SCORE_SCHEMA).filter(F.col("id_ejecucion") == run_id)
-    append(new_rows(staged, target, [C.KEY, "id_ejecucion"]), tables.scores, ["version_modelo", "id_ejecucion"])
+    append(new_rows(staged, target, [C.KEY, "id_ejecucion"]), tables.scores, ["version_modelo", "id_ejecucion"], tables.location)
     return spark.table(tables.scores).filter(F.col("id_ejecucion") == run_id).count()
 
 
@@ -143,19 +144,19 @@ def score_batch(
         prepared = scoring_frame(incoming)
         check_features([f for f in C.FEATURES if f in prepared.columns])
         rows = score_rows(scorer(prepared), model_version, run_id, start, limits, mode)
-        replace_partitions(rows, tables.stage, ["id_ejecucion"])
+        replace_partitions(rows, tables.stage, ["id_ejecucion"], tables.location)
         staged = spark.table(tables.stage).filter(F.col("id_ejecucion") == run_id).select(*rows.columns)
         expected = staged.count()
         published = publish(staged, tables, run_id)
         if expected != received or published != expected:
             raise ValueError(f"publication incomplete: received={received}, staged={expected}, published={published}")
         record_run(audit_row(spark, run_id, start, model_version, received, published, "SUCCESS", None, mode), tables)
-        drop_partition(spark, tables.stage, "id_ejecucion", run_id)
-        return RunResult(run_id, "SUCCESS", received, published)
     except Exception as error:
         message = str(error).splitlines()[0][:500] if str(error) else type(error).__name__
         record_run(audit_row(spark, run_id, start, model_version, received, published, "FAILED", message, mode), tables)
         raise
+    drop_partition(spark, tables.stage, "id_ejecucion", run_id)
+    return RunResult(run_id, "SUCCESS", received, published)
 
 
 def quality_report(source: DataFrame) -> DataFrame:

@@ -35,7 +35,17 @@ def create_schema(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
 
 
-def append(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
+def _create(df: DataFrame, name: str, partition_by: list[str] | None, location: str | None) -> None:
+    """First write of a table, in the warehouse or below a given folder."""
+    writer = df.write.format("parquet").mode("append")
+    if location:
+        writer = writer.option("path", f"{location.rstrip('/')}/{name.split('.')[-1]}")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(name)
+
+
+def append(df: DataFrame, name: str, partition_by: list[str] | None = None, location: str | None = None) -> None:
     """Append in the column order of the target; creates the table on first use.
 
     No count is taken first: an append without rows adds no data.
@@ -44,10 +54,7 @@ def append(df: DataFrame, name: str, partition_by: list[str] | None = None) -> N
     if spark.catalog.tableExists(name):
         df.select(*spark.table(name).columns).write.insertInto(name)
         return
-    writer = df.write.format("parquet").mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    _create(df, name, partition_by, location)
 
 
 def overwrite(df: DataFrame, name: str) -> None:
@@ -55,11 +62,11 @@ def overwrite(df: DataFrame, name: str) -> None:
     df.write.format("parquet").mode("overwrite").option("partitionOverwriteMode", "static").saveAsTable(name)
 
 
-def replace_partitions(df: DataFrame, name: str, partition_by: list[str]) -> None:
+def replace_partitions(df: DataFrame, name: str, partition_by: list[str], location: str | None = None) -> None:
     """Replace exactly those partitions that ``df`` has rows for; others are not read or written."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
-        df.write.format("parquet").partitionBy(*partition_by).saveAsTable(name)
+        _create(df, name, partition_by, location)
         return
     (
         df.select(*spark.table(name).columns)
@@ -69,8 +76,15 @@ def replace_partitions(df: DataFrame, name: str, partition_by: list[str]) -> Non
 
 
 def drop_partition(spark: SparkSession, name: str, column: str, value: str) -> None:
-    """Remove one partition of a table and verify that none of its rows is left."""
+    """Remove one partition of a table and verify that none of its rows is left.
+
+    The empty overwrite removes the data files of tables with a folder of their own, too, which
+    dropping the partition alone would leave behind.
+    """
     quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+    others = T.StructType([f for f in spark.table(name).schema.fields if f.name != column])
+    nothing = spark.createDataFrame([], others)
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({column} = '{quoted}') SELECT * FROM {{nothing}}", nothing=nothing)
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = '{quoted}')")
     if not spark.table(name).filter(F.col(column) == value).isEmpty():
         raise ValueError(f"partition {column}={value} of {name} still has rows")
