@@ -75,3 +75,11 @@ def version_number(version: Column) -> Column:
 def short_hash_key(key: Column, prefix: str) -> Column:
     """Prefix and the first 24 hexadecimal digits of SHA-256."""
     return F.concat(F.lit(prefix), F.substring(F.sha2(key, 256), 1, 24))
+
+
+def row_hash(columns: list[str], salt: str = "") -> Column:
+    """A 64-bit digest of several columns; the place of a null counts, as its flag goes in too."""
+    parts = [F.lit(salt)]
+    for c in columns:
+        parts += [F.isnull(c), F.col(c)]
+    return F.xxhash64(*parts)

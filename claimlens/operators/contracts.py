@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimlens import config as C
 from claimlens.functions.features import as_date
+from claimlens.functions.scoring import row_hash
 
 
 def check_input_columns(df: DataFrame, required: list[str] = C.REQUIRED_COLUMNS, forbidden: list[str] = C.FORBIDDEN_COLUMNS) -> None:
@@ -31,12 +32,6 @@ def check_features(found: list[str], approved: list[str] = C.FEATURES) -> None:
         raise ValueError("features are not in the approved order")
 
 
-def payload_hash(df: DataFrame, columns: list[str], key: str = C.KEY) -> DataFrame:
-    """The key with a digest of the other columns (null and empty text differ)."""
-    parts = F.to_json(F.struct(*[c for c in columns if c != key]), {"ignoreNullFields": "false"})
-    return df.withColumn("_payload", F.sha2(parts, 256))
-
-
 def quarantine(df: DataFrame, columns: list[str] = C.REQUIRED_COLUMNS, key: str = C.KEY) -> DataFrame:
     """All rows with a ``reason_code``: SUCCESS, or why the row may not be scored.
 
@@ -44,8 +39,8 @@ def quarantine(df: DataFrame, columns: list[str] = C.REQUIRED_COLUMNS, key: str
     with different payloads. INVALID_VALUES: entry age, terms or reserve below zero, or no loss
     date. The first reason wins.
 
-    Conflicting keys come from an aggregation that is combined map-side (smallest and largest
-    digest per key), and are joined back; they are never gathered as groups.
+    Conflicting keys come from an aggregation that is combined map-side (smallest and largest of
+    two independent 64-bit digests per key), and are joined back; they are never gathered as groups.
     """
     dates = [c for c in C.SCORING_DATES if c in columns and c in df.columns]
     unreadable = F.lit(False)
@@ -55,11 +50,12 @@ def quarantine(df: DataFrame, columns: list[str] = C.REQUIRED_COLUMNS, key: str
     bad_values = F.col("FSINIESTRO").isNull()
     for c in ["edad_ingreso_asegurado", "vigencia_poliza", "vigencia_certificado", "Sum_Valor_Reservas_Inicial"]:
         bad_values = bad_values | (F.col(c).try_cast("double") < 0)
-    hashed = payload_hash(df, columns, key)
+    payload = [c for c in columns if c != key]
     conflicts = (
-        hashed.groupBy(key)
-        .agg(F.min("_payload").alias("_a"), F.max("_payload").alias("_b"))
-        .filter("_a <> _b")
+        df.select(key, row_hash(payload).alias("_p"), row_hash(payload, "2").alias("_q"))
+        .groupBy(key)
+        .agg(F.min("_p").alias("_p0"), F.max("_p").alias("_p1"), F.min("_q").alias("_q0"), F.max("_q").alias("_q1"))
+        .filter("_p0 <> _p1 or _q0 <> _q1")
         .select(key, F.lit(True).alias("_conflict"))
     )
     return (

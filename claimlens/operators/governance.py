@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimlens import config as C
+from claimlens.functions.scoring import row_hash
 
 EVENT_SCHEMA = (
     "event_id string, event_timestamp timestamp, model_name string, action string, previous_version string, "
@@ -95,7 +96,7 @@ def content_fingerprint(df: DataFrame) -> DataFrame:
     """
     return df.agg(
         F.count("*").alias("filas"),
-        F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0)).alias("huella"),
+        F.coalesce(F.sum(row_hash(df.columns).cast("decimal(20,0)")), F.lit(0)).alias("huella"),
     )
 
 
@@ -238,57 +239,111 @@ def promotion_decisions(pairs: DataFrame, allow_exception: bool = True) -> DataF
     )
 
 
-def _alias_versions(events: DataFrame, model_name: str) -> dict[str, str]:
-    """Aliases of one model: a handful of rows."""
-    state = alias_state(events.filter(F.col("model_name") == model_name))
-    return {r["model_alias"]: r["version"] for r in state.collect()}
+def _events(rows: DataFrame, at: datetime, by: str, meta: dict, moves: list[tuple]) -> DataFrame:
+    """Event rows from (suffix, action, old, new, alias, status, reason) per input row.
+
+    ``rows`` needs ``model_name`` and ``_stem``; all moves of a row come out together.
+    """
 
+    def column(value) -> Column:
+        return value if isinstance(value, Column) else F.lit(value).cast("string")
 
-def _event(model: str, event_id: str, at: datetime, action: str, old: str | None, new: str, alias: str, status: str, by: str, reason: str, meta: dict):
-    return (event_id, at, model, action, old, new, alias, status, by, reason, json.dumps(meta))
+    made = F.array(
+        *[
+            F.struct(
+                F.concat(F.col("_stem"), F.lit(suffix)).alias("event_id"),
+                column(action).alias("action"),
+                column(old).alias("previous_version"),
+                column(new).alias("target_version"),
+                column(alias).alias("model_alias"),
+                column(status).alias("validation_status"),
+                column(reason).alias("reason"),
+            )
+            for suffix, action, old, new, alias, status, reason in moves
+        ]
+    )
+    return rows.select("model_name", F.inline(made)).select(
+        "event_id",
+        F.lit(at).cast("timestamp").alias("event_timestamp"),
+        "model_name",
+        "action",
+        "previous_version",
+        "target_version",
+        "model_alias",
+        "validation_status",
+        F.lit(by).alias("approved_by"),
+        "reason",
+        F.lit(json.dumps(meta)).alias("metadata_json"),
+    )
+
+
+def promotion_events(decided: DataFrame, at: datetime, approved_by: str, ticket: str) -> DataFrame:
+    """The events of all allowed promotions, to be appended to the log in one write.
+
+    ``decided`` comes from ``promotion_decisions``; only its PROMOTE rows give events. One event
+    keeps the champion as PreviousChampion, one moves Champion to the candidate. They are written
+    together, so a reader sees both or none and there is nothing to put back.
+    """
+    old, new, status = F.col("champion_version"), F.col("candidate_version"), F.col("decision")
+    rows = decided.filter(F.col("resultado") == "PROMOTE").withColumn(
+        "_stem", F.concat(F.lit("PROMOTE-"), "model_name", F.lit("-v"), old, F.lit("-to-v"), new, F.lit(f"-{ticket}"))
+    )
+    meta = {"approval_ticket": ticket, "rollback_alias": PREVIOUS, "candidate_alias": CANDIDATE}
+    return _events(
+        rows, at, approved_by, meta,
+        [
+            ("-keep", "KEEP_PREVIOUS", None, old, PREVIOUS, status, "recovery point"),
+            ("", "PROMOTE", old, new, CHAMPION, status, "controlled promotion"),
+        ],
+    )
 
 
-def promotion_events(
+def rollback_events(events: DataFrame, at: datetime, approved_by: str, ticket: str) -> DataFrame:
+    """The events that move Champion back to PreviousChampion and keep the withdrawn version.
+
+    Models without a recovery point, or already on it, give none.
+    """
+    state = alias_state(events)
+    pairs = state.groupBy("model_name").agg(
+        F.max(F.when(F.col("model_alias") == CHAMPION, F.col("version"))).alias("_now"),
+        F.max(F.when(F.col("model_alias") == PREVIOUS, F.col("version"))).alias("_back"),
+    )
+    now, back = F.col("_now"), F.col("_back")
+    rows = pairs.filter(now != back).withColumn(
+        "_stem", F.concat(F.lit("ROLLBACK-"), "model_name", F.lit("-v"), now, F.lit("-to-v"), back, F.lit(f"-{ticket}"))
+    )
+    meta = {"rollback_ticket": ticket, "rolled_back_alias": ROLLED_BACK, "recovery_alias": PREVIOUS}
+    return _events(
+        rows, at, approved_by, meta,
+        [
+            ("-keep", "KEEP_WITHDRAWN", None, now, ROLLED_BACK, "RESTORED", "kept for analysis"),
+            ("", "ROLLBACK", now, back, CHAMPION, "RESTORED", "controlled rollback"),
+        ],
+    )
+
+
+def promote(
     events: DataFrame, model_name: str, decision: str | None, at: datetime, approved_by: str, ticket: str, allow_exception: bool = False
-) -> DataFrame | None:
-    """The events of a promotion, to be appended in one write, or None when nothing changes.
+) -> DataFrame:
+    """The events that promote the candidate of one model; none if it is champion already.
 
-    One event keeps the champion as PreviousChampion, one moves Champion to the candidate. They
-    are written together, so a reader sees both or none and there is nothing to put back.
+    A failed, missing or unknown decision, or an exception nobody approved, is an error.
     """
-    now = _alias_versions(events, model_name)
+    state = alias_state(events.filter(F.col("model_name") == model_name))
+    now = {r["model_alias"]: r["version"] for r in state.collect()}  # one row per alias
     if CANDIDATE not in now or CHAMPION not in now:
         raise ValueError(f"{model_name} needs a champion and a candidate, found {sorted(now)}")
-    old, new = now[CHAMPION], now[CANDIDATE]
-    if old == new:
-        return None
-    if decision == "FAIL":
-        raise ValueError("promotion blocked: a gate failed")
-    if decision == "PASS_WITH_EXCEPTION" and not allow_exception:
-        raise ValueError("promotion blocked: the exception was not approved")
-    if decision not in ("PASS", "PASS_WITH_EXCEPTION"):
-        raise ValueError(f"promotion blocked: unknown validation status {decision}")
-    stem = f"PROMOTE-v{old}-to-v{new}-{ticket}"
-    meta = {"approval_ticket": ticket, "rollback_alias": PREVIOUS, "candidate_alias": CANDIDATE}
-    rows = [
-        _event(model_name, f"{stem}-keep", at, "KEEP_PREVIOUS", None, old, PREVIOUS, decision, approved_by, "recovery point", meta),
-        _event(model_name, stem, at, "PROMOTE", old, new, CHAMPION, decision, approved_by, "controlled promotion", meta),
-    ]
-    return events.sparkSession.createDataFrame(rows, EVENT_SCHEMA)
-
-
-def rollback_events(events: DataFrame, model_name: str, at: datetime, approved_by: str, ticket: str) -> DataFrame | None:
-    """The events that move Champion back to PreviousChampion and keep the withdrawn version."""
-    now = _alias_versions(events, model_name)
-    if PREVIOUS not in now or CHAMPION not in now:
-        raise ValueError(f"{model_name} has no version to go back to, found {sorted(now)}")
-    current, target = now[CHAMPION], now[PREVIOUS]
-    if current == target:
-        return None
-    stem = f"ROLLBACK-v{current}-to-v{target}-{ticket}"
-    meta = {"rollback_ticket": ticket, "rolled_back_alias": ROLLED_BACK, "recovery_alias": PREVIOUS}
-    rows = [
-        _event(model_name, f"{stem}-keep", at, "KEEP_WITHDRAWN", None, current, ROLLED_BACK, "RESTORED", approved_by, "kept for analysis", meta),
-        _event(model_name, stem, at, "ROLLBACK", current, target, CHAMPION, "RESTORED", approved_by, "controlled rollback", meta),
-    ]
-    return events.sparkSession.createDataFrame(rows, EVENT_SCHEMA)
+    row = [(model_name, now[CHAMPION], now[CANDIDATE], decision)]
+    pair = events.sparkSession.createDataFrame(row, "model_name string, champion_version string, candidate_version string, decision string")
+    decided = promotion_decisions(pair, allow_exception)
+    if decided.first()["resultado"] == "BLOCKED":
+        raise ValueError(f"promotion of {model_name} blocked by validation status {decision}")
+    return promotion_events(decided, at, approved_by, ticket)
+
+
+def roll_back(events: DataFrame, model_name: str, at: datetime, approved_by: str, ticket: str) -> DataFrame:
+    """The events that restore the previous champion of one model; none if it is restored already."""
+    own = events.filter(F.col("model_name") == model_name)
+    if own.filter(F.col("model_alias") == PREVIOUS).isEmpty():
+        raise ValueError(f"{model_name} has no version to go back to")
+    return rollback_events(own, at, approved_by, ticket)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel, Transformer
@@ -17,6 +18,9 @@ from claimlens.functions.scoring import probability_of_one
 from claimlens.operators.reports import equivalence_summary, require_equivalent, score_difference
 
 
+ROWS_PER_PARTITION = 1_000_000
+
+
 def classifiers(seed: int = C.SEED) -> dict[str, object]:
     """The three competing classifiers, with their fixed settings."""
     common = {"featuresCol": "features", "labelCol": "label"}
@@ -40,10 +44,10 @@ def fit_preparation(train: DataFrame, features: list[str] = C.FEATURES) -> list[
 def training_rows(df: DataFrame, features: list[str] = C.FEATURES, key: str = C.KEY, partitions: int | None = None) -> DataFrame:
     """Key, label and double features, placed by key so that tree sampling is repeatable.
 
-    Bagging depends on the order of rows within each partition: a fixed number of key-hashed
-    partitions, each sorted, gives the same trees on every run and cluster size.
+    Bagging depends on the order of rows within each partition: a number of key-hashed partitions
+    that follows from the row count, each sorted, gives the same trees on every run.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_PER_PARTITION))
     doubles = [F.col(f).cast("double").alias(f) for f in features]
     return df.select(key, "label", *doubles).repartition(n, key).sortWithinPartitions(key)
 
@@ -115,8 +119,6 @@ def contract_sample(df: DataFrame, features: list[str] = C.FEATURES, n: int = 10
 
 def input_signature(features: list[str] = C.FEATURES) -> str:
     """The input contract of a saved model as JSON text."""
-    import json
-
     return json.dumps({"inputs": [{"name": f, "type": "double"} for f in features], "outputs": [{"name": "prediction", "type": "double"}]})
 
 

@@ -167,11 +167,11 @@ def event_value_drift(spark, folder):
 SHIFT_SQL = f"""{O.ORDER_SCORES},
 share AS (SELECT least(1e2, 1e2 * avg(CASE WHEN score_fraude >= {O.HIGH} THEN 1e0 ELSE 0e0 END) * 14e-1) AS goal, count(*) AS n FROM order_scores),
 cut AS (
-  SELECT score_fraude AS at FROM (SELECT score_fraude, row_number() OVER (ORDER BY score_fraude) AS rn FROM order_scores) AS o, share
+  SELECT score_fraude AS cutoff FROM (SELECT score_fraude, row_number() OVER (ORDER BY score_fraude) AS rn FROM order_scores) AS o, share
   WHERE rn = greatest(1, CAST(ceil(round((1e0 - goal / 1e2) * n, 9)) AS BIGINT))
 ),
-shift AS (SELECT greatest(0e0, {O.HIGH} - at + 1e-6) AS by FROM cut),
-moved AS (SELECT id_reclamacion, least(1e0, score_fraude + by) AS s FROM order_scores, shift)"""
+shift AS (SELECT greatest(0e0, {O.HIGH} - cutoff + 1e-6) AS delta FROM cut),
+moved AS (SELECT id_reclamacion, least(1e0, score_fraude + delta) AS s FROM order_scores, shift)"""
 
 
 @query(
@@ -212,10 +212,48 @@ def cohort_scenario_hashed(spark, folder):
     return D.cohort_scenario(formula_period_features(spark, folder), D.hash_bucket())
 
 
-@query("stress_test_drift", "F6 J6 J9 J10 J11")
+STRESS_SQL = f"""{PERIOD_FEATURES},
+base AS (SELECT id_reclamacion, score_formula AS score_fraude FROM claims WHERE lote = (
+  SELECT lote FROM claims WHERE lote < 2 GROUP BY lote ORDER BY count(*) DESC, lote LIMIT 1)),
+share AS (SELECT least(1e2, 1e2 * avg(CASE WHEN score_fraude >= {O.HIGH} THEN 1e0 ELSE 0e0 END) * 14e-1) AS goal, count(*) AS n FROM base),
+cut AS (
+  SELECT score_fraude AS cutoff FROM (SELECT score_fraude, row_number() OVER (ORDER BY score_fraude) AS rn FROM base) AS o, share
+  WHERE rn = greatest(1, CAST(ceil(round((1e0 - goal / 1e2) * n, 9)) AS BIGINT))
+),
+shift AS (SELECT greatest(0e0, {O.HIGH} - cutoff + 1e-6) AS delta FROM cut),
+own AS (SELECT pf.*, CAST('0x' || substr(sha256(pf.id_reclamacion), 1, 8) AS BIGINT) % 100 AS b FROM pf JOIN base ON base.id_reclamacion = pf.id_reclamacion),
+scenario AS (
+  SELECT edad_actual_asegurado, vigencia_poliza, CASE WHEN b < 60 THEN reserva_inicial * 18e-1 ELSE reserva_inicial END AS reserva_inicial,
+         CASE WHEN b < 50 THEN dias_siniestro_a_notificacion + 10 ELSE dias_siniestro_a_notificacion END AS dias_siniestro_a_notificacion,
+         CASE WHEN b < 30 THEN 'CANAL_DIGITAL_SIMULADO' ELSE canal_comercial END AS canal_comercial, regional FROM own
+),
+both_periods AS (
+  SELECT true AS ref, edad_actual_asegurado, vigencia_poliza, reserva_inicial, dias_siniestro_a_notificacion, canal_comercial, regional, log_reserva_inicial FROM own
+  UNION ALL SELECT false, *, ln(1e0 + CASE WHEN reserva_inicial > 0 THEN reserva_inicial ELSE 0e0 END) FROM scenario
+),
+vals AS (
+  {" UNION ALL ".join(f"SELECT '{c}' AS name, ref, {c} AS x FROM both_periods WHERE {c} IS NOT NULL" for c in C.DRIFT_NUMERIC)}
+  UNION ALL SELECT 'score_fraude', true, score_fraude FROM base
+  UNION ALL SELECT 'score_fraude', false, least(1e0, score_fraude + delta) FROM base, shift
+),
+cats AS ({" UNION ALL ".join(f"SELECT '{c}' AS name, ref, coalesce({c}, '__NULL__') AS cat FROM both_periods" for c in C.DRIFT_CATEGORICAL)}),
+{NUMERIC_SQL.strip()},
+{CATEGORY_SQL.strip()},
+drift AS (
+  SELECT feature_name, CASE WHEN feature_name = 'score_fraude' THEN 'PREDICTION' ELSE 'NUMERIC' END AS feature_type, psi, ks_statistic, ks_pvalue FROM numeric_result
+  UNION ALL SELECT feature_name, 'CATEGORICAL', psi, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE) FROM category_result
+)"""
+
+
+@query(
+    "stress_test_drift",
+    "F6 J6 J9 J10 J11",
+    O.with_(STRESS_SQL) + f"SELECT feature_name, feature_type, round(psi, 6) AS psi, round(ks_statistic, 6) AS ks_statistic, round(ks_pvalue, 6) AS ks_pvalue, {STATUS_SQL} AS drift_status FROM drift",
+)
 def stress_test_drift(spark, folder):
     """The baseline execution against its shifted copy: the whole monitoring flow."""
-    return MO.stress_test(A.published_scores(spark, folder), A.scoring_input(spark, folder)).drift
+    result = MO.stress_test(A.published_scores(spark, folder), A.scoring_input(spark, folder), bucket=D.sha_bucket())
+    return six(result.drift, "psi", "ks_statistic", "ks_pvalue")
 
 
 # --- models ----------------------------------------------------------------------------------------------
@@ -236,7 +274,11 @@ def trained_model_lift(spark, folder):
     return TR.train(training_input(spark, folder), names=["random_forest"]).lift
 
 
-@query("saved_model_equivalence", "H10 D11 B21 B31")
+@query(
+    "saved_model_equivalence",
+    "H10 D11 B21 B31",
+    "SELECT count(*) - CAST(floor(count(*) * 75e-2) AS BIGINT) AS registros_comparados, CAST(0 AS BIGINT) AS predicciones_diferentes, 0e0 AS max_diferencia_score FROM orders",
+)
 def saved_model_equivalence(spark, folder):
     """Fit, save, load, and compare both models on all test claims by business key."""
     tagged = TR.split_frame(training_input(spark, folder))
@@ -684,6 +726,10 @@ CASE WHEN p.champion_version = p.candidate_version THEN 'NO_CHANGE' WHEN decisio
 FROM pairs AS p JOIN decisions AS d ON p.model_name = d.model_name AND p.candidate_version = d.candidate_version""",
 )
 def promotion_decisions(spark, folder):
+    return decided_pairs(spark, folder)
+
+
+def decided_pairs(spark, folder) -> DataFrame:
     pairs = candidate_pairs(spark, folder).select("model_name", "champion_version", "candidate_version")
     decided = G.gate_decision(candidate_gates(spark, folder)).select("model_name", "candidate_version", "decision")
     return G.promotion_decisions(pairs.join(decided, ["model_name", "candidate_version"])).select(
@@ -707,23 +753,44 @@ def champion_metric_comparison(spark, folder):
     return six(out, "delta")
 
 
-@query("promotion_and_rollback", "K9 K10 K11")
-def promotion_and_rollback(spark, folder):
-    """Promote and roll back the model of the flagship table; the log with both, then its state."""
-    facts = G.content_fingerprint(scan(spark, "orders", folder)).withColumn("filas", F.col("filas").cast("string"))
-    at = [datetime(2026, 1, d) for d in (1, 2, 3)]
+CYCLE = f"""{PAIRS},
+promoted AS (
+  SELECT p.model_name, p.champion_version, p.candidate_version FROM pairs AS p
+  JOIN decisions AS d ON p.model_name = d.model_name AND p.candidate_version = d.candidate_version
+  WHERE p.champion_version <> p.candidate_version AND d.decision <> 'FAIL'
+)"""
 
-    def start(event, action, version, alias):
-        return facts.select(
-            F.lit(event).alias("event_id"), F.lit(at[0]).cast("timestamp").alias("event_timestamp"), F.lit(C.DEFAULT_MODEL).alias("model_name"),
-            F.lit(action).alias("action"), F.lit(None).cast("string").alias("previous_version"), F.lit(version).alias("target_version"),
-            F.lit(alias).alias("model_alias"), F.lit("APPROVED").alias("validation_status"), F.current_user().alias("approved_by"),
-            F.concat(F.lit("datos: "), F.col("filas")).alias("reason"), F.lit(None).cast("string").alias("metadata_json"),
-        )
 
-    events = start("baseline-v1", "BASELINE_SNAPSHOT", "1", G.CHAMPION).unionByName(start("candidate-v2", "REGISTER", "2", G.CANDIDATE))
-    promoted = events.unionByName(G.promotion_events(events, C.DEFAULT_MODEL, "PASS", at[1], "aprobador", "T-1"))
-    restored = promoted.unionByName(G.rollback_events(promoted, C.DEFAULT_MODEL, at[2], "aprobador", "T-2"))
-    state = G.alias_state(restored)
-    G.check_aliases(state, {G.CHAMPION: "1", G.CANDIDATE: "2", G.ROLLED_BACK: "2", G.PREVIOUS: "1"}, C.DEFAULT_MODEL)
-    return state.select("model_name", "model_alias", "version", "event_id")
+@query(
+    "models_after_promotion",
+    "K9 K1",
+    O.with_(CYCLE)
+    + """SELECT a.model_name, a.model_alias, CASE WHEN a.model_alias = 'Champion' THEN coalesce(p.candidate_version, a.version) ELSE a.version END AS version
+FROM alias_state AS a LEFT JOIN promoted AS p ON a.model_name = p.model_name
+UNION ALL SELECT model_name, 'PreviousChampion', champion_version FROM promoted""",
+)
+def models_after_promotion(spark, folder):
+    """Alias state of all models once every candidate that may be promoted is promoted."""
+    log = A.model_events(spark, folder)
+    events = G.promotion_events(decided_pairs(spark, folder), datetime(2026, 1, 2), "aprobador", "T-1")
+    return G.alias_state(log.unionByName(events)).select("model_name", "model_alias", "version")
+
+
+@query(
+    "models_after_rollback",
+    "K10 K11 K12",
+    O.with_(CYCLE)
+    + """SELECT a.model_name, a.model_alias, CASE WHEN a.model_alias = 'RolledBack' THEN coalesce(p.candidate_version, a.version) ELSE a.version END AS version
+FROM alias_state AS a LEFT JOIN promoted AS p ON a.model_name = p.model_name
+UNION ALL SELECT model_name, 'PreviousChampion', champion_version FROM promoted
+UNION ALL SELECT model_name, 'RolledBack', candidate_version FROM promoted
+WHERE model_name NOT IN (SELECT model_name FROM alias_state WHERE model_alias = 'RolledBack')""",
+)
+def models_after_rollback(spark, folder):
+    """... and then rolled back: champions are as before, withdrawn versions are kept."""
+    log = A.model_events(spark, folder)
+    events = G.promotion_events(decided_pairs(spark, folder), datetime(2026, 1, 2), "aprobador", "T-1")
+    # The log with the promotions is stored: the rollback reads it and is appended to it.
+    promoted = write_and_read(log.unionByName(events), run_folder(spark, "events"))
+    undone = G.rollback_events(promoted, datetime(2026, 1, 3), "aprobador", "T-2")
+    return G.alias_state(promoted.unionByName(undone)).select("model_name", "model_alias", "version")
