@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from claimlens import config as C
 from claimlens.functions.features import log_reserve, strict_double
-from claimlens.operators.ranking import INF, bucket_splits, in_buckets, long_values, sample_quantiles, with_buckets
+from claimlens.operators.ranking import INF, bucket_splits, in_buckets, long_values, plain_double, sample_quantiles
 
 RESULT = "feature_name string, feature_type string, psi double, ks_statistic double, ks_pvalue double, n_ref long, n_cur long"
 
@@ -73,8 +73,7 @@ def numeric_drift(
     no value at all.
     """
     spark = df.sparkSession
-    clean = [F.nanvl(F.col(n).cast("double"), F.lit(None)).alias(n) for n in names]
-    narrow = df.select(is_reference.alias("ref"), *clean)
+    narrow = df.select(is_reference.alias("ref"), *[plain_double(F.col(n)).alias(n) for n in names])
     splits = bucket_splits(narrow, names)
     values = long_values(narrow, splits, keep=["ref"])
     finite = F.abs("value") < INF
@@ -108,8 +107,8 @@ def numeric_drift(
                 fact["at"].update({k: r["low"] for k in here})
                 continue
             # The largest distance that any order of this bucket's values could reach.
-            reach = max(ref_end[i] / n - cur_0 / m, cur_end[i] / m - ref_0 / n) if n and m else 0.0
-            if here or reach > fact["ks"]:
+            more = n and m and max(ref_end[i] / n - cur_0 / m, cur_end[i] / m - ref_0 / n) > fact["ks"]
+            if here or more:
                 wanted.setdefault(name, set()).add(r["bucket"])
                 offsets.append((name, r["bucket"], ref_0, cur_0, fin_0, n, m, here))
 
@@ -149,7 +148,7 @@ def numeric_drift(
     for name, fact in facts.items():
         if fact["n_fin"] and fact["m_fin"]:
             edges = _edges(fact["at"], fact["n_fin"], limits.bins)
-            bins[name] = [-INF, *edges[1:-1], INF] if len(edges) > 2 else [-INF, INF]
+            bins[name] = [-INF, *[e + 0.0 for e in edges[1:-1]], INF] if len(edges) > 2 else [-INF, INF]
     totals = spark.createDataFrame(
         [(n, kinds.get(n, "NUMERIC"), f["ks"], f["n"], f["m"], f["n_fin"], f["m_fin"]) for n, f in facts.items()],
         "name string, feature_type string, ks double, n_ref long, n_cur long, ref_total long, cur_total long",
@@ -263,16 +262,22 @@ def drift_table(
     reference: str = C.REFERENCE,
     limits: C.DriftLimits = C.DriftLimits(),
 ) -> DataFrame:
-    """One row per feature (and one for the score): psi, ks, p-value, status."""
+    """One row per feature (and one for the score): psi, ks, p-value, status.
+
+    Scores may be other rows than the features; they join the numeric passes as one more column.
+    """
     is_ref = F.col(period) == reference
     parts = []
-    if numeric:
-        parts.append(numeric_drift(features, numeric, is_ref, limits=limits))
-    if categorical:
-        parts.append(categorical_drift(features, categorical, is_ref, limits))
+    numbers = features.select(period, *numeric) if numeric else None
+    names = list(numeric)
     if scores is not None:
         score = scores.select(period, F.col("score_monitoreado").alias("score_fraude"))
-        parts.append(numeric_drift(score, ["score_fraude"], is_ref, {"score_fraude": "PREDICTION"}, limits))
+        numbers = score if numbers is None else numbers.unionByName(score, allowMissingColumns=True)
+        names.append("score_fraude")
+    if names:
+        parts.append(numeric_drift(numbers, names, is_ref, {"score_fraude": "PREDICTION"}, limits))
+    if categorical:
+        parts.append(categorical_drift(features, categorical, is_ref, limits))
     table = parts[0]
     for part in parts[1:]:
         table = table.unionByName(part)

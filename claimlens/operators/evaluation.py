@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from claimlens.operators.ranking import bucket_splits, running_totals
+from claimlens.operators.ranking import bucket_splits, plain_double, running_totals
 
 
 def curve_areas(df: DataFrame, score: str = "score_fraude", label: str = "label", by: list[str] = []) -> DataFrame:
@@ -16,8 +16,9 @@ def curve_areas(df: DataFrame, score: str = "score_fraude", label: str = "label"
     form with half credit for ties). Both areas use trapezoids over all points; the PR curve
     starts at recall 0 with the precision of its first point. Areas are null without both classes.
     """
-    splits = bucket_splits(df.select(F.col(score).cast("double").alias(score)), [score])[score]
-    points = df.groupBy(*by, F.col(score).cast("double").alias(score)).agg(
+    plain = plain_double(F.col(score)).alias(score)
+    splits = bucket_splits(df.select(plain), [score])[score]
+    points = df.select(*by, label, plain).filter(F.col(score).isNotNull()).groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1.0).alias("pos"), F.count_if(F.col(label) != 1.0).alias("neg")
     )
     curve = running_totals(points, score, ["pos", "neg"], splits, by)

@@ -2,10 +2,10 @@
 
 A window without a partition key would send every row through one task. Instead:
 
-* an order statistic is found by narrowing. A sketch gives about a thousand value buckets,
-  one map-side combined pass counts them, and only the few buckets that hold a wanted rank
-  are looked at value by value. Ties are single rows there, so a value shared by a third of
-  all rows costs nothing;
+* an order statistic is found by narrowing. A sketch gives value buckets (more of them for
+  more rows), one map-side combined pass counts them, and only the few buckets that hold a
+  wanted rank are looked at value by value. Ties are single rows there, so a value shared by
+  a third of all rows costs nothing;
 * tiles and the time split only need a few cut points, after which each row is placed by a
   literal comparison, without any shuffle of the table;
 * a full rank is one distributed sort plus one small offset per sorted partition.
@@ -30,25 +30,34 @@ from pyspark.sql import functions as F
 
 from claimlens.session import shared_folder
 
-BUCKETS = 1024
+# A bucket should not hold more rows than one task sorts with ease.
+ROWS_PER_BUCKET = 4_000_000
+MIN_BUCKETS, MAX_BUCKETS = 64, 8192
 INF = float("inf")
 
 
 # --- value buckets -----------------------------------------------------------
 
 
-def bucket_splits(df: DataFrame, names: list[str], buckets: int = BUCKETS) -> dict[str, list[float]]:
+def plain_double(value: Column) -> Column:
+    """A double without NaN (-> null) and without negative zero, which the bucket search would
+    tell apart from zero."""
+    return F.nanvl(value.cast("double"), F.lit(None)) + F.lit(0.0)
+
+
+def bucket_splits(df: DataFrame, names: list[str], buckets: int | None = None) -> dict[str, list[float]]:
     """Ascending bucket edges per column from one sketch pass; ends are infinite.
 
-    The edges only steer the work, so the sketch may be off by its error without any effect
-    on a result.
+    The number of buckets follows from the row count (free for a stored parquet table). The edges
+    only steer the work, so the sketch may be off by its error without any effect on a result.
     """
+    if buckets is None:
+        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, df.count() // ROWS_PER_BUCKET))
     shares = [i / buckets for i in range(1, buckets)]
     found = df.approxQuantile(names, shares, 1.0 / (8 * buckets))
-    return {
-        name: [-INF, *sorted({v for v in values if math.isfinite(v)}), INF]
-        for name, values in zip(names, found)
-    }
+    inner = {name: sorted({v + 0.0 for v in values if math.isfinite(v)}) for name, values in zip(names, found)}
+    # A column without any finite value gets one edge, because there must be two buckets.
+    return {name: [-INF, *(edges or [0.0]), INF] for name, edges in inner.items()}
 
 
 def with_buckets(df: DataFrame, splits: dict[str, list[float]], suffix: str = "__b") -> DataFrame:
@@ -96,14 +105,13 @@ class Found:
 RankRule = Callable[[int], list[int]]
 
 
-def order_statistics(df: DataFrame, ranks: dict[str, RankRule], buckets: int = BUCKETS) -> dict[str, dict[int, Found]]:
+def order_statistics(df: DataFrame, ranks: dict[str, RankRule], buckets: int | None = None) -> dict[str, dict[int, Found]]:
     """Exact values at the wanted ranks (1 = smallest) of each column; nulls and NaN do not count.
 
     The number of values is known from the bucket counts, so no counting pass is needed before.
     """
     names = list(ranks)
-    doubles = [F.nanvl(F.col(n).cast("double"), F.lit(None)).alias(n) for n in names]
-    narrow = df.select(*doubles)
+    narrow = df.select(*[plain_double(F.col(n)).alias(n) for n in names])
     splits = bucket_splits(narrow, names, buckets)
     values = long_values(narrow, splits)
     histogram = (
@@ -148,7 +156,7 @@ def order_statistics(df: DataFrame, ranks: dict[str, RankRule], buckets: int = B
     return out
 
 
-def sample_quantiles(df: DataFrame, name: str, shares: list[float], buckets: int = BUCKETS) -> list[float | None]:
+def sample_quantiles(df: DataFrame, name: str, shares: list[float], buckets: int | None = None) -> list[float | None]:
     """Exact sample quantiles: the smallest value whose share of rows is at least the given one."""
 
     def rank(n: int, share: float) -> int:
@@ -168,7 +176,7 @@ Cut = tuple[float, "str | None"]
 
 def sortable(order: Column) -> Column:
     """A double that sorts nulls and NaN last."""
-    return F.coalesce(F.nanvl(order.cast("double"), F.lit(INF)), F.lit(INF))
+    return F.coalesce(plain_double(order), F.lit(INF))
 
 
 def cut_points(df: DataFrame, order: Column, tie: Column, ranks: RankRule) -> dict[int, Cut]:
