@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from claimlens import config as C
 from claimlens.functions.features import as_date
 from claimlens.functions.scoring import row_hash
+from claimlens.session import run_folder
+from claimlens.sources.tables import write_and_read
 
 
 def check_input_columns(df: DataFrame, required: list[str] = C.REQUIRED_COLUMNS, forbidden: list[str] = C.FORBIDDEN_COLUMNS) -> None:
@@ -40,7 +42,9 @@ def quarantine(df: DataFrame, columns: list[str] = C.REQUIRED_COLUMNS, key: str
     date. The first reason wins.
 
     Conflicting keys come from an aggregation that is combined map-side (smallest and largest of
-    two independent 64-bit digests per key), and are joined back; they are never gathered as groups.
+    two independent 64-bit digests per key); they are never gathered as groups. They are stored
+    before they are joined back, so the optimizer knows their size: few are broadcast, and the
+    rows need no shuffle.
     """
     dates = [c for c in C.SCORING_DATES if c in columns and c in df.columns]
     unreadable = F.lit(False)
@@ -58,6 +62,7 @@ def quarantine(df: DataFrame, columns: list[str] = C.REQUIRED_COLUMNS, key: str
         .filter("_p0 <> _p1 or _q0 <> _q1")
         .select(key, F.lit(True).alias("_conflict"))
     )
+    conflicts = write_and_read(conflicts, run_folder(df.sparkSession, "conflicts"))
     return (
         df.join(conflicts, key, "left")
         .withColumn(

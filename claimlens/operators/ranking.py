@@ -32,7 +32,7 @@ from claimlens.session import shared_folder
 
 # A bucket should not hold more rows than one task sorts with ease.
 ROWS_PER_BUCKET = 4_000_000
-MIN_BUCKETS, MAX_BUCKETS = 64, 8192
+MIN_BUCKETS, MAX_BUCKETS = 64, 4096
 INF = float("inf")
 
 

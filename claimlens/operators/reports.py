@@ -84,17 +84,28 @@ def require_equivalent(summary: DataFrame, tolerance: float = C.EQUIVALENCE_TOLE
 
 
 def period_score_summary(scores: DataFrame) -> DataFrame:
-    """Count, mean, median, 90th percentile, flagged count and percent per period."""
+    """Count, mean, median, 90th percentile, flagged count and percent per period.
+
+    Both percentiles come from one sketch.
+    """
     s = F.col("score_monitoreado")
     return (
         scores.groupBy("periodo")
         .agg(
             F.count("*").alias("casos"),
-            F.round(F.avg(s), 4).alias("score_promedio"),
-            F.round(F.percentile_approx(s, 0.50), 4).alias("score_p50"),
-            F.round(F.percentile_approx(s, 0.90), 4).alias("score_p90"),
+            F.avg(s).alias("media"),
+            F.percentile_approx(s, [0.50, 0.90]).alias("p"),
             F.sum("marcado_fraude").alias("casos_marcados_fraude"),
-            F.round(100.0 * F.avg("marcado_fraude"), 2).alias("porcentaje_marcado_fraude"),
+            F.avg("marcado_fraude").alias("parte"),
+        )
+        .select(
+            "periodo",
+            "casos",
+            F.round("media", 4).alias("score_promedio"),
+            F.round(F.get("p", F.lit(0)), 4).alias("score_p50"),
+            F.round(F.get("p", F.lit(1)), 4).alias("score_p90"),
+            "casos_marcados_fraude",
+            F.round(100.0 * F.col("parte"), 2).alias("porcentaje_marcado_fraude"),
         )
         .orderBy(F.desc("periodo"))
     )
@@ -166,26 +177,35 @@ def flagged_share(scores: DataFrame, score: str = "score_fraude", cutoff: float
 def execution_distribution(scores: DataFrame, accuracy: int = 10000) -> DataFrame:
     """Score distribution per execution: claims, mean, percentiles, level shares, version, time.
 
-    The definition is this library's own. Percentiles are sketch-based (mergeable before the
-    shuffle); raise ``accuracy`` for more exact ones.
+    The definition is this library's own. The percentiles come from one sketch, merged before the
+    shuffle, so an execution may hold any share of all rows; raise ``accuracy`` for more exact ones.
     """
     s = F.col("score_fraude")
 
     def percent(level: str) -> Column:
         return F.avg(F.when(F.col("nivel_riesgo") == level, 100.0).otherwise(0.0))
 
-    return scores.groupBy("id_ejecucion").agg(
+    grouped = scores.groupBy("id_ejecucion").agg(
         F.max("fecha_scoring").alias("fecha_scoring"),
         F.count("*").alias("reclamaciones"),
         F.avg(s).alias("score_promedio"),
-        F.percentile_approx(s, 0.50, accuracy).alias("score_p50"),
-        F.percentile_approx(s, 0.90, accuracy).alias("score_p90"),
-        F.percentile_approx(s, 0.95, accuracy).alias("score_p95"),
+        F.percentile_approx(s, [0.50, 0.90, 0.95], accuracy).alias("p"),
         percent(C.ALTO).alias("porcentaje_alto"),
         percent(C.MEDIO).alias("porcentaje_medio"),
         percent(C.BAJO).alias("porcentaje_bajo"),
         F.max("version_modelo").alias("version_modelo"),
     )
+    return grouped.select(
+        "id_ejecucion",
+        "fecha_scoring",
+        "reclamaciones",
+        "score_promedio",
+        *[F.get("p", F.lit(i)).alias(f"score_p{q}") for i, q in enumerate((50, 90, 95))],
+        "porcentaje_alto",
+        "porcentaje_medio",
+        "porcentaje_bajo",
+        "version_modelo",
+    )
 
 
 def baseline_execution(distribution: DataFrame) -> DataFrame:

@@ -101,11 +101,13 @@ def record_run(row: DataFrame, tables: ScoringTables) -> None:
 def publish(staged: DataFrame, tables: ScoringTables, run_id: str) -> int:
     """Insert-only merge on (claim, run), done as an append of the missing rows.
 
-    Only this run's partition of the target is read. Returns the rows of the run afterwards.
+    Only this run's partition of the target is read; when it is empty, as in every first try,
+    nothing is joined and the staged rows are not shuffled. Returns the rows of the run afterwards.
     """
     spark = staged.sparkSession
     target = table_or_empty(spark, tables.scores, SCORE_SCHEMA).filter(F.col("id_ejecucion") == run_id)
-    append(new_rows(staged, target, [C.KEY, "id_ejecucion"]), tables.scores, ["version_modelo", "id_ejecucion"], tables.location)
+    missing = staged if target.isEmpty() else new_rows(staged, target, [C.KEY, "id_ejecucion"])
+    append(missing, tables.scores, ["version_modelo", "id_ejecucion"], tables.location)
     return spark.table(tables.scores).filter(F.col("id_ejecucion") == run_id).count()
 
 
@@ -134,7 +136,9 @@ def score_batch(
         check_input_columns(source)
         scores = table_or_empty(spark, tables.scores, SCORE_SCHEMA)
         # A repeated run must see its own claims again, so its rows do not count as scored.
-        incoming = unscored(source, scores.filter(F.col("id_ejecucion") != run_id), model_version)
+        scored = scores.filter((F.col("version_modelo") == model_version) & (F.col("id_ejecucion") != run_id))
+        # A new version has scored nothing: then the input need not be shuffled for the anti join.
+        incoming = source if scored.isEmpty() else unscored(source, scored, model_version)
         facts = key_facts(incoming)
         received = facts.rows
         if received == 0:

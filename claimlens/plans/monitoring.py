@@ -66,13 +66,16 @@ def retraining_advice(drift: DataFrame, losses: DataFrame, policy: DataFrame) ->
     investigation (scenario 3); neither for none (scenario 8). One row out; all inputs are small
     results.
     """
-    facts = drift.agg(
-        F.count_if(F.col("drift_status") == C.CRITICAL).alias("rasgos_criticos"),
-        F.count_if(F.col("drift_status") == C.WARNING).alias("rasgos_advertencia"),
+    states = drift.select(F.lit("rasgo").alias("clase"), F.col("drift_status").alias("estado")).unionByName(
+        losses.select(F.lit("perdida").alias("clase"), "estado")
+    )
+    clase, estado = F.col("clase"), F.col("estado")
+    both = states.agg(
+        F.count_if((clase == "rasgo") & (estado == C.CRITICAL)).alias("rasgos_criticos"),
+        F.count_if((clase == "rasgo") & (estado == C.WARNING)).alias("rasgos_advertencia"),
+        F.count_if((clase == "perdida") & (estado == "CRITICO")).alias("perdidas_criticas"),
+        F.count_if((clase == "perdida") & (estado == "ADVERTENCIA")).alias("perdidas_advertencia"),
     )
-    loss = losses.agg(F.count_if(F.col("estado") == "CRITICO").alias("perdidas_criticas"), F.count_if(F.col("estado") == "ADVERTENCIA").alias("perdidas_advertencia"))
-    # Two one-row results, put side by side by a constant key.
-    both = facts.withColumn("_k", F.lit(1)).join(loss.withColumn("_k", F.lit(1)), "_k").drop("_k")
     drifted = (F.col("rasgos_criticos") + F.col("rasgos_advertencia")) > 0
     scenario = F.when(drifted & (F.col("perdidas_criticas") > 0), 5).when(drifted, 3).otherwise(8)
     chosen = both.withColumn("scenario_order", scenario)

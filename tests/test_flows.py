@@ -248,3 +248,19 @@ def test_candidates_and_manifest_once(spark):
 
     append(new_rows(row, spark.table("manifiestos"), ["manifest_id"]), "manifiestos")
     assert spark.table("manifiestos").count() == 1
+
+
+def test_persisted_views_equal_the_functions(spark):
+    from claimlens.operators.drift import active_alerts
+    from claimlens.operators.reports import consumer_view
+    from claimlens.plans.consumption import create_alert_view, create_consumer_view
+    from claimlens.sources.tables import overwrite
+
+    overwrite(A.score_history(spark, SMALL), "historia")
+    view = create_consumer_view(spark, "vista_consumo", "historia")
+    assert view.exceptAll(consumer_view(spark.table("historia"))).count() == 0
+    assert view.schema.simpleString() == consumer_view(spark.table("historia")).schema.simpleString()
+    rows = [("score_fraude", "PREDICTION", 0.3, 0.2, 0.0, C.CRITICAL), ("x", "CATEGORICAL", 0.11, None, None, C.WARNING), ("y", "NUMERIC", 0.0, 0.0, 1.0, C.STABLE)]
+    overwrite(spark.createDataFrame(rows, "feature_name string, feature_type string, psi double, ks_statistic double, ks_pvalue double, drift_status string"), "deriva")
+    alerts = create_alert_view(spark, "vista_alertas", "deriva")
+    assert sorted(alerts.collect()) == sorted(active_alerts(spark.table("deriva")).collect())
