@@ -21,7 +21,7 @@ from claimlens.plans.batch_scoring import next_batch, unscored
 from claimlens.plans.registry import query, r6, six
 from claimlens.session import run_folder
 from claimlens.sources import claims as A
-from claimlens.sources.tables import TABLES, publish_view, scan, stage_run, write_and_read
+from claimlens.sources.tables import TABLES, create_schema, overwrite, publish_view, scan, stage_run, write_and_read
 
 
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
@@ -401,6 +401,22 @@ def decile_lift(spark, folder):
     return six(EV.lift_table(labelled_tiles(spark, folder)), "tasa_fraude", "lift")
 
 
+@query(
+    "lift_table_in_schema",
+    "A4 A10 D8",
+    O.with_(LIFT) + "SELECT decil, casos, fraudes FROM lift",
+)
+def lift_table_in_schema(spark, folder):
+    """The lift table overwritten twice in a result schema and read back by its two-part name."""
+    location = run_folder(spark, "schema")
+    schema = f"resultados_{location[-8:]}"
+    create_schema(spark, schema, location)
+    table = f"{schema}.fraude_decile_lift"
+    overwrite(EV.lift_table(labelled_tiles(spark, folder)), table)
+    overwrite(scan(spark, table).select("decil", "casos", "fraudes").transform(lambda d: write_and_read(d, f"{location}/copy")), table)
+    return scan(spark, table)
+
+
 @query("top20_capture", "L1", O.with_(LIFT) + "SELECT round(sum(CASE WHEN decil <= 2 THEN fraudes END) / sum(fraudes), 6) AS captura_top_20 FROM lift")
 def top20_capture(spark, folder):
     return six(EV.top_share(EV.lift_table(labelled_tiles(spark, folder))), "captura_top_20")
@@ -535,6 +551,7 @@ def execution_distribution(spark, folder):
 
 @query("execution_percentiles", "D18")
 def execution_percentiles(spark, folder):
+    """Sketch percentiles, so there is no exact twin to compare with."""
     return RP.execution_distribution(A.score_history(spark, folder)).select("id_ejecucion", "score_p50", "score_p90", "score_p95")
 
 

@@ -120,9 +120,13 @@ def drift_table(spark, folder):
     return six(formula_drift(spark, folder).drift, "psi", "ks_statistic", "ks_pvalue")
 
 
-@query("drift_report", "J8 F3")
+@query(
+    "drift_report",
+    "J8 F3",
+    O.with_(DRIFT_SQL) + "SELECT feature_name, feature_type, round(psi, 4) AS psi, round(ks_statistic, 4) AS ks_statistic, round(ks_pvalue, 6) AS ks_pvalue, drift_status FROM drift_status",
+)
 def drift_report(spark, folder):
-    return D.drift_report(formula_drift(spark, folder).drift)
+    return six(D.drift_report(formula_drift(spark, folder).drift), "ks_pvalue")
 
 
 @query(

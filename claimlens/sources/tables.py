@@ -31,8 +31,10 @@ def table_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> Data
     return spark.createDataFrame([], schema)
 
 
-def create_schema(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create a schema unless it exists; its tables go below ``location`` if given."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{where}")
 
 
 def _create(df: DataFrame, name: str, partition_by: list[str] | None, location: str | None) -> None:

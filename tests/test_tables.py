@@ -217,3 +217,13 @@ def test_fingerprint_ignores_order_but_not_nulls(spark):
     assert content_fingerprint(a).first() == content_fingerprint(b).first()
     assert content_fingerprint(a).first().huella != content_fingerprint(c).first().huella
     assert content_fingerprint(a.limit(0)).first().filas == 0
+
+
+def test_sketch_percentiles_are_within_their_error(spark):
+    n = 20000
+    df = spark.range(n).select(F.lit("r").alias("id_ejecucion"), (F.col("id") / n).alias("score_fraude"), F.lit("ALTO").alias("nivel_riesgo"),
+                               F.current_timestamp().alias("fecha_scoring"), F.lit("m:1").alias("version_modelo"))
+    row = RP.execution_distribution(df.repartition(5)).first()
+    for got, want in ((row.score_p50, 0.5), (row.score_p90, 0.9), (row.score_p95, 0.95)):
+        assert abs(got - want) <= 3e-4
+    assert row.porcentaje_alto == 100.0 and row.reclamaciones == n
