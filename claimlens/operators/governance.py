@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from claimlens import config as C
 from claimlens.functions.scoring import row_hash
+from claimlens.operators.merge import merge_insert, merge_update
 
 EVENT_SCHEMA = (
     "event_id string, event_timestamp timestamp, model_name string, action string, previous_version string, "
@@ -40,6 +41,24 @@ def as_int(version: str | Column) -> Column:
     return (F.col(version) if isinstance(version, str) else version).try_cast("int")
 
 
+# --- merges of the three tables ------------------------------------------------------------
+
+
+def record_events(log: DataFrame, events: DataFrame) -> DataFrame:
+    """The log after a merge by event id: a known event is renewed, a new one comes in."""
+    return merge_update(log, events, ["event_id"], EVENT_UPDATES)
+
+
+def record_gates(results: DataFrame, gates: DataFrame) -> DataFrame:
+    """The gate results after a merge by validation id."""
+    return merge_update(results, gates, ["validation_id"], GATE_UPDATES)
+
+
+def record_manifest(manifests: DataFrame, row: DataFrame) -> DataFrame:
+    """The manifests after an insert-only merge: the first one of an id stays."""
+    return merge_insert(manifests, row, ["manifest_id"])
+
+
 # --- event log and alias state ---------------------------------------------------------
 
 

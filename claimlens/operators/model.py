@@ -41,15 +41,14 @@ def fit_preparation(train: DataFrame, features: list[str] = C.FEATURES) -> list[
     return [imputer, assembler, scaler]
 
 
-def training_rows(df: DataFrame, features: list[str] = C.FEATURES, key: str = C.KEY, partitions: int | None = None) -> DataFrame:
-    """Key, label and double features, placed by key so that tree sampling is repeatable.
+def placed_by_key(df: DataFrame, key: str = C.KEY, partitions: int | None = None) -> DataFrame:
+    """Rows placed and ordered by key, so that tree sampling is repeatable.
 
     Bagging depends on the order of rows within each partition: a number of key-hashed partitions
     that follows from the row count, each sorted, gives the same trees on every run.
     """
     n = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_PER_PARTITION))
-    doubles = [F.col(f).cast("double").alias(f) for f in features]
-    return df.select(key, "label", *doubles).repartition(n, key).sortWithinPartitions(key)
+    return df.repartition(n, key).sortWithinPartitions(key)
 
 
 @dataclass(frozen=True)
@@ -60,18 +59,24 @@ class Trained:
     area_under_pr: float
 
 
-def fit_all(train: DataFrame, test: DataFrame, features: list[str] = C.FEATURES, names: list[str] | None = None, seed: int = C.SEED) -> list[Trained]:
+def fit_all(
+    train: DataFrame, test: DataFrame, features: list[str] = C.FEATURES, names: list[str] | None = None, seed: int = C.SEED, key: str = C.KEY
+) -> list[Trained]:
     """Fit every classifier on the same prepared rows and measure it on the test rows.
 
-    The prepared vectors are cached once (with spill) for all fits; the test predictions are
-    evaluated with the binned areas of Spark's evaluator.
+    The preparation is fitted on the rows as they lie; only the prepared vectors are shuffled, once,
+    and cached (with spill) for all fits. Test predictions are evaluated with the binned areas of
+    Spark's evaluator.
     """
-    keyed = training_rows(train, features)
-    preparation = fit_preparation(keyed, features)
+    doubles = [F.col(f).cast("double").alias(f) for f in features]
+    preparation = fit_preparation(train.select(*doubles), features)
     prepare = PipelineModel(preparation)
-    ready = prepare.transform(keyed).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    ready_test = prepare.transform(test.select("label", *[F.col(f).cast("double").alias(f) for f in features]))
-    ready_test = ready_test.select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def vectors(df: DataFrame) -> DataFrame:
+        return prepare.transform(df.select(key, "label", *doubles)).select(key, "label", "features")
+
+    ready = placed_by_key(vectors(train), key).persist(StorageLevel.MEMORY_AND_DISK)
+    ready_test = vectors(test).persist(StorageLevel.MEMORY_AND_DISK)
     roc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
     pr = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderPR")
     out = []

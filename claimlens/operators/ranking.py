@@ -274,8 +274,9 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<sum>_before``: the total of each sum over all rows that come before this value.
 
-    ``points`` has one row per (``by``, ``value``). Totals run inside value buckets; the bucket
-    offsets are at most ``len(splits)`` rows per group and are broadcast.
+    ``points`` has one row per (``by``, ``value``). Totals run inside value buckets. The bucket
+    offsets are at most ``len(splits)`` rows per group: broadcast for the whole table; with groups,
+    whose number is open, the optimizer decides by size.
     """
     bucketed = with_buckets(points, {value: splits}).withColumn("_b", F.col(value + "__b").cast("int")).drop(value + "__b")
     direction = F.desc if descending else F.asc
@@ -284,7 +285,7 @@ def running_totals(
     offsets = totals.select(*by, "_b", *[F.coalesce(F.sum(s).over(over_buckets), F.lit(0)).alias(f"_{s}_off") for s in sums])
     inside = W.partitionBy(*by, "_b").orderBy(direction(value)).rowsBetween(W.unboundedPreceding, -1)
     local = bucketed.select("*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias(f"_{s}_in") for s in sums])
-    joined = local.join(F.broadcast(offsets), [*by, "_b"])
+    joined = local.join(offsets if by else F.broadcast(offsets), [*by, "_b"])
     return joined.select(
         *points.columns, *[(F.col(f"_{s}_off") + F.col(f"_{s}_in")).alias(f"{s}_before") for s in sums]
     )

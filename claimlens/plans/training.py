@@ -55,7 +55,7 @@ def train(raw: DataFrame, key: str = C.KEY, names: list[str] | None = None, mode
     tagged = split_frame(raw, key)
     train_rows = tagged.filter("tramo = 'TRAIN'").drop("tramo")
     test_rows = tagged.filter("tramo = 'TEST'").drop("tramo")
-    trained = fit_all(train_rows, test_rows, names=names)
+    trained = fit_all(train_rows, test_rows, names=names, key=key)
     best = best_of(trained)
     doubles = {f: F.col(f).cast("double") for f in C.FEATURES}
     scored = write_and_read(apply_model(best.model, test_rows.withColumns(doubles)), run_folder(spark, "scored"))
