@@ -154,16 +154,16 @@ alias_state AS (
 
 MODEL_VERSIONS = """
 grouped AS (
-  SELECT user_id, event_id % 12 + 1 AS v, round(avg(value), 4) AS avg_value, count(*) AS n_events, min(event_id) AS first_event
+  SELECT user_id, event_id % 12 + 1 AS v, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / (1e2 * count(*)) AS avg_value, count(*) AS n_events, min(event_id) AS first_event
   FROM events GROUP BY 1, 2
 ),
 model_versions AS (
   SELECT 'modelo-' || CAST(user_id AS VARCHAR) AS model_name, CAST(v AS VARCHAR) AS version,
          CASE WHEN first_event % 9 = 0 THEN 'PENDING' ELSE 'READY' END AS status,
          CASE WHEN first_event % 8 = 0 THEN 'FAILED' ELSE 'FINISHED' END AS run_status,
-         CASE WHEN first_event % 10 <> 0 THEN round(7e-1 + avg_value / 1e3, 6) END AS roc_auc,
-         CASE WHEN first_event % 11 <> 0 THEN round(5e-1 + avg_value / 7e2, 6) END AS area_under_pr,
-         round(3e-1 + avg_value / 9e2, 6) AS top20_capture,
+         CASE WHEN first_event % 10 <> 0 THEN 7e-1 + avg_value / 1e3 END AS roc_auc,
+         CASE WHEN first_event % 11 <> 0 THEN 5e-1 + avg_value / 7e2 END AS area_under_pr,
+         3e-1 + avg_value / 9e2 AS top20_capture,
          CASE WHEN n_events % 5 <> 0 THEN 42 END AS seed,
          CASE WHEN n_events % 3 <> 0 THEN 'c' || CAST(first_event AS VARCHAR) END AS git_commit
   FROM grouped

@@ -176,7 +176,8 @@ def model_events(spark: SparkSession, folder: str) -> DataFrame:
 def model_versions(spark: SparkSession, folder: str) -> DataFrame:
     """Registered versions with their run facts: per user (model) and twelve versions.
 
-    Metrics are arithmetic on the mean event value; some are missing on purpose.
+    Metrics are arithmetic on the mean event value, taken over whole cents so that the order of
+    summation cannot matter; some are missing on purpose.
     """
     events = scan(spark, "events", folder)
     version = F.col("event_id") % 12 + 1
@@ -185,7 +186,7 @@ def model_versions(spark: SparkSession, folder: str) -> DataFrame:
     return (
         events.groupBy("user_id", version.alias("v"))
         .agg(
-            F.round(F.avg("value"), 4).alias("avg_value"),
+            (F.sum(F.round(F.col("value") * 100).cast("bigint")) / (F.lit(100.0) * F.count("*"))).alias("avg_value"),
             F.count("*").alias("n_events"),
             F.min("event_id").alias("first_event"),
         )
@@ -194,9 +195,9 @@ def model_versions(spark: SparkSession, folder: str) -> DataFrame:
             F.col("v").cast("string").alias("version"),
             F.when(first % 9 == 0, "PENDING").otherwise("READY").alias("status"),
             F.when(first % 8 == 0, "FAILED").otherwise("FINISHED").alias("run_status"),
-            F.when(first % 10 != 0, F.round(0.70 + value / 1000.0, 6)).alias("roc_auc"),
-            F.when(first % 11 != 0, F.round(0.50 + value / 700.0, 6)).alias("area_under_pr"),
-            F.round(0.30 + value / 900.0, 6).alias("top20_capture"),
+            F.when(first % 10 != 0, 0.70 + value / 1000.0).alias("roc_auc"),
+            F.when(first % 11 != 0, 0.50 + value / 700.0).alias("area_under_pr"),
+            (0.30 + value / 900.0).alias("top20_capture"),
             F.when(n % 5 != 0, F.lit(42)).alias("seed"),
             F.when(n % 3 != 0, F.concat(F.lit("c"), first.cast("string"))).alias("git_commit"),
         )
