@@ -43,7 +43,7 @@ def exact_types(table) -> dict[str, str]:
 def compare(spark_df, sql: str, con) -> list[str]:
     """Differences as text; empty when equal."""
     mine = spark_df.toArrow()
-    theirs = con.execute(sql).to_arrow_table()
+    theirs = con.sql(sql).to_arrow_table()
     problems = []
     if sorted(mine.column_names) != sorted(theirs.column_names):
         return [f"columns {sorted(mine.column_names)} != {sorted(theirs.column_names)}"]
