@@ -278,14 +278,22 @@ def running_totals(
     offsets are at most ``len(splits)`` rows per group: broadcast for the whole table; with groups,
     whose number is open, the optimizer decides by size.
     """
-    bucketed = with_buckets(points, {value: splits}).withColumn("_b", F.col(value + "__b").cast("int")).drop(value + "__b")
+    # Never null, so that no null filter is pushed into one branch only: both then share one shuffle.
+    number = F.coalesce(F.col(value + "__b").cast("int"), F.lit(-1))
+    bucketed = with_buckets(points, {value: splits}).withColumn("_b", number).drop(value + "__b")
     direction = F.desc if descending else F.asc
     totals = bucketed.groupBy(*by, "_b").agg(*[F.sum(s).alias(s) for s in sums])
     over_buckets = W.partitionBy(*by).orderBy(direction("_b")).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(*by, "_b", *[F.coalesce(F.sum(s).over(over_buckets), F.lit(0)).alias(f"_{s}_off") for s in sums])
+    offsets = totals.select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)],
+        F.col("_b").alias("_kb"),
+        *[F.coalesce(F.sum(s).over(over_buckets), F.lit(0)).alias(f"_{s}_off") for s in sums],
+    )
     inside = W.partitionBy(*by, "_b").orderBy(direction(value)).rowsBetween(W.unboundedPreceding, -1)
     local = bucketed.select("*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias(f"_{s}_in") for s in sums])
-    joined = local.join(offsets if by else F.broadcast(offsets), [*by, "_b"])
+    # A null group is a group like any other.
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)], F.col("_b") == F.col("_kb"))
+    joined = local.join(offsets if by else F.broadcast(offsets), same)
     return joined.select(
         *points.columns, *[(F.col(f"_{s}_off") + F.col(f"_{s}_in")).alias(f"{s}_before") for s in sums]
     )

@@ -122,3 +122,10 @@ def test_curve_areas_near_the_evaluator(spark):
     for metric, value in (("areaUnderROC", got.roc_auc), ("areaUnderPR", got.area_under_pr)):
         exact = BinaryClassificationEvaluator(rawPredictionCol="score_fraude", metricName=metric, numBins=0).evaluate(df)
         assert math.isclose(exact, value, abs_tol=1e-9)
+
+
+def test_curve_areas_keep_the_null_group(spark):
+    rows = [(g, float(i % 2), i / 10) for g in ("a", None) for i in range(10)]
+    df = spark.createDataFrame(rows, "g string, label double, score_fraude double")
+    out = {r.g: r for r in curve_areas(df, by=["g"]).collect()}
+    assert set(out) == {"a", None} and out["a"].roc_auc == out[None].roc_auc and out[None].positivos == 5
