@@ -6,7 +6,8 @@ all chunks. A text without any shared chunk is encoded as it is read. In the oth
 encoded once for the whole corpus and the ids are joined to all its places; the rest of the text is encoded in
 runs. Then the joints are repaired: next to a cut, the text between two safe points is encoded anew,
 and the ids that it replaces must agree with an encoding of the same stretch on each side. If they
-don't, or if there is no safe point, the stretch grows, in the end to the whole text.
+don't, or if there is no safe point, the stretch grows, in the end to the whole text. Only the ids and the
+text at the joints travel.
 
 A safe point is a space or line feed between two letters. The pattern that cuts a text into pre-tokens
 always ends one there and depends on nothing further to the left, and special tokens hold no such place; so the
@@ -28,15 +29,18 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 
 from claimlens.llm.base import pieces, stored, texts_of
-from claimlens.llm.tokenizer import encoder
+from claimlens.llm.tokenizer import Encoder, encoder
 
-KEY, PARTS, IDS = "__bpe_key", "__bpe_parts", "__bpe_ids"
+KEY, PARTS, IDS, TEXT = "__bpe_key", "__bpe_parts", "__bpe_ids", "__bpe_text"
+
+PIECE = "struct<head:string,middle:binary,tail:string>"
+PIECE_TYPE = pa.struct([("head", pa.string()), ("middle", pa.binary()), ("tail", pa.string())])
 
 # Chunks: a cut where the hash of the last WINDOW bytes has CUT_BITS zeros, at least SHORTEST bytes after the last.
 WINDOW, CUT_BITS, SHORTEST = 32, 10, 256
@@ -146,117 +150,142 @@ def runs(cut: list[tuple[bytes, bytes]], flags: list[bool]) -> list[dict]:
 # --- joints -----------------------------------------------------------------------
 
 
-def safe_before(text: str, low: int, high: int) -> int | None:
-    """The last safe point in (low, high), looked for from the right in growing stretches."""
+def piece(e: Encoder, text: str, ids: np.ndarray) -> dict:
+    """A part made ready for joining: the text before its first safe point, the ids between, the text after its last.
+
+    The ids next to both points must agree with an encoding of the stretch beyond; if they don't, a point
+    further inside is taken, and where none is left the part stays text.
+    """
+    for first in SAFE.finditer(text):
+        head = e.encode(text[: first.start()])
+        if np.array_equal(ids[: len(head)], head):
+            break
+    else:
+        return {"head": text, "middle": None, "tail": None}
+    high = len(text)
+    while (last := last_safe(text, first.start(), high)) > first.start():
+        tail = e.encode(text[last:])
+        if np.array_equal(ids[len(ids) - len(tail) :], tail):
+            break
+        high = last + 1  # the letter after the next point must still be seen
+    else:
+        tail = ids[len(head) :]
+    return {"head": text[: first.start()], "middle": packed(ids[len(head) : len(ids) - len(tail)]), "tail": text[last:]}
+
+
+def last_safe(text: str, low: int, high: int) -> int:
+    """The last safe point below ``high``, looked for from the right in growing stretches; ``low`` is one."""
     width = 64
-    while True:
-        start = max(low + 1, high - width)
+    while (start := max(low, high - width)) > low:
         found = [m.start() for m in SAFE.finditer(text, start, high)]
-        if found or start == low + 1:
-            return found[-1] if found else None
+        if found:
+            return found[-1]
         width *= 4
+    return max((m.start() for m in SAFE.finditer(text, low, high)), default=low)
+
+
+def stitch(e: Encoder, parts: list[dict]) -> np.ndarray:
+    """Ids of the joined parts, exactly as if encoded whole: each joint is encoded anew between two safe points."""
+    done, joint = [], ""
+    for part in parts:
+        joint += part["head"]
+        if part["middle"] is not None:
+            done += [e.encode(joint), unpacked(part["middle"])]
+            joint = part["tail"]
+    return np.concatenate([*done, e.encode(joint)])
 
 
-def stitch(e, texts: list[str], ids: list[np.ndarray]) -> np.ndarray:
-    """Ids of the joined texts from the ids of each, exactly as if encoded whole."""
-    whole = "".join(texts)
-    done: list[np.ndarray] = []
-    start, left = 0, ids[0]  # left: ids of whole[start:cut]
-    cut = len(texts[0])
-    for text, own in zip(texts[1:], ids[1:]):
-        end = cut + len(text)
-        a = safe_before(whole, start, cut - 1)  # a safe point needs the letter after it on its own side
-        found = SAFE.search(whole, cut + 1, end)
-        agreed = False
-        while a is not None and found is not None and not agreed:
-            b = found.start()
-            tail, head = e.encode(whole[a:cut]), e.encode(whole[cut:b])
-            agreed = np.array_equal(left[len(left) - len(tail) :], tail) and np.array_equal(own[: len(head)], head)
-            if agreed:
-                done += [left[: len(left) - len(tail)], e.encode(whole[a:b])]
-                start, left = b, own[len(head) :]
-            else:
-                a, found = safe_before(whole, start, a), SAFE.search(whole, b + 1, end)
-        if not agreed:
-            left = e.encode(whole[start:end])
-        cut = end
-    return np.concatenate([*done, left])
+def packed(ids: np.ndarray) -> bytes:
+    """Two bytes an id where they suffice, else four; the first byte says which."""
+    small = not len(ids) or int(ids.max()) < 1 << 16
+    return (b"2" + ids.astype("<u2").tobytes()) if small else (b"4" + ids.astype("<u4").tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<u" + chr(data[0]), offset=1).astype("<u4")
 
 
 # --- the operator -----------------------------------------------------------------
 
 
-def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """All columns of ``df`` and ``ids``: the token ids as little-endian unsigned 32-bit integers."""
+def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", keep_text: bool = True) -> DataFrame:
+    """All columns of ``df`` (``text`` only if ``keep_text``) and ``ids``: little-endian unsigned 32-bit integers."""
     spark = df.sparkSession
     bits = spark.sparkContext.broadcast(shared_map(df, text, tokenizer))
-    at = df.columns.index(text)
-    given = df.withColumn(text, F.col(text).cast("string")) if df.schema[text].dataType.typeName() != "string" else df
+    kept = df.columns if keep_text else [c for c in df.columns if c != text]
+    given = df.select(*kept, F.col(text).cast("string").alias(TEXT))
+    fields = df.select(*kept).schema.fields
 
     def direct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, sharing = encoder(tokenizer), Sharing(bits.value)
         for batch in pieces(batches):
             made = []
-            for value in texts_of(batch.column(at)):
+            for value in texts_of(batch.column(len(kept))):
                 whole = not e.settled(value) or not any(sharing.flags(chunks(value.encode())))
                 made.append(e.encode(value).astype("<u4").tobytes() if whole else None)
             column = pa.array(made, pa.binary())
-            full = pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, IDS])
+            full = pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], column], [*kept, IDS])
             yield full.filter(column.is_valid())
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, sharing = encoder(tokenizer), Sharing(bits.value)
         for batch in pieces(batches):
             keys, parts = [], []
-            for value in texts_of(batch.column(at)):
+            for value in texts_of(batch.column(len(kept))):
                 cut = chunks(value.encode()) if e.settled(value) else []
                 flags = sharing.flags(cut)
                 keys.append(xxhash.xxh3_128_digest(value.encode()) if any(flags) else None)
                 parts.append(runs(cut, flags) if any(flags) else None)
             key, part = pa.array(keys, pa.binary()), pa.array(parts, to_arrow_schema(with_parts).field(PARTS).type)
-            full = pa.RecordBatch.from_arrays([*batch.columns, key, part], [*batch.schema.names, KEY, PARTS])
+            full = pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], key, part], [*kept, KEY, PARTS])
             yield full.filter(key.is_valid())
 
-    with_ids = StructType([*given.schema.fields]).add(IDS, BinaryType())
-    with_parts = StructType([*given.schema.fields]).add(KEY, BinaryType()).add(PARTS, PART_LIST)
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            made = [unpacked(x).tobytes() for x in batch.column(len(kept)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(made, pa.binary())], [*kept, IDS])
+
+    with_ids = StructType([*fields]).add(IDS, BinaryType())
+    with_parts = StructType([*fields]).add(KEY, BinaryType()).add(PARTS, PART_LIST)
     ready = given.mapInArrow(direct, with_ids)
     rest = stored(given.mapInArrow(shared, with_parts), "shared-texts")
-    joined = rest.drop(PARTS).join(assembled(rest.select(KEY, PARTS), tokenizer), KEY).drop(KEY)
-    return ready.unionByName(joined).withColumnRenamed(IDS, ids)
+    joined = rest.drop(PARTS).join(assembled(rest.select(KEY, PARTS), tokenizer), KEY).select(*kept, IDS)
+    return ready.unionByName(joined.mapInArrow(unpack, with_ids)).withColumnRenamed(IDS, ids)
 
 
 def assembled(rest: DataFrame, tokenizer: str) -> DataFrame:
-    """Key and ids of each text with shared chunks; equal texts once."""
+    """Key and packed ids of each text with shared chunks; equal texts once."""
 
-    def part_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made_ready(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(tokenizer)
         for batch in pieces(batches):
-            made = [e.encode(t).astype("<u4").tobytes() for t in texts_of(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], [*batch.schema.names, "ids"])
+            made = pa.array([piece(e, t, e.encode(t)) for t in texts_of(batch.column("text"))], PIECE_TYPE)
+            others = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], made], [*others, "piece"])
 
-    def whole_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(tokenizer)
         for batch in pieces(batches):
-            made = []
-            for row in batch.column("parts").to_pylist():
-                ids = [np.frombuffer(p["ids"], "<u4") for p in row]
-                made.append(stitch(e, [p["text"] for p in row], ids).astype("<u4").tobytes())
+            made = [packed(stitch(e, [p["piece"] for p in row])) for row in batch.column("parts").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(KEY), pa.array(made, pa.binary())], [KEY, IDS])
 
-    once = rest.dropDuplicates([KEY]).select(KEY, F.posexplode(PARTS).alias("n", "part"))
-    parts = stored(once.select(KEY, "n", "part.digest", "part.text"), "text-parts")
+    parts = rest.select(KEY, F.posexplode(PARTS).alias("n", "part")).select(KEY, "n", "part.*")
     repeated = parts.where(F.col("digest").isNotNull())
     # Each shared chunk is encoded once and its ids go to all its places.
-    chunk_ids = repeated.select("digest", "text").dropDuplicates(["digest"]).mapInArrow(
-        part_ids, "digest binary, text string, ids binary"
-    )
-    placed = repeated.join(chunk_ids.drop("text"), "digest").select(KEY, "n", "text", "ids")
+    once = repeated.select("digest", "text").dropDuplicates(["digest"])
+    chunk_ids = once.mapInArrow(made_ready, f"digest binary, piece {PIECE}")
+    placed = repeated.select(KEY, "n", "digest").distinct().join(chunk_ids, "digest").select(KEY, "n", "piece")
+    # Of a text that occurs more than once all chunks are shared, so what follows is there once anyway.
     own = parts.where(F.col("digest").isNull()).select(KEY, "n", "text")
-    own = own.mapInArrow(part_ids, f"{KEY} binary, n int, text string, ids binary")
+    own = own.mapInArrow(made_ready, f"{KEY} binary, n int, piece {PIECE}")
     gathered = placed.unionByName(own).groupBy(KEY).agg(
-        F.array_sort(F.collect_list(F.struct("n", "text", "ids"))).alias("parts")
+        F.array_sort(F.collect_list(F.struct("n", "piece")), by_number).alias("parts")
     )
-    return gathered.mapInArrow(whole_ids, f"{KEY} binary, {IDS} binary")
+    return gathered.mapInArrow(joined, f"{KEY} binary, {IDS} binary")
+
+
+def by_number(a: Column, b: Column) -> Column:
+    return a["n"] - b["n"]
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
