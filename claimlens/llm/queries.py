@@ -123,3 +123,50 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages").select("page_id", "url", "html")).withColumn(
         "n_chars", F.char_length("text").cast("long")
     )
+
+
+ORACLES["op7_quality_rules"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, source,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), windows AS (
+  SELECT r, unnest(range(1, len(words) - 3)) AS i, words FROM docs
+), named AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2], words[i + 3], words[i + 4]) AS n
+  FROM windows
+), covered AS (
+  SELECT r, count(DISTINCT i + k) AS n_repeat_words
+  FROM named, (SELECT unnest(range(5)) AS k) WHERE n > 1 GROUP BY r
+), lines AS (
+  SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs
+), repeated AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+), base AS (
+  SELECT docs.r, doc_id, source, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM docs LEFT JOIN covered ON docs.r = covered.r LEFT JOIN repeated ON docs.r = repeated.r
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base
+), hosts AS (
+  SELECT source, count(*) AS n,
+         count(*) FILTER (base_failed OR n_symbols > n_words OR n_dup_lines > 0.2 * n_words) AS failed
+  FROM judged GROUP BY source
+), totals AS (
+  SELECT CAST(sum(failed) AS DOUBLE) / sum(n) AS m, CAST(sum(n) AS DOUBLE) AS n, count(*) AS k,
+         sum(n * (failed / n) * (failed / n)) AS squares FROM hosts
+), spread AS (
+  SELECT m, squares / n - m * m - m * (1 - m) * k / n AS between_hosts FROM totals
+), prior AS (
+  SELECT m, CASE WHEN between_hosts > 0 THEN greatest(m * (1 - m) / between_hosts - 1, 1) ELSE 1 END AS strength
+  FROM spread
+), verdicts AS (
+  SELECT source, (failed + m * strength) / (n + strength) <= 0.8 AS host_kept FROM hosts, prior
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND host_kept AS kept
+FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source
+"""

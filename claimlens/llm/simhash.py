@@ -1,14 +1,15 @@
 """SimHash near-dedup with pivot distance tables.
 
 Each text gets a 64-bit fingerprint from its word shingles. Only distinct fingerprints are compared, in buckets:
-the 64 bits are cut into ``max_bits + 2`` or more pieces, so two fingerprints that differ in ``max_bits`` bits at most
-agree on at least two of the pieces, and every pair of pieces is a bucket key (fifteen keys for four bits). In a
-bucket the distances of all members to ``PIVOTS`` reference fingerprints are looked up in a table made
+the 64 bits are cut into ``max_bits + agree`` pieces, so two fingerprints that differ in ``max_bits`` bits at most
+agree on ``agree`` of the pieces, and every choice of so many pieces is a bucket key (fifteen keys for four bits and
+two pieces). In a bucket the distances of all members to ``PIVOTS`` reference fingerprints are looked up in a table made
 beforehand; two members whose distances to some reference differ by more than ``max_bits`` cannot be
 close (triangle inequality) and are discarded; the others are verified by their own distance. A bucket gives a spanning
 forest of its links, never all its pairs. Buckets above ``BUCKET`` members are cut into blocks, and every pair
 of blocks is compared in a task of its own, so no task holds more than two blocks. Links are exact: none is lost,
-none is added.
+none is added. ``dedup`` can ask for more: with ``also_bits`` a link must be confirmed by a second fingerprint,
+made of the same shingles with other hashes, so that a wider ``max_bits`` doesn't link unlike texts by chance.
 
 Defined results: texts are lower-cased A-Z only. A text with fewer words than a shingle has one shingle, the
 whole sequence; a text without words (or null) has fingerprint zero, linked like any other. A bit is 1 if
@@ -29,13 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from claimlens.llm.base import WORD, pieces, stored, texts_of
 from claimlens.llm.components import components
 
 SEED = 42
-SHINGLE, MAX_BITS = 4, 4
+SHINGLE, MAX_BITS, AGREE = 4, 4, 2
 PIVOTS = 16
 BUCKET = 4096
 # Groups up to this size are compared by shifted arrays, all groups of a batch at once.
@@ -63,36 +64,41 @@ def shingle_hashes(text: str, width: int) -> list[int]:
     return [hash_of(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :])]
 
 
-def fingerprints(texts: list[str], width: int) -> np.ndarray:
-    """Signed 64-bit fingerprint of each text."""
-    out = np.zeros(len(texts), np.uint64)
+def majority(hashes: np.ndarray) -> np.uint64:
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes), bitorder="little").view("<u8")[0]
+
+
+def fingerprints(texts: list[str], width: int, second: bool = False) -> list[np.ndarray]:
+    """Signed 64-bit fingerprints of each text: one array, or two."""
+    out = [np.zeros(len(texts), np.uint64) for _ in range(1 + second)]
     for i, text in enumerate(texts):
-        hashes = shingle_hashes(text, width)
-        if hashes:
-            bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
-            out[i] = np.packbits(ones, bitorder="little").view("<u8")[0]
-    return out.view(np.int64)
+        hashes = np.array(shingle_hashes(text, width), "<u8")
+        for found in out if len(hashes) else ():
+            found[i] = majority(hashes)
+            hashes = (hashes ^ hashes >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+            hashes ^= hashes >> np.uint64(29)
+    return [x.view(np.int64) for x in out]
 
 
-def with_fingerprint(df: DataFrame, text: str, width: int, out: str) -> DataFrame:
-    """All columns of ``df`` and the fingerprint."""
+def with_fingerprint(df: DataFrame, text: str, width: int, *out: str) -> DataFrame:
+    """All columns of ``df`` and the fingerprint, or two."""
     at = df.columns.index(text)
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            made = pa.array(fingerprints([str(t) for t in texts_of(batch.column(at))], width), pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, out])
+            found = fingerprints([str(t) for t in texts_of(batch.column(at))], width, len(out) > 1)
+            made = [pa.array(x, pa.int64()) for x in found]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *out])
 
-    return df.mapInArrow(marked, StructType([*df.schema.fields]).add(out, LongType()))
+    return df.mapInArrow(marked, StructType([*df.schema.fields, *[StructField(c, LongType()) for c in out]]))
 
 
 # --- buckets ----------------------------------------------------------------------
 
 
-def bit_pieces(max_bits: int) -> list[int]:
-    """Masks of ``max_bits + 2`` pieces of near-equal width."""
-    n = max_bits + 2
+def bit_pieces(n: int) -> list[int]:
+    """Masks of ``n`` pieces of near-equal width."""
     limits = [round(64 * i / n) for i in range(n + 1)]
     return [(1 << b) - (1 << a) for a, b in zip(limits, limits[1:])]
 
@@ -101,10 +107,10 @@ def signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def bucketed(distinct: DataFrame, max_bits: int) -> DataFrame:
-    """(keys, masked, fp): each fingerprint once for each pair of pieces."""
-    pairs = [signed(a | b) for a, b in combinations(bit_pieces(max_bits), 2)]
-    number = F.array(*[F.struct(F.lit(i).alias("keys"), F.lit(m).alias("mask")) for i, m in enumerate(pairs)])
+def bucketed(distinct: DataFrame, max_bits: int, agree: int) -> DataFrame:
+    """(keys, masked, fp): each fingerprint once for each choice of pieces."""
+    masks = [signed(sum(chosen)) for chosen in combinations(bit_pieces(max_bits + agree), agree)]
+    number = F.array(*[F.struct(F.lit(i).alias("keys"), F.lit(m).alias("mask")) for i, m in enumerate(masks)])
     return distinct.withColumn("k", F.explode(number)).select(
         F.col("k.keys").alias("keys"), F.col("fp").bitwiseAND(F.col("k.mask")).alias("masked"), "fp"
     )
@@ -169,7 +175,7 @@ def large_links(fps: np.ndarray, max_bits: int) -> list[np.ndarray]:
     return found
 
 
-def links(distinct: DataFrame, max_bits: int, largest: int = BUCKET) -> DataFrame:
+def links(distinct: DataFrame, max_bits: int, agree: int = AGREE, largest: int = BUCKET) -> DataFrame:
     """(a, b): links between the fingerprints ``fp``, enough to connect all that are close."""
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,17 +215,31 @@ def links(distinct: DataFrame, max_bits: int, largest: int = BUCKET) -> DataFram
             yield flush(carried)
 
     keys = ["keys", "masked", "first", "second"]
-    grouped = in_blocks(bucketed(distinct, max_bits), largest).repartition(*keys).sortWithinPartitions(*keys)
+    grouped = in_blocks(bucketed(distinct, max_bits, agree), largest).repartition(*keys).sortWithinPartitions(*keys)
     return grouped.mapInArrow(linked, "a long, b long").distinct()
 
 
-def component_ids(marked: DataFrame, id: str, fp: str, max_bits: int = MAX_BITS, largest: int = BUCKET) -> DataFrame:
-    """One row per distinct fingerprint: fp, component_id."""
-    distinct = stored(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(id).alias("least")), "fingerprints")
-    roots = components(links(distinct.select("fp"), max_bits, largest))
-    joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
-    )
+def component_ids(
+    marked: DataFrame,
+    id: str,
+    fp: str,
+    max_bits: int = MAX_BITS,
+    agree: int = AGREE,
+    second: str | None = None,
+    also_bits: int = 64,
+    largest: int = BUCKET,
+) -> DataFrame:
+    """One row per distinct fingerprint: fp, root (of its component), component_id."""
+    other = F.lit(0).cast("long") if second is None else F.col(second)
+    distinct = marked.groupBy(F.col(fp).alias("fp")).agg(F.min(id).alias("least"), F.min(other).alias("second"))
+    distinct = stored(distinct, "fingerprints")
+    found = links(distinct.select("fp"), max_bits, agree, largest)
+    if second is not None:
+        ends = [distinct.select(F.col("fp").alias(c), F.col("second").alias(f"{c}2")) for c in ("a", "b")]
+        confirmed = F.bit_count(F.col("a2").bitwiseXOR(F.col("b2"))) <= also_bits
+        found = found.join(ends[0], "a").join(ends[1], "b").where(confirmed).select("a", "b")
+    roots = components(found).withColumnRenamed("node", "fp")
+    joined = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     return joined.select("fp", "root").join(ids, "root").select("fp", "root", "component_id")
 
@@ -237,12 +257,20 @@ def decide(
 
 
 def dedup(
-    df: DataFrame, id: str = "doc_id", text: str = "text", width: int = SHINGLE, max_bits: int = MAX_BITS
+    df: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    width: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    agree: int = AGREE,
+    also_bits: int | None = None,
 ) -> DataFrame:
     """One row of each component, with the columns of ``df``."""
+    columns = ["__sim_fp"] if also_bits is None else ["__sim_fp", "__sim_second"]
     given = df.withColumn("__sim_text", F.col(text).cast("string"))
-    marked = stored(with_fingerprint(given, "__sim_text", width, "__sim_fp").drop("__sim_text"), "marked")
-    found = component_ids(marked.select(id, "__sim_fp"), id, "__sim_fp", max_bits)
+    marked = stored(with_fingerprint(given, "__sim_text", width, *columns).drop("__sim_text"), "marked")
+    more = {} if also_bits is None else {"second": columns[1], "also_bits": also_bits}
+    found = component_ids(marked.select(id, *columns), id, columns[0], max_bits, agree, **more)
     found = found.select(F.col("fp").alias("__sim_fp"), F.col("root").alias("__sim_root"))
     first = W.partitionBy("__sim_root").orderBy(F.col(id).asc_nulls_last())
     ranked = marked.join(found, "__sim_fp").withColumn("__sim_rank", F.row_number().over(first))
