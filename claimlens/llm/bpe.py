@@ -1,8 +1,8 @@
 """BPE encoding with reuse of content-defined chunks, and decoding.
 
 A rolling hash over the bytes cuts each text into chunks whose limits depend on nearby content only, so a passage
-that several documents share falls into the same chunks in all of them. A first pass counts the digests of
-all chunks. A text without any shared chunk is encoded as it is read. In the others each shared chunk is
+that several documents share falls into the same chunks in all of them. A first pass finds the chunks that
+different texts share. A text without any is encoded as it is read. In the others each shared chunk is
 encoded once for the whole corpus and the ids are joined to all its places; the rest of the text is encoded in
 runs. Then the joints are repaired: next to a cut, the text between two safe points is encoded anew,
 and the ids that it replaces must agree with an encoding of the same stretch on each side. If they
@@ -90,20 +90,25 @@ def slots(digests: list[bytes]) -> np.ndarray:
 
 
 def shared_map(df: DataFrame, text: str, tokenizer: str) -> np.ndarray:
-    """The bit map of the digests that occur more than once in the corpus, as bytes."""
+    """The bit map of the digests that occur in different texts of the corpus, as bytes."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(tokenizer)
         for batch in pieces(batches):
-            found = [d for t in texts_of(batch.column(0)) if e.settled(t) for d, _ in chunks(t.encode())]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["digest"])
+            found, owners = [], []
+            for t in texts_of(batch.column(0)):
+                data = t.encode()
+                own = {d for d, _ in chunks(data)} if e.settled(t) else ()
+                found += own
+                owners += [xxhash.xxh3_64_intdigest(data) >> 1] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(owners, pa.int64())], ["digest", "owner"])
 
     shared = (
         df.select(F.col(text).cast("string"))
-        .mapInArrow(digests, "digest binary")
+        .mapInArrow(digests, "digest binary, owner long")
         .groupBy("digest")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > 1)
+        .agg(F.min("owner").alias("least"), F.max("owner").alias("most"))
+        .where(F.col("least") < F.col("most"))
     )
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,8 +280,7 @@ def assembled(rest: DataFrame, tokenizer: str) -> DataFrame:
     once = repeated.select("digest", "text").dropDuplicates(["digest"])
     chunk_ids = once.mapInArrow(made_ready, f"digest binary, piece {PIECE}")
     placed = repeated.select(KEY, "n", "digest").distinct().join(chunk_ids, "digest").select(KEY, "n", "piece")
-    # Of a text that occurs more than once all chunks are shared, so what follows is there once anyway.
-    own = parts.where(F.col("digest").isNull()).select(KEY, "n", "text")
+    own = parts.where(F.col("digest").isNull()).select(KEY, "n", "text").dropDuplicates([KEY, "n"])
     own = own.mapInArrow(made_ready, f"{KEY} binary, n int, piece {PIECE}")
     gathered = placed.unionByName(own).groupBy(KEY).agg(
         F.array_sort(F.collect_list(F.struct("n", "piece")), by_number).alias("parts")
