@@ -27,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -107,29 +107,35 @@ def signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def bucketed(distinct: DataFrame, max_bits: int, agree: int) -> DataFrame:
-    """(keys, masked, fp): each fingerprint once for each choice of pieces."""
-    masks = [signed(sum(chosen)) for chosen in combinations(bit_pieces(max_bits + agree), agree)]
-    number = F.array(*[F.struct(F.lit(i).alias("keys"), F.lit(m).alias("mask")) for i, m in enumerate(masks)])
-    return distinct.withColumn("k", F.explode(number)).select(
-        F.col("k.keys").alias("keys"), F.col("fp").bitwiseAND(F.col("k.mask")).alias("masked"), "fp"
-    )
+def bucketed(distinct: DataFrame, masks: list[int]) -> DataFrame:
+    """(keys, fp): each fingerprint once for each choice of pieces."""
+    return distinct.select(F.explode(F.array(*[F.lit(i) for i in range(len(masks))])).alias("keys"), "fp")
 
 
-def in_blocks(buckets: DataFrame, largest: int) -> DataFrame:
-    """Add block pairs: (first, second, own). Small buckets are one block."""
-    sizes = buckets.groupBy("keys", "masked").agg(F.count("*").alias("n")).where(F.col("n") > largest)
-    sized = buckets.join(sizes, ["keys", "masked"], "left").withColumn(
-        "blocks", F.coalesce(F.ceil(F.col("n") / F.lit(largest)), F.lit(1))
-    )
+def masked(masks: list[int]) -> Column:
+    """The bits of the fingerprint that make its bucket."""
+    return F.col("fp").bitwiseAND(F.element_at(F.array(*[F.lit(m) for m in masks]), F.col("keys") + 1))
+
+
+def in_blocks(buckets: DataFrame, masks: list[int], largest: int) -> DataFrame:
+    """Rows by bucket and pair of blocks: (keys, masked, first, second, fp). Small buckets are one block."""
+    sizes = buckets.groupBy("keys", masked(masks).alias("masked")).agg(F.count("*").alias("n"))
+    # Few or none; written, so that their size is known before the join.
+    large = stored(sizes.where(F.col("n") > largest), "large-buckets")
+    large = large.select(F.col("keys").alias("large_keys"), F.col("masked").alias("large_masked"), "n")
+    own_bucket = (F.col("keys") == F.col("large_keys")) & (masked(masks) == F.col("large_masked"))
+    sized = buckets.join(large, own_bucket, "left").select("keys", "fp", "n")
+    sized = sized.withColumn("blocks", F.coalesce(F.ceil(F.col("n") / F.lit(largest)), F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
     partners = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
         lambda other: F.struct(F.least(own, other).alias("first"), F.greatest(own, other).alias("second")),
     )
-    return sized.withColumn("pair", F.explode(partners)).select(
-        "keys", "masked", F.col("pair.first").alias("first"), F.col("pair.second").alias("second"), "fp"
+    paired = sized.select("keys", "fp", F.explode(partners).alias("pair"))
+    rows = paired.repartition("keys", masked(masks), "pair").select(
+        "keys", masked(masks).alias("masked"), "pair.first", "pair.second", "fp"
     )
+    return rows.sortWithinPartitions("keys", "masked", "first", "second")
 
 
 def distances(fps: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -214,9 +220,8 @@ def links(distinct: DataFrame, max_bits: int, agree: int = AGREE, largest: int =
         if carried is not None:
             yield flush(carried)
 
-    keys = ["keys", "masked", "first", "second"]
-    grouped = in_blocks(bucketed(distinct, max_bits, agree), largest).repartition(*keys).sortWithinPartitions(*keys)
-    return grouped.mapInArrow(linked, "a long, b long").distinct()
+    masks = [signed(sum(chosen)) for chosen in combinations(bit_pieces(max_bits + agree), agree)]
+    return in_blocks(bucketed(distinct, masks), masks, largest).mapInArrow(linked, "a long, b long").distinct()
 
 
 def component_ids(
