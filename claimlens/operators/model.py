@@ -18,7 +18,7 @@ from claimlens.functions.scoring import probability_of_one
 from claimlens.operators.reports import equivalence_summary, require_equivalent, score_difference
 
 
-ROWS_PER_PARTITION = 1_000_000
+PLACEMENT = 16
 
 
 def classifiers(seed: int = C.SEED) -> dict[str, object]:
@@ -41,14 +41,14 @@ def fit_preparation(train: DataFrame, features: list[str] = C.FEATURES) -> list[
     return [imputer, assembler, scaler]
 
 
-def placed_by_key(df: DataFrame, key: str = C.KEY, partitions: int | None = None) -> DataFrame:
+def placed_by_key(df: DataFrame, key: str = C.KEY, placement: int = PLACEMENT) -> DataFrame:
     """Rows placed and ordered by key, so that tree sampling is repeatable.
 
-    Bagging depends on the order of rows within each partition: a number of key-hashed partitions
-    that follows from the row count, each sorted, gives the same trees on every run.
+    Bagging depends on the order of rows within each partition. The number of key-hashed partitions,
+    each sorted, is an argument of its own: neither the session's settings nor the size of the
+    table change the trees.
     """
-    n = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_PER_PARTITION))
-    return df.repartition(n, key).sortWithinPartitions(key)
+    return df.repartition(placement, key).sortWithinPartitions(key)
 
 
 @dataclass(frozen=True)
@@ -57,10 +57,12 @@ class Trained:
     model: PipelineModel
     roc_auc: float
     area_under_pr: float
+    placement: int
 
 
 def fit_all(
-    train: DataFrame, test: DataFrame, features: list[str] = C.FEATURES, names: list[str] | None = None, seed: int = C.SEED, key: str = C.KEY
+    train: DataFrame, test: DataFrame, features: list[str] = C.FEATURES, names: list[str] | None = None, seed: int = C.SEED, key: str = C.KEY,
+    placement: int = PLACEMENT,
 ) -> list[Trained]:
     """Fit every classifier on the same prepared rows and measure it on the test rows.
 
@@ -75,7 +77,7 @@ def fit_all(
     def vectors(df: DataFrame) -> DataFrame:
         return prepare.transform(df.select(key, "label", *doubles)).select(key, "label", "features")
 
-    ready = placed_by_key(vectors(train), key).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = placed_by_key(vectors(train), key, placement).persist(StorageLevel.MEMORY_AND_DISK)
     ready_test = vectors(test).persist(StorageLevel.MEMORY_AND_DISK)
     roc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
     pr = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderPR")
@@ -86,7 +88,7 @@ def fit_all(
                 continue
             fitted = classifier.fit(ready)
             predicted = fitted.transform(ready_test)
-            out.append(Trained(name, PipelineModel([*preparation, fitted]), roc.evaluate(predicted), pr.evaluate(predicted)))
+            out.append(Trained(name, PipelineModel([*preparation, fitted]), roc.evaluate(predicted), pr.evaluate(predicted), placement))
     finally:
         ready.unpersist()
         ready_test.unpersist()

@@ -17,6 +17,7 @@ or the number of wanted ranks, never by rows.
 from __future__ import annotations
 
 import math
+import sys
 from bisect import bisect_left
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -175,8 +176,9 @@ Cut = tuple[float, "str | None"]
 
 
 def sortable(order: Column) -> Column:
-    """A double that sorts nulls and NaN last."""
-    return F.coalesce(plain_double(order), F.lit(INF))
+    """A double that sorts nulls and NaN last: infinity is theirs alone, so +inf counts as the largest finite value."""
+    value = plain_double(order)
+    return F.coalesce(F.when(value == INF, F.lit(sys.float_info.max)).otherwise(value), F.lit(INF))
 
 
 def cut_points(df: DataFrame, order: Column, tie: Column, ranks: RankRule) -> dict[int, Cut]:

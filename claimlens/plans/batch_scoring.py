@@ -77,7 +77,7 @@ class RunResult:
 def unscored(source: DataFrame, scores: DataFrame, model_version: str) -> DataFrame:
     """Claims that this model version has not scored. A new version scores all again; claims
     without a key stay and are caught by the key check."""
-    done = scores.filter(F.col("version_modelo") == model_version).select(C.KEY).distinct()
+    done = scores.filter(F.col("version_modelo") == model_version).select(C.KEY)
     return source.join(done, C.KEY, "left_anti")
 
 
@@ -98,17 +98,27 @@ def record_run(row: DataFrame, tables: ScoringTables) -> None:
     replace_partitions(row, tables.runs, ["id_ejecucion"], tables.location)
 
 
-def publish(staged: DataFrame, tables: ScoringTables, run_id: str) -> int:
-    """Insert-only merge on (claim, run), done as an append of the missing rows.
+def publish(staged: DataFrame, tables: ScoringTables, run_id: str, model_version: str) -> int:
+    """Insert-only merge on (claim, version, run), done as an append of the missing rows.
 
-    Only this run's partition of the target is read; when it is empty, as in every first try,
-    nothing is joined and the staged rows are not shuffled. Returns the rows of the run afterwards.
+    Only this run's partition of the version is read; when it is empty, as in every first try,
+    nothing is joined and the staged rows are not shuffled. Returns the staged claims that the
+    version and run hold afterwards.
     """
     spark = staged.sparkSession
-    target = table_or_empty(spark, tables.scores, SCORE_SCHEMA).filter(F.col("id_ejecucion") == run_id)
-    missing = staged if target.isEmpty() else new_rows(staged, target, [C.KEY, "id_ejecucion"])
+    own = (F.col("version_modelo") == model_version) & (F.col("id_ejecucion") == run_id)
+    target = table_or_empty(spark, tables.scores, SCORE_SCHEMA).filter(own)
+    missing = staged if target.isEmpty() else new_rows(staged, target, [C.KEY, "version_modelo", "id_ejecucion"])
     append(missing, tables.scores, ["version_modelo", "id_ejecucion"], tables.location)
-    return spark.table(tables.scores).filter(F.col("id_ejecucion") == run_id).count()
+    return spark.table(tables.scores).filter(own).count()
+
+
+def require_own_run(spark: SparkSession, tables: ScoringTables, run_id: str, model_version: str) -> None:
+    """A run id belongs to the version that used it first: neither its scores nor its audit row may be of another."""
+    other = (F.col("id_ejecucion") == run_id) & (F.col("version_modelo") != model_version)
+    for name, schema in ((tables.runs, RUN_SCHEMA), (tables.scores, SCORE_SCHEMA)):
+        if not table_or_empty(spark, name, schema).filter(other).isEmpty():
+            raise ValueError(f"run id {run_id!r} belongs to another model version than {model_version!r}")
 
 
 def score_batch(
@@ -126,13 +136,22 @@ def score_batch(
     column expression. Steps: schema contract; anti join; key check and row count in one job;
     features; score; stage (the barrier: everything after reads stored rows); publish; verify;
     audit; clear the stage. An empty batch is a valid run (NO_DATA). A failure writes a FAILED row
-    and is raised again. A repeated run id replaces its stage and publishes only what is missing.
+    and is raised again. A repeated run id replaces its stage and publishes only what is missing. A
+    run id of another model version is refused: the FAILED row goes under ``run@version``, and the
+    rows of the earlier run stay as they are.
+
+    If the scorer names the features it takes (an attribute ``features``), these must be the approved
+    ones, in order.
     """
     spark = source.sparkSession
     run_id = (run_id or "").strip() or str(uuid.uuid4())
     start = datetime.now(timezone.utc)
     received = published = 0
+    audit_id = run_id
     try:
+        audit_id = f"{run_id}@{model_version}"
+        require_own_run(spark, tables, run_id, model_version)
+        audit_id = run_id
         check_input_columns(source)
         scores = table_or_empty(spark, tables.scores, SCORE_SCHEMA)
         # A repeated run must see its own claims again, so its rows do not count as scored.
@@ -146,18 +165,18 @@ def score_batch(
             return RunResult(run_id, "NO_DATA", 0, 0, C.NO_DATA_MESSAGE)
         facts.require_clean()
         prepared = scoring_frame(incoming)
-        check_features([f for f in C.FEATURES if f in prepared.columns])
+        check_features(list(getattr(scorer, "features", C.FEATURES)))
         rows = score_rows(scorer(prepared), model_version, run_id, start, limits, mode)
         replace_partitions(rows, tables.stage, ["id_ejecucion"], tables.location)
         staged = spark.table(tables.stage).filter(F.col("id_ejecucion") == run_id).select(*rows.columns)
         expected = staged.count()
-        published = publish(staged, tables, run_id)
+        published = publish(staged, tables, run_id, model_version)
         if expected != received or published != expected:
             raise ValueError(f"publication incomplete: received={received}, staged={expected}, published={published}")
         record_run(audit_row(spark, run_id, start, model_version, received, published, "SUCCESS", None, mode), tables)
     except Exception as error:
-        message = str(error).splitlines()[0][:500] if str(error) else type(error).__name__
-        record_run(audit_row(spark, run_id, start, model_version, received, published, "FAILED", message, mode), tables)
+        message = str(error) or type(error).__name__
+        record_run(audit_row(spark, audit_id, start, model_version, received, published, "FAILED", message, mode), tables)
         raise
     drop_partition(spark, tables.stage, "id_ejecucion", run_id)
     return RunResult(run_id, "SUCCESS", received, published)

@@ -1,4 +1,4 @@
-"""The ten policy and contract tables, in this library's own wording.
+"""The policy and contract tables that queries read, in this library's own wording.
 
 Column names, orders, layer and reason codes, status numbers and required types are fixed values;
 the sentences are not.
@@ -43,53 +43,6 @@ POLICIES: dict[str, tuple[str, list[tuple]]] = {
             (8, "periodic review without loss", "age alone is no reason", "validate again and keep", False),
         ],
     ),
-    "monitoring_incident_assessment_demo": (
-        "assessment_order int, priority string, evaluation_area string, finding string, evidence string, conclusion string, recommended_action string, responsible_role string",
-        [
-            (1, "P0", "INTEGRIDAD_TECNICA", "model, alias, thresholds unchanged", "champion is version 1, runs are green", "no technical cause in sight", "confirm code, schema, upstream", "MLOPS"),
-            (2, "P0", "PREDICTION_DRIFT", "score distribution changed", "mean 0.6198 to 0.7157, PSI 1.2324, KS 0.3093", "prediction drift confirmed", "keep the alert, find the drivers", "DATA_SCIENCE"),
-            (3, "P0", "TASA_MARCADA", "40 % more flagged claims", "63.05 % to 88.27 %", "queue may exceed capacity", "review threshold and capacity", "FRAUD_OPERATIONS"),
-            (4, "P1", "DATA_DRIFT_CATEGORICO", "channel mix changed", "channel PSI 3.851", "categorical drift confirmed", "new channel or new coding?", "DATA_OWNER"),
-            (5, "P1", "DATA_DRIFT_NUMERICO", "days to notice changed", "KS 0.1137, p below 0.05", "time pattern moved", "review notice process and mix", "BUSINESS_AND_DATA"),
-            (6, "P1", "CAMBIO_DE_NEGOCIO", "mean reserve up by half", "about 23.3 to 35.1 million", "economic change below the PSI limit", "analyse severity and outliers", "ACTUARIAL_AND_BUSINESS"),
-            (7, "P1", "MODEL_PERFORMANCE", "no mature labels yet", "no current quality figures", "loss cannot be claimed", "wait for confirmed cases", "MODEL_VALIDATION"),
-            (8, "P2", "RETRAINING_DECISION", "do not retrain now", "drift without proven loss", "cause first", "investigate, watch, score in the shadow", "MODEL_GOVERNANCE"),
-        ],
-    ),
-    "mlops_artifact_policy": (
-        "artifact_order int, artifact_category string, artifact_name string, versioning_mechanism string, mandatory boolean, purpose string",
-        [
-            (1, "CODE", "training, preparation, scoring code", "reviewed commits", True, "rebuild the exact logic"),
-            (2, "DATA", "training and validation data", "snapshot or table version", True, "rebuild the exact population"),
-            (3, "MODEL", "fitted model and its signature", "versioned model folder", True, "keep each deployable version"),
-            (4, "PARAMETERS", "settings, seed, features", "manifest", True, "train again the same way"),
-            (5, "ENVIRONMENT", "libraries and runtime", "lock file or image", True, "avoid mismatches"),
-            (6, "METRICS", "areas, recall, precision, lift", "validation table", True, "compare with the champion"),
-            (7, "BUSINESS_RULES", "thresholds and actions", "versioned configuration", True, "keep rules out of the model"),
-            (8, "TESTS", "data, contract, regression, smoke", "test code and results", True, "stop bad versions"),
-            (9, "MONITORING", "reference distribution and limits", "tables and configuration", True, "see drift and changes"),
-            (10, "GOVERNANCE", "approvals, promotions, rollbacks", "event table", True, "audit the life cycle"),
-            (11, "INFRASTRUCTURE", "jobs, rights, endpoints", "infrastructure as code", True, "rebuild the platform"),
-            (12, "DOCUMENTATION", "model card, limits, owners", "document next to the code", True, "state permitted use and risks"),
-        ],
-    ),
-    "score_consumption_options": (
-        "comparison_order int, comparison_dimension string, batch_daily string, online_api string, decision_criterion string",
-        [
-            (1, "CASOS_DE_USO", "queues, audit, reports, backfill", "intake and routing", "can the decision wait?"),
-            (2, "PATRON_DE_CONSUMO", "mass, incremental, scheduled", "single requests", "volume and peaks"),
-            (3, "LATENCIA", "minutes to hours", "up to seconds", "is an answer needed at once?"),
-            (4, "VENTAJA_PRINCIPAL", "cheap and traceable volume", "immediate answer", "simplicity and value"),
-            (5, "COSTO_COMPUTE", "only while it runs", "always on", "cost per batch or per request"),
-            (6, "ESCALABILIDAD", "scales out", "limited by concurrency", "test with peaks"),
-            (7, "DISPONIBILIDAD", "as scheduled", "as the business system", "redundancy"),
-            (8, "COMPLEJIDAD_OPERATIVA", "medium", "high", "only where it pays"),
-            (9, "MANEJO_DE_ERRORES", "rerun, quarantine, repeatable merge", "timeout, retry, fallback", "no duplicates, no storms"),
-            (10, "TRAZABILIDAD", "in the tables", "must be stored", "every score can be rebuilt"),
-            (11, "SEGURIDAD", "table rights", "gateway and secrets", "least privilege"),
-            (12, "RECOMENDACION", "main channel", "selected decisions", "both, one contract"),
-        ],
-    ),
     "score_interface_contract": (
         "field_order int, interface_section string, field_name string, data_type string, required boolean, description string, example_value string",
         [
@@ -111,19 +64,6 @@ POLICIES: dict[str, tuple[str, list[tuple]]] = {
             (16, "RESPONSE", "reason_code", "STRING", False, "why an answer is degraded", "INVALID_SCHEMA"),
         ],
     ),
-    "score_service_objectives": (
-        "objective_order int, objective string, batch_daily string, online_api string, observation string",
-        [
-            (1, "FRECUENCIA", "daily at 02:00", "on request", "follows the business"),
-            (2, "LATENCIA_OBJETIVO", "results before 06:00", "P95 within 1 second", "load test first"),
-            (3, "DISPONIBILIDAD", "runs kept per month", "99.9 %", "depends on budget"),
-            (4, "CAPACIDAD", "100000 claims a day plus backfill", "1.16 per second, tested to 12", "measure real peaks"),
-            (5, "TIMEOUT", "none per claim", "2 seconds", "agree on a fallback"),
-            (6, "REINTENTOS", "two, repeatable", "one or two with backoff", "no retry storms"),
-            (7, "RECUPERACION", "run again from tables", "queue or manual review", "never block for long"),
-            (8, "ESCALADO", "elastic in the window", "no scale to zero", "cold starts cost time"),
-        ],
-    ),
     "score_error_contract": (
         "error_order int, http_status int, reason_code string, meaning string, consumer_action string, retry_allowed boolean",
         [
@@ -139,31 +79,6 @@ POLICIES: dict[str, tuple[str, list[tuple]]] = {
             (10, 503, "SERVICE_UNAVAILABLE", "not available", "fall back to the queue", True),
         ],
     ),
-    "score_cost_drivers": (
-        "cost_order int, cost_component string, batch_daily string, online_api string, optimization_action string",
-        [
-            (1, "COMPUTE", "daily window and reruns", "always on", "measure cost per thousand scores"),
-            (2, "STORAGE", "inputs, scores, audit", "request logs", "set retention"),
-            (3, "ORCHESTRATION", "flows and retries", "deployments", "automate"),
-            (4, "API_MANAGEMENT", "none", "gateway rules", "group consumers"),
-            (5, "NETWORKING", "transfers", "traffic per request", "stay in one region"),
-            (6, "OBSERVABILITY", "logs per run", "logs per request", "control retention"),
-            (7, "AVAILABILITY", "only while it runs", "spare capacity", "offer what is needed"),
-            (8, "ENGINEERING", "medium", "higher", "share preparation and contract"),
-        ],
-    ),
-    "score_consumption_recommendation": (
-        "use_case_order int, consumer_use_case string, recommended_channel string, rationale string, contingency string",
-        [
-            (1, "daily queue", "BATCH", "can wait for hours", "use the last score"),
-            (2, "audit and reports", "BATCH", "history and volume", "read the last snapshot"),
-            (3, "full rescoring for a new version", "BATCH", "heavy and repeatable", "go on by partition"),
-            (4, "routing at intake", "API", "changes the flow at once", "queue or manual review"),
-            (5, "single look-up", "API_O_BATCH", "stored or fresh score", "show date and version"),
-            (6, "mass integration", "BATCH", "saves millions of calls", "table, file or event"),
-            (7, "automatic blocking", "API_CON_CONTROLES", "fast and safeguarded", "never by score alone"),
-        ],
-    ),
 }
 
 

@@ -80,6 +80,34 @@ def test_failures_are_recorded_and_raised(spark, source, folder):
     assert not spark.catalog.tableExists(t.scores)
 
 
+def test_a_run_id_belongs_to_one_version(spark, source, folder):
+    t = tables("owned", folder)
+    score_batch(source, formula, "m:1", t, run_id="a")
+    before = audit(spark, t)
+    with pytest.raises(ValueError, match="belongs to another model version"):
+        score_batch(source, formula, "m:2", t, run_id="a")
+    rows = {r.id_ejecucion: r for r in spark.table(t.runs).collect()}
+    assert rows["a"].estado == "SUCCESS" and rows["a"].version_modelo == "m:1"
+    assert rows["a@m:2"].estado == "FAILED" and rows["a@m:2"].registros_exitosos == 0
+    assert spark.table(t.scores).filter("version_modelo = 'm:2'").count() == 0 and before
+    assert score_batch(source, formula, "m:2", t, run_id="b").published == source.count()
+
+
+def test_scorer_with_other_inputs_is_refused(spark, source, folder):
+    t = tables("inputs", folder)
+
+    def scorer(df):
+        return formula(df)
+
+    scorer.features = C.FEATURES[::-1]
+    with pytest.raises(ValueError, match="approved order"):
+        score_batch(source, scorer, "m:1", t, run_id="a")
+    long = "first line\n" + "x" * 900
+    with pytest.raises(RuntimeError):
+        score_batch(source, lambda df: (_ for _ in ()).throw(RuntimeError(long)), "m:1", t, run_id="b")
+    assert {r.id_ejecucion: r.mensaje_error for r in spark.table(t.runs).collect()}["b"] == long
+
+
 def test_null_keys_survive_the_anti_join(spark):
     claims = spark.createDataFrame([("a",), (None,)], "id_reclamacion string")
     scores = spark.createDataFrame([("a", "m:1"), (None, "m:1"), ("b", "m:2")], "id_reclamacion string, version_modelo string")
@@ -133,7 +161,12 @@ def test_training_compares_three_models(spark, trained):
 
 def test_training_is_repeatable(spark, trained):
     rows = [trained.train, trained.test]
-    a, b = (MD.fit_all(*rows, names=["random_forest"])[0] for _ in range(2))
+    before, fitted = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for setting in (before, "7"):  # the session's setting has no say
+        spark.conf.set("spark.sql.shuffle.partitions", setting)
+        fitted += MD.fit_all(*rows, names=["random_forest"])
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    a, b = fitted
     assert a.area_under_pr == b.area_under_pr
     doubles = trained.test.withColumns({f: F.col(f).cast("double") for f in C.FEATURES})
     assert MD.model_equivalence(a.model, b.model, doubles).first().max_diferencia_score == 0.0

@@ -129,3 +129,11 @@ def test_curve_areas_keep_the_null_group(spark):
     df = spark.createDataFrame(rows, "g string, label double, score_fraude double")
     out = {r.g: r for r in curve_areas(df, by=["g"]).collect()}
     assert set(out) == {"a", None} and out["a"].roc_auc == out[None].roc_auc and out[None].positivos == 5
+
+
+def test_tiles_of_odd_scores(spark):
+    """Nulls and NaN come after everything, negative infinity included."""
+    scores = [float("inf"), 3.0, 2.0, 1.0, float("-inf"), None, float("nan"), None]
+    df = spark.createDataFrame([(f"k{i}", s) for i, s in enumerate(scores)], "key string, score double")
+    got = {r["key"]: r["decil"] for r in R.tile(df, "score", "key", tiles=8).collect()}
+    assert [got[f"k{i}"] for i in range(5)] == [1, 2, 3, 4, 5] and {got[f"k{i}"] for i in (5, 6, 7)} == {6, 7, 8}

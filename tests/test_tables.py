@@ -95,9 +95,8 @@ def test_missing_table_and_schema_and_view(spark):
 
 def test_policy_tables(spark):
     sizes = {
-        "monitoring_metric_policy": 14, "retraining_decision_policy": 8, "monitoring_incident_assessment_demo": 8, "mlops_artifact_policy": 12,
-        "score_consumption_options": 12, "score_interface_contract": 16, "score_service_objectives": 8, "score_error_contract": 10,
-        "score_cost_drivers": 8, "score_consumption_recommendation": 7,
+        "monitoring_metric_policy": 14, "retraining_decision_policy": 8,
+        "score_interface_contract": 16, "score_error_contract": 10,
     }
     tables.create_schema(spark, "politicas")
     names = policies.seed(spark, "politicas")
