@@ -108,8 +108,12 @@ def signed(mask: int) -> int:
 
 
 def bucketed(distinct: DataFrame, masks: list[int]) -> DataFrame:
-    """(keys, fp): each fingerprint once for each choice of pieces."""
-    return distinct.select(F.explode(F.array(*[F.lit(i) for i in range(len(masks))])).alias("keys"), "fp")
+    """(keys, fp): each fingerprint once for each choice of pieces.
+
+    Dealt out first, by number, so that no task multiplies and counts a large part of them.
+    """
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return distinct.repartition(tasks, "fp").select(F.explode(F.array(*[F.lit(i) for i in range(len(masks))])).alias("keys"), "fp")
 
 
 def masked(masks: list[int]) -> Column:
