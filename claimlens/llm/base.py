@@ -17,8 +17,8 @@ from claimlens.session import configure, run_folder
 # A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Rows of a batch handed to Python: bounds a worker's memory where texts are long.
-BATCH_ROWS = "1000"
+# Rows and bytes of a batch handed to Python: bounds a worker's memory where texts are long.
+BATCH_ROWS, BATCH_BYTES = "1000", "4m"
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -26,6 +26,7 @@ def ready(spark: SparkSession) -> SparkSession:
     configure(spark)
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from claimlens.llm.base import WORD, pieces, stored, texts_of
 from claimlens.llm.components import components
@@ -45,39 +45,49 @@ SMALL = 16
 # Reference fingerprints, by rule.
 REFERENCES = np.array([xxhash.xxh64_intdigest(f"pivot {i}", SEED) for i in range(PIVOTS)], np.uint64)
 
-find_words = re.compile(WORD.encode()).findall
+# Words of a text hashed at a time: bounds what a very long text takes.
+WORDS = 20_000
+
+find_words = re.compile(WORD.encode()).finditer
 
 
 # --- fingerprints -----------------------------------------------------------------
 
 
-def shingle_hashes(text: str, width: int) -> list[int]:
-    words = find_words(text.encode("utf-8", "replace").lower())  # bytes.lower() changes A-Z only
-    if not words:
-        return []
-    joined = b" ".join(words)
-    if len(words) <= width:
-        return [xxhash.xxh64_intdigest(joined, SEED)]
-    ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
-    starts = [0, *[e + 1 for e in ends[:-width]]]
+def shingle_hashes(text: str, width: int) -> Iterator[np.ndarray]:
+    """Hashes of all shingles, some thousand at a time."""
     hash_of = xxhash.xxh64_intdigest
-    return [hash_of(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :])]
+    found = find_words(text.encode("utf-8", "replace").lower())  # bytes.lower() changes A-Z only
+    words: list[bytes] = []
+    while more := [m.group() for m in islice(found, WORDS)]:
+        words = words[len(words) - width + 1 :] + more if words else more
+        joined = b" ".join(words)
+        ends = (np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1).tolist()
+        if len(words) < width:
+            yield np.array([hash_of(joined, SEED)], "<u8")
+        else:
+            starts = [0, *[e + 1 for e in ends[:-width]]]
+            yield np.array([hash_of(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :])], "<u8")
 
 
-def majority(hashes: np.ndarray) -> np.uint64:
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    return np.packbits(bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes), bitorder="little").view("<u8")[0]
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
 
 
 def fingerprints(texts: list[str], width: int, second: bool = False) -> list[np.ndarray]:
     """Signed 64-bit fingerprints of each text: one array, or two."""
     out = [np.zeros(len(texts), np.uint64) for _ in range(1 + second)]
     for i, text in enumerate(texts):
-        hashes = np.array(shingle_hashes(text, width), "<u8")
-        for found in out if len(hashes) else ():
-            found[i] = majority(hashes)
-            hashes = (hashes ^ hashes >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
-            hashes ^= hashes >> np.uint64(29)
+        n, counts = 0, np.zeros((len(out), 64), np.int64)
+        for hashes in shingle_hashes(text, width):
+            n += len(hashes)
+            for count in counts:
+                count += bit_counts(hashes)
+                hashes = (hashes ^ hashes >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+                hashes ^= hashes >> np.uint64(29)
+        for found, count in zip(out, counts):
+            found[i] = np.packbits(count * 2 > n, bitorder="little").view("<u8")[0]
     return [x.view(np.int64) for x in out]
 
 
@@ -276,8 +286,10 @@ def dedup(
 ) -> DataFrame:
     """One row of each component, with the columns of ``df``."""
     columns = ["__sim_fp"] if also_bits is None else ["__sim_fp", "__sim_second"]
-    given = df.withColumn("__sim_text", F.col(text).cast("string"))
-    marked = stored(with_fingerprint(given, "__sim_text", width, *columns).drop("__sim_text"), "marked")
+    given, shown = df, text
+    if df.schema[text].dataType != StringType():
+        given, shown = df.withColumn("__sim_text", F.col(text).cast("string")), "__sim_text"
+    marked = stored(with_fingerprint(given, shown, width, *columns).drop("__sim_text"), "marked")
     more = {} if also_bits is None else {"second": columns[1], "also_bits": also_bits}
     found = component_ids(marked.select(id, *columns), id, columns[0], max_bits, agree, **more)
     found = found.select(F.col("fp").alias("__sim_fp"), F.col("root").alias("__sim_root"))
