@@ -37,7 +37,7 @@ from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 from claimlens.llm.base import pieces, stored, texts_of
 from claimlens.llm.tokenizer import Encoder, encoder
 
-KEY, PARTS, IDS, TEXT = "__bpe_key", "__bpe_parts", "__bpe_ids", "__bpe_text"
+KEY, PARTS, IDS, TEXT, DECODED = "__bpe_key", "__bpe_parts", "__bpe_ids", "__bpe_text", "__bpe_decoded"
 
 PIECE = "struct<head:string,middle:binary,tail:string>"
 PIECE_TYPE = pa.struct([("head", pa.string()), ("middle", pa.binary()), ("tail", pa.string())])
@@ -213,14 +213,32 @@ def unpacked(data: bytes) -> np.ndarray:
 # --- the operator -----------------------------------------------------------------
 
 
-def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids", keep_text: bool = True) -> DataFrame:
-    """All columns of ``df`` (``text`` only if ``keep_text``) and ``ids``: little-endian unsigned 32-bit integers."""
+def encode(
+    df: DataFrame,
+    tokenizer: str,
+    text: str = "text",
+    ids: str = "ids",
+    keep_text: bool = True,
+    decoded: str | None = None,
+) -> DataFrame:
+    """All columns of ``df`` (``text`` only if ``keep_text``) and ``ids``: little-endian unsigned 32-bit integers.
+
+    With ``decoded`` a column of that name holds what ``decode`` makes of the ids, in the same pass over them: a task
+    then needs one Python worker instead of two.
+    """
     spark = df.sparkSession
     bits = spark.sparkContext.broadcast(shared_map(df, text, tokenizer))
     kept = df.columns if keep_text else [c for c in df.columns if c != text]
     given = df.select(*kept, F.col(text).cast("string").alias(TEXT))
     fields = df.select(*kept).schema.fields
 
+    def finished(e: Encoder, batch: pa.RecordBatch, made: list[bytes | None]) -> pa.RecordBatch:
+        columns, names = [*batch.columns[: len(kept)], pa.array(made, pa.binary())], [*kept, IDS]
+        if decoded is not None:
+            columns.append(pa.array([None if x is None else e.decode(np.frombuffer(x, "<u4")) for x in made], pa.string()))
+            names.append(DECODED)
+        return pa.RecordBatch.from_arrays(columns, names)
+
     def direct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, sharing = encoder(tokenizer), Sharing(bits.value)
         for batch in pieces(batches):
@@ -228,9 +246,8 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids",
             for value in texts_of(batch.column(len(kept))):
                 whole = not e.settled(value) or not any(sharing.flags(chunks(value.encode())))
                 made.append(e.encode(value).astype("<u4").tobytes() if whole else None)
-            column = pa.array(made, pa.binary())
-            full = pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], column], [*kept, IDS])
-            yield full.filter(column.is_valid())
+            full = finished(e, batch, made)
+            yield full.filter(full.column(len(kept)).is_valid())
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, sharing = encoder(tokenizer), Sharing(bits.value)
@@ -246,16 +263,19 @@ def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids",
             yield full.filter(key.is_valid())
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        e = encoder(tokenizer)
         for batch in pieces(batches):
-            made = [unpacked(x).tobytes() for x in batch.column(len(kept)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(made, pa.binary())], [*kept, IDS])
+            yield finished(e, batch, [unpacked(x).tobytes() for x in batch.column(len(kept)).to_pylist()])
 
     with_ids = StructType([*fields]).add(IDS, BinaryType())
+    if decoded is not None:
+        with_ids = with_ids.add(DECODED, StringType())
     with_parts = StructType([*fields]).add(KEY, BinaryType()).add(PARTS, PART_LIST)
     ready = given.mapInArrow(direct, with_ids)
     rest = stored(given.mapInArrow(shared, with_parts), "shared-texts")
     joined = rest.drop(PARTS).join(assembled(rest.select(KEY, PARTS), tokenizer), KEY).select(*kept, IDS)
-    return ready.unionByName(joined.mapInArrow(unpack, with_ids)).withColumnRenamed(IDS, ids)
+    out = ready.unionByName(joined.mapInArrow(unpack, with_ids)).withColumnRenamed(IDS, ids)
+    return out if decoded is None else out.withColumnRenamed(DECODED, decoded)
 
 
 def assembled(rest: DataFrame, tokenizer: str) -> DataFrame:

@@ -81,8 +81,7 @@ def tokenizer() -> str:
 @register
 def op1_bpe_chunk_reuse(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, tokenizer(), keep_text=False)
-    return bpe.decode(encoded, tokenizer()).select(
+    return bpe.encode(docs, tokenizer(), keep_text=False, decoded="decoded").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import tiktoken
@@ -62,9 +62,7 @@ class Encoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.path = path
         self.special = [t["content"] for t in spec["added_tokens"]]
         ranks = rank_table(spec)
         self.fast = self.bytes_of = None
@@ -73,6 +71,14 @@ class Encoder:
             self.fast = tiktoken.Encoding("file", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens=added)
             self.bytes_of = {i: b for b, i in ranks.items()} | {i: s.encode() for s, i in added.items()}
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """Loaded by the first text that needs it: it takes 30 MB of each worker."""
+        library = Tokenizer.from_file(self.path)
+        library.no_truncation()
+        library.no_padding()
+        return library
+
     def settled(self, text: str) -> bool:
         """Whether the fast way is known to agree with the library."""
         if self.fast is None or not text.isascii() and UNSETTLED.search(text):

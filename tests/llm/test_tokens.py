@@ -86,9 +86,10 @@ def test_chunks_depend_on_content():
         assert all(c.decode() for _, c in bpe.chunks(text.encode()))
 
 
-def test_encode_and_decode_keep_rows(spark, docs, odd_rows):
+@pytest.mark.parametrize("one_pass", [False, True])
+def test_encode_and_decode_keep_rows(spark, docs, odd_rows, one_pass):
     given = docs(odd_rows).withColumnRenamed("lang", "ids_of_other")
-    made = bpe.decode(bpe.encode(given, PATH), PATH)
+    made = bpe.encode(given, PATH, decoded="decoded") if one_pass else bpe.decode(bpe.encode(given, PATH), PATH)
     assert made.columns == [*given.columns, "ids", "decoded"]
     got = sorted((r.doc_id is None, r.doc_id or 0, r.text or "", bytes(r.ids), r.decoded) for r in made.collect())
     want = sorted(
