@@ -118,12 +118,13 @@ def signed(mask: int) -> int:
 
 
 def bucketed(distinct: DataFrame, masks: list[int]) -> DataFrame:
-    """(keys, fp): each fingerprint once for each choice of pieces.
+    """(keys, fp, and second if given): each fingerprint once for each choice of pieces.
 
     Dealt out first, by number, so that no task multiplies and counts a large part of them.
     """
     tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return distinct.repartition(tasks, "fp").select(F.explode(F.array(*[F.lit(i) for i in range(len(masks))])).alias("keys"), "fp")
+    number = F.explode(F.array(*[F.lit(i) for i in range(len(masks))])).alias("keys")
+    return distinct.repartition(tasks, "fp").select(number, *distinct.columns)
 
 
 def masked(masks: list[int]) -> Column:
@@ -132,24 +133,25 @@ def masked(masks: list[int]) -> Column:
 
 
 def in_blocks(buckets: DataFrame, masks: list[int], largest: int) -> DataFrame:
-    """Rows by bucket and pair of blocks: (keys, masked, first, second, fp). Small buckets are one block."""
+    """Rows by bucket and pair of blocks: (keys, masked, first, last, fp, ...). Small buckets are one block."""
+    prints = buckets.columns[1:]
     sizes = buckets.groupBy("keys", masked(masks).alias("masked")).agg(F.count("*").alias("n"))
     # Few or none; written, so that their size is known before the join.
     large = stored(sizes.where(F.col("n") > largest), "large-buckets")
     large = large.select(F.col("keys").alias("large_keys"), F.col("masked").alias("large_masked"), "n")
     own_bucket = (F.col("keys") == F.col("large_keys")) & (masked(masks) == F.col("large_masked"))
-    sized = buckets.join(large, own_bucket, "left").select("keys", "fp", "n")
+    sized = buckets.join(large, own_bucket, "left").select("keys", *prints, "n")
     sized = sized.withColumn("blocks", F.coalesce(F.ceil(F.col("n") / F.lit(largest)), F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
     partners = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
-        lambda other: F.struct(F.least(own, other).alias("first"), F.greatest(own, other).alias("second")),
+        lambda other: F.struct(F.least(own, other).alias("first"), F.greatest(own, other).alias("last")),
     )
-    paired = sized.select("keys", "fp", F.explode(partners).alias("pair"))
+    paired = sized.select("keys", *prints, F.explode(partners).alias("pair"))
     rows = paired.repartition("keys", masked(masks), "pair").select(
-        "keys", masked(masks).alias("masked"), "pair.first", "pair.second", "fp"
+        "keys", masked(masks).alias("masked"), "pair.first", "pair.last", *prints
     )
-    return rows.sortWithinPartitions("keys", "masked", "first", "second")
+    return rows.sortWithinPartitions("keys", "masked", "first", "last")
 
 
 def distances(fps: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -161,33 +163,43 @@ def pivot_table(fps: np.ndarray) -> np.ndarray:
     return distances(fps[:, None], REFERENCES[None, :]).astype(np.int8)
 
 
-def close(fps: np.ndarray, table: np.ndarray, a: np.ndarray, b: np.ndarray, max_bits: int) -> np.ndarray:
-    """Which of the pairs (a, b) of rows are close: pivots first, then their own distance."""
-    maybe = np.flatnonzero((np.abs(table[a] - table[b]) <= max_bits).all(axis=1))
-    return maybe[distances(fps[a[maybe]], fps[b[maybe]]) <= max_bits]
+class Close:
+    """Which fingerprints of some rows are close: in the first and, if there is one, in the second."""
 
+    def __init__(self, fps: np.ndarray, max_bits: int, second: np.ndarray | None = None, also_bits: int = 64):
+        self.fps, self.max_bits, self.second, self.also_bits = fps, max_bits, second, also_bits
+        self.table = pivot_table(fps)
 
-def small_links(fps: np.ndarray, group: np.ndarray, max_bits: int) -> list[np.ndarray]:
+    def among(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Places of the close ones among the pairs (a, b) of rows: pivots first, then their own distance."""
+        kept = np.flatnonzero((np.abs(self.table[a] - self.table[b]) <= self.max_bits).all(axis=1))
+        kept = kept[distances(self.fps[a[kept]], self.fps[b[kept]]) <= self.max_bits]
+        if self.second is not None:
+            kept = kept[distances(self.second[a[kept]], self.second[b[kept]]) <= self.also_bits]
+        return kept
+
+
+def small_links(rows: Close, group: np.ndarray) -> list[np.ndarray]:
     """Links within small groups: row i against rows i + 1, i + 2, ... while they are of its group."""
-    table, found = pivot_table(fps), []
+    fps, found = rows.fps, []
     for step in range(1, SMALL):
         a = np.flatnonzero(group[:-step] == group[step:]) if step < len(fps) else np.empty(0, np.int64)
         if not len(a):
             break
-        kept = close(fps, table, a, a + step, max_bits)
-        found.append(np.stack([fps[a[kept]], fps[a[kept] + step]], axis=1))
+        a = a[rows.among(a, a + step)]
+        found.append(np.stack([fps[a], fps[a + step]], axis=1))
     return found
 
 
-def large_links(fps: np.ndarray, max_bits: int) -> list[np.ndarray]:
+def large_links(rows: Close) -> list[np.ndarray]:
     """A spanning forest of the links of one group: from each member reached, the close ones not yet reached."""
-    table, found = pivot_table(fps), []
+    fps, found = rows.fps, []
     left = np.arange(len(fps))
     while len(left):
         waiting, left = [int(left[0])], left[1:]
         while waiting and len(left):
             at = waiting.pop()
-            kept = close(fps, table, np.full(len(left), at), left, max_bits)
+            kept = rows.among(np.full(len(left), at), left)
             reached = left[kept]
             found.append(np.stack([np.full(len(reached), fps[at]), fps[reached]], axis=1))
             waiting += reached.tolist()
@@ -195,8 +207,14 @@ def large_links(fps: np.ndarray, max_bits: int) -> list[np.ndarray]:
     return found
 
 
-def links(distinct: DataFrame, max_bits: int, agree: int = AGREE, largest: int = BUCKET) -> DataFrame:
-    """(a, b): links between the fingerprints ``fp``, enough to connect all that are close."""
+def links(
+    distinct: DataFrame, max_bits: int, agree: int = AGREE, largest: int = BUCKET, also_bits: int = 64
+) -> DataFrame:
+    """(a, b): links between the fingerprints ``fp``, enough to connect all that are close.
+
+    If ``distinct`` has a column ``second``, a link needs that one within ``also_bits`` too. This is checked before the
+    spanning forest is chosen: a forest of unconfirmed links may leave out the confirmed ones.
+    """
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried: pa.Table | None = None
@@ -204,16 +222,21 @@ def links(distinct: DataFrame, max_bits: int, agree: int = AGREE, largest: int =
         def flush(rows: pa.Table) -> pa.RecordBatch:
             columns = [rows.column(c).to_numpy() for c in range(4)]
             fps = rows.column(4).to_numpy().view(np.uint64)
+            second = rows.column(5).to_numpy().view(np.uint64) if rows.num_columns > 5 else None
+
+            def at(places: np.ndarray | slice) -> Close:
+                return Close(fps[places], max_bits, None if second is None else second[places], also_bits)
+
             change = np.zeros(len(fps), bool)
             for c in columns:
                 change[1:] |= c[1:] != c[:-1]
             group = np.cumsum(change)
             sizes = np.bincount(group)
             few = (sizes[group] > 1) & (sizes[group] <= SMALL)
-            found = small_links(fps[few], group[few], max_bits) if few.any() else []
+            found = small_links(at(few), group[few]) if few.any() else []
             starts = np.cumsum(sizes) - sizes
             for g in np.flatnonzero(sizes > SMALL).tolist():
-                found += large_links(fps[starts[g] : starts[g] + sizes[g]], max_bits)
+                found += large_links(at(slice(starts[g], starts[g] + sizes[g])))
             pairs = np.concatenate(found) if found else np.empty((0, 2), np.uint64)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, i].view(np.int64)) for i in (0, 1)], ["a", "b"])
 
@@ -252,11 +275,8 @@ def component_ids(
     other = F.lit(0).cast("long") if second is None else F.col(second)
     distinct = marked.groupBy(F.col(fp).alias("fp")).agg(F.min(id).alias("least"), F.min(other).alias("second"))
     distinct = stored(distinct, "fingerprints")
-    found = links(distinct.select("fp"), max_bits, agree, largest)
-    if second is not None:
-        ends = [distinct.select(F.col("fp").alias(c), F.col("second").alias(f"{c}2")) for c in ("a", "b")]
-        confirmed = F.bit_count(F.col("a2").bitwiseXOR(F.col("b2"))) <= also_bits
-        found = found.join(ends[0], "a").join(ends[1], "b").where(confirmed).select("a", "b")
+    prints = ["fp"] if second is None else ["fp", "second"]
+    found = links(distinct.select(*prints), max_bits, agree, largest, also_bits)
     roots = components(found).withColumnRenamed("node", "fp")
     joined = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))

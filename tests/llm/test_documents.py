@@ -258,6 +258,35 @@ def test_links_lose_nothing(spark, largest, max_bits, agree):
     assert all(root == min(nodes) for root, nodes in got.items())
 
 
+@pytest.mark.parametrize("largest", [4096, 7])
+def test_second_fingerprint_loses_nothing(spark, largest):
+    """In dense groups, of which the second fingerprint confirms some links only."""
+    r = np.random.default_rng(5)
+    rows = {}
+    for _ in range(12):
+        x, y = (int(v) for v in r.integers(0, 2**64, 2, dtype=np.uint64))
+        for _ in range(30):
+            flips = lambda k: sum(1 << int(b) for b in r.choice(64, k, replace=False))
+            rows[x ^ flips(2)] = y ^ flips(9)
+    rows = list(rows.items())
+    given = spark.createDataFrame([(simhash.signed(a), simhash.signed(b)) for a, b in rows], "fp long, second long")
+    roots = {r.node: r.root for r in components(simhash.links(given, 8, 3, largest, 14)).collect()}
+    parent = list(range(len(rows)))
+    near = [
+        (i, j)
+        for i, j in combinations(range(len(rows)), 2)
+        if (rows[i][0] ^ rows[j][0]).bit_count() <= 8 and (rows[i][1] ^ rows[j][1]).bit_count() <= 14
+    ]
+    for _ in rows:
+        for i, j in near:
+            parent[i] = parent[j] = min(parent[i], parent[j])
+    groups, got = defaultdict(set), defaultdict(set)
+    for i, (a, _) in enumerate(rows):
+        groups[parent[i]].add(simhash.signed(a))
+        got[roots.get(simhash.signed(a), simhash.signed(a))].add(simhash.signed(a))
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
+
+
 def test_long_chains(spark):
     n = 300
     chain = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(1000, 1001)], "a long, b long")
