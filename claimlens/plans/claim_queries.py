@@ -311,7 +311,11 @@ def label_counts(spark, folder):
     return RP.count_by(labelled(spark, folder), C.TARGET, "label")
 
 
-_PROFILED = ["id_reclamacion", "Fraude_S_N", "edad_actual_asegurado", "Sum_Valor_Reservas_Inicial", "FSINIESTRO", "F_Notificacion", "Fecha_Apertura", "REGIONAL"]
+_PROFILED = [
+    "id_reclamacion", "Fraude_S_N", "edad_ingreso_asegurado", "edad_actual_asegurado", "vigencia_poliza", "vigencia_certificado",
+    "Sum_Valor_Reservas_Inicial", "A_o", "Fecha_Primera_Vigencia_Cert", "fecha_primera_vigencia_pol", "FEXPEDICION", "FSINIESTRO",
+    "F_Notificacion", "Fecha_Apertura", "Ramo_Desc", "Nombre_Canal_Comercial", "REGIONAL", "Cobertura", "score_formula", "lote",
+]  # every column of the claims
 
 
 @query(
@@ -320,7 +324,7 @@ _PROFILED = ["id_reclamacion", "Fraude_S_N", "edad_actual_asegurado", "Sum_Valor
     O.with_(O.CLAIMS) + "\nUNION ALL ".join(f"""SELECT '{c}' AS columna, count(CASE WHEN "{c}" IS NULL THEN 1 END) AS nulos FROM claims""" for c in _PROFILED),
 )
 def column_nulls(spark, folder):
-    return P.null_counts(A.claims(spark, folder).select(*_PROFILED))
+    return P.null_counts(A.claims(spark, folder))
 
 
 @query("column_profile", "D2 B11 B12")
