@@ -237,10 +237,10 @@ def latest_candidate_report(results: DataFrame) -> DataFrame:
 
 
 def metric_comparison(champion: DataFrame, candidate: DataFrame) -> DataFrame:
-    """Champion and candidate metrics side by side. Columns in: model_name, metric, value."""
+    """Champion and candidate metrics side by side; one that a side lacks has a null delta. In: model_name, metric, value."""
     a = champion.select("model_name", "metric", F.col("value").alias("champion_value"))
     b = candidate.select("model_name", "metric", F.col("value").alias("candidate_value"))
-    return a.join(b, ["model_name", "metric"]).withColumn("delta", F.col("candidate_value") - F.col("champion_value"))
+    return a.join(b, ["model_name", "metric"], "full").withColumn("delta", F.col("candidate_value") - F.col("champion_value"))
 
 
 # --- promotion and rollback -------------------------------------------------------------------

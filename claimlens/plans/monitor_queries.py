@@ -745,12 +745,11 @@ def decided_pairs(spark, folder) -> DataFrame:
     "champion_metric_comparison",
     "C5",
     O.with_(PAIRS)
-    + """SELECT model_name, 'roc_auc' AS metric, champion_roc_auc AS champion_value, roc_auc AS candidate_value, roc_auc - champion_roc_auc AS delta FROM pairs
-WHERE roc_auc IS NOT NULL AND champion_roc_auc IS NOT NULL""",
+    + """SELECT model_name, 'roc_auc' AS metric, champion_roc_auc AS champion_value, roc_auc AS candidate_value, roc_auc - champion_roc_auc AS delta FROM pairs""",
 )
 def champion_metric_comparison(spark, folder):
     pairs = candidate_pairs(spark, folder)
-    long = pairs.select("model_name", F.lit("roc_auc").alias("metric"), "champion_roc_auc", "roc_auc").dropna()
+    long = pairs.select("model_name", F.lit("roc_auc").alias("metric"), "champion_roc_auc", "roc_auc")
     return G.metric_comparison(
         long.select("model_name", "metric", F.col("champion_roc_auc").alias("value")), long.select("model_name", "metric", F.col("roc_auc").alias("value"))
     )
