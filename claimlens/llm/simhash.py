@@ -142,7 +142,7 @@ def in_blocks(buckets: DataFrame, masks: list[int], largest: int) -> DataFrame:
     own_bucket = (F.col("keys") == F.col("large_keys")) & (masked(masks) == F.col("large_masked"))
     sized = buckets.join(large, own_bucket, "left").select("keys", *prints, "n")
     sized = sized.withColumn("blocks", F.coalesce(F.ceil(F.col("n") / F.lit(largest)), F.lit(1)))
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    own = F.pmod(F.xxhash64(*prints), F.col("blocks"))  # equal fingerprints are dealt out too
     partners = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
         lambda other: F.struct(F.least(own, other).alias("first"), F.greatest(own, other).alias("last")),
@@ -207,6 +207,36 @@ def large_links(rows: Close) -> list[np.ndarray]:
     return found
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The sorted rows of blocks (see ``in_blocks``) in tables that cut no group."""
+    carried: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if carried is None else pa.concat_tables([carried, rows])
+        # The last group may go on in the next batch.
+        end, last = len(rows), [rows.column(c)[len(rows) - 1] for c in range(4)] if len(rows) else None
+        if last is None:
+            continue
+        same = np.ones(end, bool)
+        for c in range(4):
+            same &= rows.column(c).to_numpy() == last[c].as_py()
+        first = end - int(same.sum())
+        if first:
+            yield rows.slice(0, first)
+        carried = rows.slice(first).combine_chunks()
+    if carried is not None:
+        yield carried
+
+
+def group_numbers(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each row's group, and the groups' sizes."""
+    change = np.zeros(len(rows), bool)
+    for column in (rows.column(c).to_numpy() for c in range(4)):
+        change[1:] |= column[1:] != column[:-1]
+    group = np.cumsum(change)
+    return group, np.bincount(group)
+
+
 def links(
     distinct: DataFrame, max_bits: int, agree: int = AGREE, largest: int = BUCKET, also_bits: int = 64
 ) -> DataFrame:
@@ -217,45 +247,21 @@ def links(
     """
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried: pa.Table | None = None
-
-        def flush(rows: pa.Table) -> pa.RecordBatch:
-            columns = [rows.column(c).to_numpy() for c in range(4)]
+        for rows in whole_groups(batches):
             fps = rows.column(4).to_numpy().view(np.uint64)
             second = rows.column(5).to_numpy().view(np.uint64) if rows.num_columns > 5 else None
 
             def at(places: np.ndarray | slice) -> Close:
                 return Close(fps[places], max_bits, None if second is None else second[places], also_bits)
 
-            change = np.zeros(len(fps), bool)
-            for c in columns:
-                change[1:] |= c[1:] != c[:-1]
-            group = np.cumsum(change)
-            sizes = np.bincount(group)
+            group, sizes = group_numbers(rows)
             few = (sizes[group] > 1) & (sizes[group] <= SMALL)
             found = small_links(at(few), group[few]) if few.any() else []
             starts = np.cumsum(sizes) - sizes
             for g in np.flatnonzero(sizes > SMALL).tolist():
                 found += large_links(at(slice(starts[g], starts[g] + sizes[g])))
             pairs = np.concatenate(found) if found else np.empty((0, 2), np.uint64)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, i].view(np.int64)) for i in (0, 1)], ["a", "b"])
-
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = rows if carried is None else pa.concat_tables([carried, rows])
-            # The last group may go on in the next batch.
-            end, last = len(rows), [rows.column(c)[len(rows) - 1] for c in range(4)] if len(rows) else None
-            if last is None:
-                continue
-            same = np.ones(end, bool)
-            for c in range(4):
-                same &= rows.column(c).to_numpy() == last[c].as_py()
-            first = end - int(same.sum())
-            if first:
-                yield flush(rows.slice(0, first))
-            carried = rows.slice(first).combine_chunks()
-        if carried is not None:
-            yield flush(carried)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, i].view(np.int64)) for i in (0, 1)], ["a", "b"])
 
     masks = [signed(sum(chosen)) for chosen in combinations(bit_pieces(max_bits + agree), agree)]
     return in_blocks(bucketed(distinct, masks), masks, largest).mapInArrow(linked, "a long, b long").distinct()
