@@ -184,26 +184,49 @@ def log_choose(n: Column, k: Column) -> Column:
 def hypergeometric(quota: Column, all: Column, drawn: Column, u: Column) -> Column:
     """How many of ``quota`` marked among ``all`` are in ``drawn`` draws without replacement: inversion at ``u``.
 
-    Looks at twelve standard deviations around the mean; what lies outside has a chance below 1e-30.
+    Starts at the mode, where the chance can't underflow, and goes up from there, then down. Looks at twelve standard
+    deviations and twelve more on either side; what lies outside has a chance below 1e-30.
     """
-    mean = quota.cast("double") * drawn / F.greatest(all, F.lit(1))
-    width = F.sqrt(mean * 12.0 * 12.0) + 12.0
-    low = F.greatest(F.lit(0).cast("long"), drawn - (all - quota), F.floor(mean - width))
-    high = F.least(quota, drawn, F.ceil(mean + width))
-    first = F.exp(log_choose(quota, low) + log_choose(all - quota, drawn - low) - log_choose(all, drawn))
-    found = F.aggregate(
-        F.sequence(low, high),
-        F.struct(first.alias("p"), F.lit(0.0).alias("sum"), F.lit(None).cast("long").alias("at")),
-        lambda acc, k: F.struct(
-            (
-                acc["p"] * (quota - k) * (drawn - k) / ((k + 1) * F.greatest(all - quota - drawn + k + 1, F.lit(1)))
-            ).alias("p"),
-            (acc["sum"] + acc["p"]).alias("sum"),
-            F.coalesce(acc["at"], F.when(acc["sum"] + acc["p"] >= u, k)).alias("at"),
+    marked, n, taken = (c.cast("double") for c in (quota, all, drawn))
+    spare = n - marked - taken
+    share = marked / F.greatest(n, F.lit(1.0))
+    variance = taken * share * (1.0 - share) * (n - taken) / F.greatest(n - 1.0, F.lit(1.0))
+    width = F.sqrt(variance) * 12.0 + 12.0
+    least, most = F.greatest(F.lit(0).cast("long"), drawn - (all - quota)), F.least(quota, drawn)
+    mode = F.greatest(least, F.least(most, F.floor((taken + 1.0) * (marked + 1.0) / (n + 2.0))))
+    low, high = F.greatest(least, F.floor(mode - width)), F.least(most, F.ceil(mode + width))
+    first = F.exp(log_choose(quota, mode) + log_choose(all - quota, drawn - mode) - log_choose(all, drawn))
+
+    def chance(acc: Column, k: Column) -> Column:
+        """Of k, from that of the value before it in the order."""
+        up = (marked - k + 1) * (taken - k + 1) / F.greatest(k * (spare + k), F.lit(1.0))
+        down = (k + 1) * (spare + k + 1) / F.greatest((marked - k) * (taken - k), F.lit(1.0))
+        before = F.when(k == acc["mode"] - 1, acc["first"]).otherwise(acc["p"])
+        return F.when(k == acc["mode"], acc["first"]).when(k > acc["mode"], acc["p"] * up).otherwise(before * down)
+
+    def step(acc: Column, k: Column) -> Column:
+        p = chance(acc, k)
+        return F.struct(
+            acc["mode"].alias("mode"),
+            acc["first"].alias("first"),
+            p.alias("p"),
+            (acc["sum"] + p).alias("sum"),
+            F.coalesce(acc["at"], F.when(acc["sum"] + p >= u, k)).alias("at"),
+        )
+
+    below = F.when(mode > low, F.sequence(mode - 1, low, F.lit(-1).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+    return F.aggregate(
+        F.concat(F.sequence(mode, high), below),
+        F.struct(
+            mode.alias("mode"),
+            first.alias("first"),
+            F.lit(0.0).alias("p"),
+            F.lit(0.0).alias("sum"),
+            F.lit(None).cast("long").alias("at"),
         ),
-        lambda acc: F.coalesce(acc["at"], high),
+        step,
+        lambda acc: F.coalesce(acc["at"], acc["mode"]),  # what rounding leaves
     )
-    return found
 
 
 def side(lo: str, hi: str, source: Column, quota: Column) -> Column:
