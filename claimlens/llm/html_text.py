@@ -1,8 +1,9 @@
 """Main text of web pages by composite text density.
 
 A page is parsed into a tree of elements. What can't be article text by its role is set aside: navigation, page
-headers and footers, sidebars, forms, scripts and styles, and elements whose class, id or role names
-an advert, a notice, a menu or reader comments. For every other element the composite density weighs
+headers and footers, sidebars, forms, scripts and styles, and elements whose role says so. A class or id that names
+an advert, a notice, a menu or a sidebar only weighs: such an element is set aside unless it holds the largest density sum or
+more than half of the page's text (text of article elements beside it weighs more); one that names reader comments, unless it holds nine tenths. For every other element the composite density weighs
 its characters per tag against its share of links. The densities of an element's children are added
 up, and the element with the largest sum carries the main text. The lowest density on the way from it up
 to the body is the threshold: elements beside that way belong to the text too if they reach it and
@@ -67,15 +68,25 @@ HINTS = set(
     "menu menus breadcrumb breadcrumbs pagination pager sidebar aside footer masthead comment comments commentlist "
     "disqus respond share sharing social related recommended widget toolbar skip hidden".split()
 )
+COMMENTS = {"comment", "comments", "commentlist", "disqus", "respond"}
+# A class or id hints only if all its parts are hints or these: "related-posts" does, "related-work" and "has-sidebar" don't.
+PARTS = set(
+    "left right top bottom main site page primary secondary global box bar block container wrapper wrap inner outer list "
+    "item items link links button buttons icon icons section area panel slot unit google header post posts article articles "
+    "story stories mobile desktop sticky form signup text body title reply author thread".split()
+)
 ARTICLES = {"article", "main"}
+# What lies beside the main text inside the same article element weighs so much more.
+ARTICLE_WEIGHT = 4.0
 
 
 class Node:
-    __slots__ = ("name", "parent", "items", "aside", "article", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "items", "aside", "article", "chars", "tags", "link_chars", "link_tags", "density", "total", "hint")
 
     def __init__(self, name: str, parent: Node | None, aside: bool = False, article: bool = False):
         self.name, self.parent, self.aside, self.article = name, parent, aside, article
         self.items: list[Node | str] = []
+        self.hint = ""
 
 
 def set_aside(name: str, attributes: str, inside_article: bool) -> bool:
@@ -90,13 +101,25 @@ def set_aside(name: str, attributes: str, inside_article: bool) -> bool:
             return True
         if key == "role" and value in ROLES:
             return True
-        if key in ("class", "id") and HINTS & set(re.split(r"[^a-z0-9]+", value)):
-            return True
         if key == "style" and re.search(r"display\s*:\s*none", value):
             return True
     return False
 
 
+def hint_of(name: str, attributes: str) -> str:
+    """What class and id hint at: "comment", "other" or nothing. Article elements can only be comments."""
+    found = ""
+    if not attributes.strip() or name in ("html", "body"):
+        return found
+    for key, value in ATTRIBUTE.findall(attributes):
+        if key.lower() in ("class", "id"):
+            for each in html.unescape(value.strip("\"'")).lower().split():
+                parts = {x for x in re.split(r"[^a-z0-9]+", each) if x and not x.isdigit()}
+                if parts & HINTS and parts <= HINTS | PARTS:
+                    found = "comment" if parts & COMMENTS else found or "other"
+    return "" if name in ARTICLES and found == "other" else found
+
+
 def parse(page: str) -> Node:
     """The tree of a page; elements set aside are left out with all they hold."""
     root = Node("#root", None)
@@ -141,6 +164,7 @@ def parse(page: str) -> Node:
             inside = inside.parent
         article = name in ARTICLES or "role" in m[3] and re.search(r"""role\s*=\s*["']?(main|article)\b""", m[3]) is not None
         node = Node(name, here, set_aside(name, m[3], inside is not root), article)
+        node.hint = hint_of(name, m[3])
         here.items.append(node)
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)
@@ -193,14 +217,39 @@ def measure(root: Node) -> list[Node]:
     return nodes
 
 
-def chosen(root: Node) -> list[Node]:
-    """The elements that hold the main text, in page order, none inside another."""
-    body = next((n for n in reversed(nodes_below(root)) if n.name == "body"), root)
-    nodes = measure(body)
+def densest(nodes: list[Node]) -> Node:
     best = nodes[-1]
     for n in reversed(nodes):  # of equal sums the outermost
         if n.total > best.total:
             best = n
+    return best
+
+
+def weighed(body: Node) -> list[Node]:
+    """The measured nodes, hinted elements set aside unless they carry the page."""
+    nodes = measure(body)
+    if any(n.hint == "comment" for n in nodes):
+        for n in nodes:
+            n.aside = n.aside or n.hint == "comment" and n.chars * 10 < body.chars * 9
+        nodes = measure(body)
+    if any(n.hint for n in nodes):
+        best = densest(nodes)
+        held = {id(n) for n in [best, *ancestors(best, body)]}
+        articles = [(n, {id(p) for p in ancestors(n, body)}) for n in nodes if n.article]
+        outer = [(n, above) for n, above in articles if not any(id(other) in above for other, _ in articles)]
+        for n in nodes:
+            if n.hint == "other" and id(n) not in held:
+                beside = sum(x.chars for x, above in outer if id(n) not in above and not any(p is x for p in ancestors(n, body)))
+                n.aside = n.aside or n.chars * 2 <= body.chars + (ARTICLE_WEIGHT - 1) * beside
+        nodes = measure(body)
+    return nodes
+
+
+def chosen(root: Node) -> list[Node]:
+    """The elements that hold the main text, in page order, none inside another."""
+    body = next((n for n in reversed(nodes_below(root)) if n.name == "body"), root)
+    nodes = weighed(body)
+    best = densest(nodes)
     way = [best]
     while way[-1] is not body:
         way.append(way[-1].parent)
