@@ -7,8 +7,8 @@ more than half of the page's text (text of article elements beside it weighs mor
 its characters per tag against its share of links. The densities of an element's children are added
 up, and the element with the largest sum carries the main text. The lowest density on the way from it up
 to the body is the threshold: elements beside that way belong to the text too if they reach it and
-aren't mostly links. If the chosen element lies in an ``article`` or ``main`` element, that whole
-element counts; if it holds some, these count.
+aren't mostly links; so does loose text directly in a parent. ``article`` and ``main`` elements choose nothing: they only give
+more weight to what lies beside the chosen element inside them.
 
 Blocks are cut at block-level elements. White space inside a block, line breaks and no-break spaces included, becomes one
 space; empty blocks vanish; blocks are joined by an empty line. Character references are decoded.
@@ -245,28 +245,56 @@ def weighed(body: Node) -> list[Node]:
     return nodes
 
 
+def wrap_loose(parent: Node, below: Node) -> bool:
+    """Make a node of each run of text and inline elements directly in a parent, ``below`` left out; whether any was found."""
+    items: list[Node | str] = []
+    run: list[Node | str] = []
+    found = False
+
+    def end() -> None:
+        nonlocal found
+        if any(isinstance(x, str) and x.strip() for x in run):
+            found = True
+            made = Node("#run", parent)
+            made.items = run.copy()
+            items.append(made)
+        else:
+            items.extend(run)
+        run.clear()
+
+    for x in parent.items:
+        if isinstance(x, str) or x is not below and not x.aside and (x.name in INLINE or x.name == "br"):
+            run.append(x)
+        else:
+            end()
+            items.append(x)
+    end()
+    parent.items = items
+    return found
+
+
 def chosen(root: Node) -> list[Node]:
     """The elements that hold the main text, in page order, none inside another."""
     body = next((n for n in reversed(nodes_below(root)) if n.name == "body"), root)
     nodes = weighed(body)
     best = densest(nodes)
-    way = [best]
-    while way[-1] is not body:
-        way.append(way[-1].parent)
-    articles = [n for n in way if n.article]
-    if articles:
-        return [articles[0]]
-    held = [n for n in reversed(nodes_below(best)) if n.article and n.chars]
-    if held:
-        outer = [n for n in held if not any(p.article for p in ancestors(n, best))]
-        return in_order(best, outer)
+    if best is body:
+        return [body]
+    way = [best, *ancestors(best, body)]
+    loose = [wrap_loose(parent, below) for parent, below in zip(way[1:], way)]
+    if any(loose):
+        nodes = measure(body)
     threshold = min(n.density for n in way)
     picked = {id(best)}
+    inside = any(n.article for n in way[1:])
     for parent, below in zip(way[1:], way):
+        weight = ARTICLE_WEIGHT if inside else 1.0
         for x in kept_items(parent):
-            if isinstance(x, Node) and x is not below and x.chars and x.density >= threshold and x.link_chars * 2 < x.chars:
-                picked.add(id(x))
-    return in_order(body, [n for n in nodes if id(n) in picked]) if best is not body else [body]
+            if isinstance(x, Node) and x is not below and x.chars and x.link_chars * 2 < x.chars:
+                if x.density * weight >= threshold:
+                    picked.add(id(x))
+        inside = inside and not (parent.article and not any(n.article for n in ancestors(parent, body)))
+    return in_order(body, [n for n in nodes if id(n) in picked])
 
 
 def ancestors(node: Node, top: Node) -> list[Node]:

@@ -26,3 +26,25 @@ HINTED = {
 def test_hints_only_weigh(name):
     body, want = HINTED[name]
     assert html_text.main_text(f"<html><body>{body}</body></html>") == want
+
+
+CHOSEN = {
+    "cards beside the text": (
+        f"<div id='story'><div><p>{LONG}</p></div><div><p>{LONG}</p></div>"
+        "<article><a href='/x'>card one</a></article><article><a href='/y'>card two</a></article></div>",
+        [LONG],
+    ),
+    "two articles": (
+        f"<main><article><h1>One</h1><p>{LONG}</p><p>{LONG}</p></article><article><h1>Two</h1><p>Second {LONG}</p></article></main>",
+        ["One", LONG, f"Second {LONG}", "Two"],
+    ),
+    "loose text": (f"<div>Loose {LONG} <b>bold</b><div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div></div>", [f"Loose {LONG} bold", LONG]),
+    "no articles": (f"<div><ul><li><a href='/'>a</a><li><a href='/'>b</a></ul></div><div><p>{LONG}</p><p>{LONG}</p></div>", [LONG]),
+}
+
+
+@pytest.mark.parametrize("name", CHOSEN)
+def test_density_decides(name):
+    body, wanted = CHOSEN[name]
+    got = html_text.main_text(f"<html><body>{body}</body></html>").split("\n\n")
+    assert all(w in got for w in wanted)
