@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import bpe, chat, exact_dedup, html_text, mixing, quality, sharding, simhash, token_counts, token_files
+from claimlens.llm import alignment, bpe, chat, exact_dedup, html_text, mixing, quality, sharding, simhash, token_counts, token_files
 from claimlens.llm.base import table
 from claimlens.session import run_folder
 
@@ -169,3 +169,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND host_kept AS kept
 FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source
 """
+
+
+@register
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Byte-level BPE tokens against sentencepiece tokens of every whole text."""
+    return alignment.decide(
+        table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )

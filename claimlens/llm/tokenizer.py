@@ -79,6 +79,14 @@ class Encoder:
         library.no_padding()
         return library
 
+    @cached_property
+    def plain_library(self) -> Tokenizer:
+        library = Tokenizer.from_file(self.path)
+        library.no_truncation()
+        library.no_padding()
+        library.encode_special_tokens = True
+        return library
+
     def settled(self, text: str) -> bool:
         """Whether the fast way is known to agree with the library."""
         if self.fast is None or not text.isascii() and UNSETTLED.search(text):
@@ -90,6 +98,12 @@ class Encoder:
             return self.fast.encode_to_numpy(text, allowed_special="all")
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def encode_plain(self, text: str) -> np.ndarray:
+        """As ``encode``, but the strings of special tokens in a text are ordinary text."""
+        if self.settled(text):
+            return np.array(self.fast.encode_ordinary(text), np.uint32)
+        return np.array(self.plain_library.encode(text, add_special_tokens=False).ids, np.uint32)
+
     def decode(self, ids: np.ndarray) -> str:
         if self.bytes_of is None:
             return self.library.decode(ids.tolist(), skip_special_tokens=False)
