@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import alignment, bpe, chat, exact_dedup, html_text, mixing, quality, sharding, simhash, token_counts, token_files
+from claimlens.llm import (
+    alignment,
+    bpe,
+    chat,
+    exact_dedup,
+    html_text,
+    mixing,
+    quality,
+    repair,
+    sharding,
+    simhash,
+    token_counts,
+    token_files,
+)
 from claimlens.llm.base import table
 from claimlens.session import run_folder
 
@@ -179,3 +193,36 @@ def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("piece_bpe_32k.model"),
     )
+
+
+def damaged(df: DataFrame) -> DataFrame:
+    """Conversations as a faulty export might leave them: rows lost, emptied, without stops, doubled, or all of users."""
+    text, role = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    way = F.crc32(name) % 20
+    times = F.explode(F.when(way == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")
+    return df.where(way != 0).select(
+        "conv_id",
+        "turn",
+        F.when(way == 4, "user").otherwise(role).alias("role"),
+        F.when(way == 1, "").when(way == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        times,
+    )
+
+
+@register
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, damaged and repaired; conversations that lost all rows too."""
+    given = table(spark, folder, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"
+    )
+    found = repair.report(damaged(given)).withColumnRenamed("conv_id", "found_id")
+    all_ids = given.groupBy("conv_id").agg(F.lit(1).alias("one"))
+    joined = all_ids.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    nothing = hashlib.sha256().hexdigest()
+    return joined.select(
+        "conv_id",
+        *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in repair.FACTS),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.lit(nothing)).alias("repaired_sha256"),
+    )
