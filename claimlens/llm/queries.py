@@ -16,6 +16,7 @@ from claimlens.llm import (
     exact_dedup,
     html_text,
     mixing,
+    packing,
     quality,
     repair,
     sharding,
@@ -226,3 +227,11 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.lit(nothing)).alias("repaired_sha256"),
     )
+
+
+@register
+def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole document in sequences of 4,096 tokens."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    _, placed = packing.pack(table(spark, folder, "documents"), path, end_id=1, capacity=4096)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
