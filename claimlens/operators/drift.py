@@ -1,13 +1,14 @@
 """Distribution drift between two periods: PSI, Kolmogorov-Smirnov, status, alerts, scenarios.
 
-The numeric part works on all columns at once with the value buckets of ``ranking``:
+The numeric part works on all columns at once with the value cells of ``narrowing``:
 
-1. one sketch pass gives bucket edges;
-2. one counting pass gives, per bucket, both period counts. That fixes the KS distance at every
-   bucket edge and tells which buckets hold the decile edges of the reference period;
-3. only buckets that hold a decile edge, or in which the KS distance could still exceed the best
-   edge distance, are looked at value by value;
-4. one counting pass over the exact PSI bins.
+1. one sketch pass and one counting pass give the counts of both periods per cell. That fixes the KS distance at
+   every cell's end and tells which cells hold the decile edges of the reference period;
+2. KS goes on best first: a cell is open while some order of its values could reach a distance above the best one known.
+   While open cells hold a good part of the rows they are counted again in smaller cells, the most promising
+   first; each new end raises the best distance and closes others. Then few values are left to look at;
+3. cells that hold a decile edge, and the most promising open ones, are looked at value by value, once;
+4. PSI bins add up the counts of whole cells; only cells that an edge cuts need their values, and those are known by then.
 
 Every figure is exact; rows never leave the executors.
 """
@@ -15,6 +16,8 @@ Every figure is exact; rows never leave the executors.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass, field
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -23,7 +26,13 @@ from pyspark.sql import functions as F
 
 from claimlens import config as C
 from claimlens.functions.features import log_reserve, strict_double
-from claimlens.operators.ranking import INF, bucket_splits, in_buckets, long_values, plain_double, sample_quantiles
+from claimlens.operators.narrowing import BUCKETS, CELLS, INF, LEAF, Cell, Cells
+from claimlens.operators.ranking import sample_quantiles
+from claimlens.session import shared_folder
+
+# Open cells that hold more than this share of a column's rows are divided rather than looked at; so many of the most
+# promising ones are looked at first.
+LOOK_SHARE, FIRST_LOOK = 0.05, 64
 
 RESULT = "feature_name string, feature_type string, psi double, ks_statistic double, ks_pvalue double, n_ref long, n_cur long"
 
@@ -63,8 +72,58 @@ def _edges(values: dict[int, float], n: int, bins: int) -> list[float]:
     return sorted(out)
 
 
+@dataclass
+class Known:
+    """What is known of one column: its cells, counts before each, the best KS distance, values at ranks of the reference."""
+
+    cells: list[Cell]
+    ks: float | None = None
+    at: dict[int, float] = field(default_factory=dict)
+    looked: set[int] = field(default_factory=set)
+
+    def count(self, cells: list[Cell]) -> None:
+        self.cells = cells
+        ends = {k: list(accumulate(c.counts[k] for c in cells)) for k in ("ref_n", "cur_n", "ref_fin", "cur_fin")}
+        self.n, self.m, self.n_fin, self.m_fin = (e[-1] if e else 0 for e in ends.values())
+        self.ends = list(zip(*ends.values()))
+        if self.n and self.m:
+            edges = max(abs(a / self.n - b / self.m) for a, b, _, _ in self.ends)
+            self.ks = max(self.ks or 0.0, edges)
+
+    def before(self, i: int) -> tuple[int, int, int, int]:
+        return self.ends[i - 1] if i else (0, 0, 0, 0)
+
+    def reach(self, i: int) -> float:
+        """The largest distance that any order of this cell's values could give."""
+        (ref_0, cur_0, *_), (ref_1, cur_1, *_) = self.before(i), self.ends[i]
+        return max(ref_1 / self.n - cur_0 / self.m, cur_1 / self.m - ref_0 / self.n)
+
+    def promising(self) -> list[tuple[float, Cell]]:
+        """Cells not looked at in which the distance may still grow, the largest reach first."""
+        if not (self.n and self.m):
+            return []
+        found = [(self.reach(i), c) for i, c in enumerate(self.cells) if c.low < c.high and c.id not in self.looked]
+        return sorted((f for f in found if f[0] > self.ks), key=lambda f: -f[0])
+
+    def holding(self, ranks: list[int]) -> dict[int, list[int]]:
+        """Indices of the cells that hold these ranks of the reference's finite values."""
+        out: dict[int, list[int]] = {}
+        i = 0
+        for rank in ranks:
+            while self.ends[i][2] < rank:
+                i += 1
+            out.setdefault(i, []).append(rank)
+        return out
+
+
 def numeric_drift(
-    df: DataFrame, names: list[str], is_reference: Column, kinds: dict[str, str] = {}, limits: C.DriftLimits = C.DriftLimits()
+    df: DataFrame,
+    names: list[str],
+    is_reference: Column,
+    kinds: dict[str, str] = {},
+    limits: C.DriftLimits = C.DriftLimits(),
+    buckets: int = BUCKETS,
+    leaf: int = LEAF,
 ) -> DataFrame:
     """PSI and KS of each numeric column between the reference rows and the other rows.
 
@@ -72,93 +131,20 @@ def numeric_drift(
     no finite value, and 0 for a constant reference. KS and its p-value are null when a period has
     no value at all.
     """
+    known, cells = narrowed(df, names, is_reference, limits, buckets, leaf)
+    rows, bins = [], []
+    for name, k in known.items():
+        rows.append((name, kinds.get(name, "NUMERIC"), k.ks, k.n, k.m, k.n_fin, k.m_fin))
+        if k.n_fin and k.m_fin:
+            edges = _edges(k.at, k.n_fin, limits.bins)
+            bins.append((name, edges[1:-1] if len(edges) > 2 else []))
     spark = df.sparkSession
-    narrow = df.select(is_reference.alias("ref"), *[plain_double(F.col(n)).alias(n) for n in names])
-    splits = bucket_splits(narrow, names)
-    values = long_values(narrow, splits, keep=["ref"])
-    finite = F.abs("value") < INF
-    counts = [
-        F.count_if("ref").alias("ref_n"),
-        F.count_if(~F.col("ref")).alias("cur_n"),
-        F.count_if(F.col("ref") & finite).alias("ref_fin"),
-        F.count_if(~F.col("ref") & finite).alias("cur_fin"),
-    ]
-    histogram = values.groupBy("name", "bucket").agg(*counts, F.min("value").alias("low"), F.max("value").alias("high")).collect()
-
-    facts: dict[str, dict] = {}
-    wanted: dict[str, set[int]] = {}
-    offsets: list[tuple] = []
-    for name in names:
-        rows = sorted((r for r in histogram if r["name"] == name), key=lambda r: r["bucket"])
-        ref_end = list(accumulate(r["ref_n"] for r in rows))
-        cur_end = list(accumulate(r["cur_n"] for r in rows))
-        fin_end = list(accumulate(r["ref_fin"] for r in rows))
-        n, m = (ref_end[-1], cur_end[-1]) if rows else (0, 0)
-        n_fin = fin_end[-1] if rows else 0
-        m_fin = sum(r["cur_fin"] for r in rows)
-        fact = facts[name] = {"n": n, "m": m, "n_fin": n_fin, "m_fin": m_fin, "ks": None, "at": {}}
-        ranks = _edge_ranks(n_fin, limits.bins) if n_fin and m_fin else []
-        if n and m:
-            fact["ks"] = max(abs(a / n - b / m) for a, b in zip(ref_end, cur_end))
-        for i, r in enumerate(rows):
-            ref_0, cur_0, fin_0 = ref_end[i] - r["ref_n"], cur_end[i] - r["cur_n"], fin_end[i] - r["ref_fin"]
-            here = [k for k in ranks if fin_0 < k <= fin_end[i]]
-            if r["low"] == r["high"]:
-                fact["at"].update({k: r["low"] for k in here})
-                continue
-            # The largest distance that any order of this bucket's values could reach.
-            more = n and m and max(ref_end[i] / n - cur_0 / m, cur_end[i] / m - ref_0 / n) > fact["ks"]
-            if here or more:
-                wanted.setdefault(name, set()).add(r["bucket"])
-                offsets.append((name, r["bucket"], ref_0, cur_0, fin_0, n, m, here))
-
-    if offsets:
-        # One row per open bucket: bounded by buckets x columns, safe to broadcast.
-        starts = F.broadcast(
-            spark.createDataFrame(
-                offsets, "name string, bucket int, ref_0 long, cur_0 long, fin_0 long, n long, m long, ranks array<long>"
-            )
-        )
-        per_value = values.filter(in_buckets(wanted)).groupBy("name", "bucket", "value").agg(*counts)
-        order = W.partitionBy("name", "bucket").orderBy("value")
-        upto = per_value.select(
-            "name", "bucket", "value", *[F.sum(c).over(order).alias(c) for c in ("ref_n", "cur_n", "ref_fin")]
-        ).join(starts, ["name", "bucket"])
-        most = max(len(o[-1]) for o in offsets)
-        distance = F.when(
-            (F.col("n") > 0) & (F.col("m") > 0),
-            F.abs((F.col("ref_0") + F.col("ref_n")) / F.col("n") - (F.col("cur_0") + F.col("cur_n")) / F.col("m")),
-        )
-        inside = upto.groupBy("name", "bucket").agg(
-            F.max(distance).alias("ks"),
-            *[
-                F.min(F.when(F.col("fin_0") + F.col("ref_fin") >= F.get("ranks", F.lit(i)), F.col("value"))).alias(f"v{i}")
-                for i in range(most)
-            ],
-        )
-        ranks_of = {(o[0], o[1]): o[-1] for o in offsets}
-        for r in inside.collect():
-            fact = facts[r["name"]]
-            if r["ks"] is not None:
-                fact["ks"] = max(fact["ks"], r["ks"])
-            for i, k in enumerate(ranks_of[(r["name"], r["bucket"])]):
-                fact["at"][k] = r[f"v{i}"]
-
-    bins: dict[str, list[float]] = {}
-    for name, fact in facts.items():
-        if fact["n_fin"] and fact["m_fin"]:
-            edges = _edges(fact["at"], fact["n_fin"], limits.bins)
-            bins[name] = [-INF, *[e + 0.0 for e in edges[1:-1]], INF] if len(edges) > 2 else [-INF, INF]
     totals = spark.createDataFrame(
-        [(n, kinds.get(n, "NUMERIC"), f["ks"], f["n"], f["m"], f["n_fin"], f["m_fin"]) for n, f in facts.items()],
-        "name string, feature_type string, ks double, n_ref long, n_cur long, ref_total long, cur_total long",
+        rows, "name string, feature_type string, ks double, n_ref long, n_cur long, ref_total long, cur_total long"
     )
-    if bins:
-        in_bins = _bin_counts(narrow, bins)
-        term = psi_term(F.col("ref_fin"), F.col("cur_fin"), F.col("ref_total"), F.col("cur_total"), limits.epsilon)
-        psi = in_bins.join(F.broadcast(totals), "name").groupBy("name").agg(F.sum(term).alias("psi"))
-    else:
-        psi = spark.createDataFrame([], "name string, psi double")
+    counted = spark.createDataFrame(bin_counts(known, cells, dict(bins)), "name string, ref_fin long, cur_fin long")
+    term = psi_term(F.col("ref_fin"), F.col("cur_fin"), F.col("ref_total"), F.col("cur_total"), limits.epsilon)
+    psi = counted.join(F.broadcast(totals), "name").groupBy("name").agg(F.sum(term).alias("psi"))
     return totals.join(psi, "name", "left").select(
         F.col("name").alias("feature_name"),
         "feature_type",
@@ -170,20 +156,126 @@ def numeric_drift(
     )
 
 
-def _bin_counts(narrow: DataFrame, bins: dict[str, list[float]]) -> DataFrame:
-    """Finite values per PSI bin and period; bins are ``[a, b)``, open at both far ends.
-
-    A column with a single bin needs no edges, so it goes in with one that nothing can cross.
-    """
-    many = {n: (b if len(b) > 2 else [-INF, 0.0, INF]) for n, b in bins.items()}
-    one = [n for n, b in bins.items() if len(b) == 2]
-    return (
-        long_values(narrow, many, keep=["ref"])
-        .filter(F.abs("value") < INF)
-        .withColumn("bucket", F.when(F.col("name").isin(one), 0).otherwise(F.col("bucket")))
-        .groupBy("name", "bucket")
-        .agg(F.count_if("ref").alias("ref_fin"), F.count_if(~F.col("ref")).alias("cur_fin"))
-    )
+def narrowed(
+    df: DataFrame, names: list[str], is_reference: Column, limits: C.DriftLimits, buckets: int = BUCKETS, leaf: int = LEAF
+) -> tuple[dict[str, Known], Looked]:
+    """KS distance and the values at the wanted ranks of every column, and the values looked at on the way."""
+    finite = F.abs("value") < INF
+    conditions = {"ref_n": F.col("ref"), "cur_n": ~F.col("ref"), "ref_fin": F.col("ref") & finite, "cur_fin": ~F.col("ref") & finite}
+    cells = Cells(df, names, conditions, [is_reference.alias("ref")], buckets)
+    known = {n: Known([]) for n in names}
+    ranks: dict[str, list[int]] = {}
+
+    def count() -> None:
+        for name, k in known.items():
+            k.count(cells.cells[name])
+            ranks[name] = _edge_ranks(k.n_fin, limits.bins) if k.n_fin and k.m_fin else []
+
+    def ranked(k: Known, name: str) -> list[Cell]:
+        return [k.cells[i] for i in k.holding(ranks[name]) if k.cells[i].low < k.cells[i].high]
+
+    count()
+    while True:
+        divide: dict[str, list[Cell]] = {}
+        for name, k in known.items():
+            open_cells = [c for _, c in k.promising()]
+            # Many open cells are proof enough that the distance is tiny: then looking is no more work than counting.
+            many = sum(c.n for c in open_cells) > LOOK_SHARE * cells.total(name) and len(open_cells) < CELLS // 8
+            chosen = [c for c in open_cells if c.n > (1 if many else leaf)] + [c for c in ranked(k, name) if c.n > leaf]
+            divide[name] = [c for c in {c.id: c for c in chosen}.values() if c.divisible]
+        if not any(divide.values()):
+            break
+        cells.divide(divide)
+        count()
+
+    looked = Looked(cells)
+    first = {n: ranked(k, n) + [c for _, c in k.promising()[:FIRST_LOOK]] for n, k in known.items()}
+    looked.at(known, {n: list({c.id: c for c in cs}.values()) for n, cs in first.items()}, ranks)
+    # What the first look leaves open, if anything.
+    looked.at(known, {n: [c for _, c in k.promising()] for n, k in known.items()}, ranks)
+    for name, k in known.items():
+        for i, own in k.holding(ranks[name]).items():
+            if k.cells[i].low == k.cells[i].high:
+                k.at.update({rank: k.cells[i].low for rank in own})
+    return known, looked
+
+
+class Looked:
+    """Values of open cells with both periods' counts, kept in the shared folder so that they are read once from the source."""
+
+    def __init__(self, cells: Cells):
+        self.cells, self.kept = cells, []
+
+    def at(self, known: dict[str, Known], chosen: dict[str, list[Cell]], ranks: dict[str, list[int]]) -> None:
+        """Look at these cells: the distances inside them, and the values at the ranks they hold."""
+        if not any(chosen.values()):
+            return
+        spark = self.cells.wide.sparkSession
+        shared_folder(spark)
+        starts = []
+        for name, cells in chosen.items():
+            k, wanted = known[name], {c.id for c in cells}
+            holding = k.holding(ranks[name])
+            for i, cell in enumerate(k.cells):
+                if cell.id in wanted:
+                    starts.append((name, cell.id, *k.before(i)[:3], k.n, k.m, holding.get(i, [])))
+            k.looked |= wanted
+        order = W.partitionBy("name", "id").orderBy("value")
+        sums = [F.sum(c).over(order).alias(f"{c}_upto") for c in ("ref_n", "cur_n", "ref_fin")]
+        kept = self.cells.values(chosen).select("name", "id", "value", "ref_fin", "cur_fin", *sums).checkpoint()
+        self.kept.append(kept)
+        # One row per cell looked at.
+        schema = "name string, id long, ref_0 long, cur_0 long, fin_0 long, n long, m long, ranks array<long>"
+        upto = kept.join(F.broadcast(spark.createDataFrame(starts, schema)), ["name", "id"])
+        distance = F.when(
+            (F.col("n") > 0) & (F.col("m") > 0),
+            F.abs((F.col("ref_0") + F.col("ref_n_upto")) / F.col("n") - (F.col("cur_0") + F.col("cur_n_upto")) / F.col("m")),
+        )
+        reached = [
+            F.min(F.when(F.col("fin_0") + F.col("ref_fin_upto") >= F.get("ranks", F.lit(i)), F.col("value"))).alias(f"v{i}")
+            for i in range(max(len(s[-1]) for s in starts))
+        ]
+        ranks_of = {(s[0], s[1]): s[-1] for s in starts}
+        for r in upto.groupBy("name", "id").agg(F.max(distance).alias("ks"), *reached).collect():
+            k = known[r["name"]]
+            if r["ks"] is not None:
+                k.ks = max(k.ks, r["ks"])
+            for i, rank in enumerate(ranks_of[r["name"], r["id"]]):
+                k.at[rank] = r[f"v{i}"]
+
+    def below(self, known: dict[str, Known], cuts: list[tuple[str, Cell, float]]) -> dict[tuple[str, float], tuple[int, int]]:
+        """Finite values of both periods below an edge, in the cell that it cuts."""
+        rest = {n: list({c.id: c for m, c, _ in cuts if m == n and c.id not in known[n].looked}.values()) for n in known}
+        tables = list(self.kept)
+        if any(rest.values()):  # cells without reference values between the two values from which an edge is interpolated
+            tables.append(self.cells.values(rest))
+        rows = [(name, cell.id, edge) for name, cell, edge in cuts]
+        # One row per inner edge of a column.
+        edges = F.broadcast(self.cells.wide.sparkSession.createDataFrame(rows, "name string, id long, edge double"))
+        columns = ["name", "id", "value", "ref_fin", "cur_fin"]
+        values = reduce(DataFrame.unionByName, [t.select(*columns) for t in tables])
+        lower = values.join(edges, ["name", "id"]).filter("value < edge").groupBy("name", "edge")
+        found = lower.agg(F.sum("ref_fin").alias("ref"), F.sum("cur_fin").alias("cur")).collect()
+        return {(r["name"], r["edge"]): (r["ref"], r["cur"]) for r in found}
+
+
+def bin_counts(known: dict[str, Known], looked: Looked, bins: dict[str, list[float]]) -> list[tuple[str, int, int]]:
+    """Finite values per PSI bin and period; bins are ``[a, b)`` between the inner edges, open at both far ends."""
+    cuts = [
+        (name, cell, edge) for name, edges in bins.items() for edge in edges for cell in known[name].cells if cell.low < edge <= cell.high
+    ]
+    partial = looked.below(known, cuts) if cuts else {}
+    out = []
+    for name, edges in bins.items():
+        k = known[name]
+        below = [(0, 0)]
+        for edge in edges:
+            whole = [c.counts for c in k.cells if c.high < edge]
+            ref, cur = partial.get((name, edge), (0, 0))
+            below.append((ref + sum(c["ref_fin"] for c in whole), cur + sum(c["cur_fin"] for c in whole)))
+        below.append((k.n_fin, k.m_fin))
+        out += [(name, b[0] - a[0], b[1] - a[1]) for a, b in zip(below, below[1:])]
+    return out
 
 
 def categorical_drift(df: DataFrame, names: list[str], is_reference: Column, limits: C.DriftLimits = C.DriftLimits()) -> DataFrame:

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from claimlens.operators.ranking import bucket_splits, plain_double, running_totals
+from claimlens.operators.narrowing import LEAF, Cells, plain_double
+from claimlens.operators.ranking import running_totals
 
 
-def curve_areas(df: DataFrame, score: str = "score_fraude", label: str = "label", by: list[str] = []) -> DataFrame:
+def curve_areas(
+    df: DataFrame, score: str = "score_fraude", label: str = "label", by: list[str] = [], leaf: int = LEAF
+) -> DataFrame:
     """Exact area under ROC and under precision-recall, per group of ``by``.
 
     Rows are first counted per distinct score, so equal scores form one curve point (the rank-sum
@@ -17,7 +20,7 @@ def curve_areas(df: DataFrame, score: str = "score_fraude", label: str = "label"
     starts at recall 0 with the precision of its first point. Areas are null without both classes.
     """
     plain = plain_double(F.col(score)).alias(score)
-    splits = bucket_splits(df.select(plain), [score])[score]
+    splits = Cells(df.select(plain), [score]).fine_edges(score, leaf)
     points = df.select(*by, label, plain).filter(F.col(score).isNotNull()).groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1.0).alias("pos"), F.count_if(F.col(label) != 1.0).alias("neg")
     )

@@ -2,91 +2,35 @@
 
 A window without a partition key would send every row through one task. Instead:
 
-* an order statistic is found by narrowing. A sketch gives value buckets (more of them for
-  more rows), one map-side combined pass counts them, and only the few buckets that hold a
-  wanted rank are looked at value by value. Ties are single rows there, so a value shared by
+* an order statistic is found by narrowing (see ``narrowing``): the cell that holds a wanted rank is divided, counting pass by
+  counting pass, until it is small, and then looked at value by value. Ties are single rows there, so a value shared by
   a third of all rows costs nothing;
 * tiles and the time split only need a few cut points, after which each row is placed by a
   literal comparison, without any shuffle of the table;
 * a full rank is one distributed sort plus one small offset per sorted partition.
 
-All results are exact. What reaches the driver is bounded by buckets x columns, partitions,
+All results are exact. What reaches the driver is bounded by the cells of a pass, partitions,
 or the number of wanted ranks, never by rows.
 """
 
 from __future__ import annotations
 
 import math
-import sys
 from bisect import bisect_left
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from itertools import accumulate
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from claimlens.operators.narrowing import BUCKETS, LEAF, Cell, Cells, plain_double, with_buckets
 from claimlens.session import shared_folder
 
-# A bucket should not hold more rows than one task sorts with ease.
-ROWS_PER_BUCKET = 4_000_000
-MIN_BUCKETS, MAX_BUCKETS = 64, 4096
-INF = float("inf")
-
-
-# --- value buckets -----------------------------------------------------------
-
-
-def plain_double(value: Column) -> Column:
-    """A double without NaN (-> null) and without negative zero, which the bucket search would
-    tell apart from zero."""
-    return F.nanvl(value.cast("double"), F.lit(None)) + F.lit(0.0)
-
-
-def bucket_splits(df: DataFrame, names: list[str], buckets: int | None = None) -> dict[str, list[float]]:
-    """Ascending bucket edges per column from one sketch pass; ends are infinite.
-
-    The number of buckets follows from the row count (free for a stored parquet table). The edges
-    only steer the work, so the sketch may be off by its error without any effect on a result.
-    """
-    if buckets is None:
-        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, df.count() // ROWS_PER_BUCKET))
-    shares = [i / buckets for i in range(1, buckets)]
-    found = df.approxQuantile(names, shares, 1.0 / (8 * buckets))
-    inner = {name: sorted({v + 0.0 for v in values if math.isfinite(v)}) for name, values in zip(names, found)}
-    # A column without any finite value gets one edge, because there must be two buckets.
-    return {name: [-INF, *(edges or [0.0]), INF] for name, edges in inner.items()}
-
-
-def with_buckets(df: DataFrame, splits: dict[str, list[float]], suffix: str = "__b") -> DataFrame:
-    """Add the bucket number of each column by binary search, on the JVM side."""
-    names = list(splits)
-    stage = Bucketizer(
-        splitsArray=[splits[n] for n in names],
-        inputCols=names,
-        outputCols=[n + suffix for n in names],
-        handleInvalid="keep",
-    )
-    return stage.transform(df)
-
-
-def long_values(df: DataFrame, splits: dict[str, list[float]], keep: list[str] = []) -> DataFrame:
-    """One row (name, value, bucket, *keep) per non-null value of the bucketed columns."""
-    cells = ", ".join(f"'{n}', `{n}`, cast(`{n}__b` as int)" for n in splits)
-    return (
-        with_buckets(df, splits)
-        .select(*keep, F.expr(f"stack({len(splits)}, {cells}) as (name, value, bucket)"))
-        .filter("value is not null")
-    )
-
-
-def in_buckets(wanted: dict[str, set[int]]) -> Column:
-    """Row filter on (name, bucket)."""
-    parts = [(F.col("name") == n) & F.col("bucket").isin(sorted(bs)) for n, bs in wanted.items() if bs]
-    return reduce(lambda a, b: a | b, parts, F.lit(False))
+# Neighbouring buckets whose totals are summed in one window.
+TOGETHER = 256
 
 
 # --- order statistics --------------------------------------------------------
@@ -94,9 +38,9 @@ def in_buckets(wanted: dict[str, set[int]]) -> Column:
 
 @dataclass(frozen=True)
 class Found:
-    """The value at a rank, and where the rank lies within the run of equal values."""
+    """The value at a rank (None: a null), and where the rank lies within the run of equal values."""
 
-    value: float
+    value: float | None
     rank_in_ties: int
     ties: int
     total: int
@@ -106,49 +50,49 @@ class Found:
 RankRule = Callable[[int], list[int]]
 
 
-def order_statistics(df: DataFrame, ranks: dict[str, RankRule], buckets: int | None = None) -> dict[str, dict[int, Found]]:
-    """Exact values at the wanted ranks (1 = smallest) of each column; nulls and NaN do not count.
+def order_statistics(
+    df: DataFrame, ranks: dict[str, RankRule], buckets: int = BUCKETS, leaf: int = LEAF, nulls_last: bool = False
+) -> dict[str, dict[int, Found]]:
+    """Exact values at the wanted ranks (1 = smallest) of each column.
 
-    The number of values is known from the bucket counts, so no counting pass is needed before.
+    Nulls and NaN do not count, or come last. The cell of a rank is divided until it holds at most ``leaf`` rows; then its
+    values are looked at.
     """
-    names = list(ranks)
-    narrow = df.select(*[plain_double(F.col(n)).alias(n) for n in names])
-    splits = bucket_splits(narrow, names, buckets)
-    values = long_values(narrow, splits)
-    histogram = (
-        values.groupBy("name", "bucket")
-        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .collect()
-    )
-    out: dict[str, dict[int, Found]] = {n: {} for n in ranks}
-    totals: dict[str, int] = {}
-    open_ranks: list[tuple[str, int, int, int]] = []
-    for name in names:
-        rows = sorted((r for r in histogram if r["name"] == name), key=lambda r: r["bucket"])
-        ends = list(accumulate(r["n"] for r in rows))
-        for rank in sorted(set(ranks[name](ends[-1] if ends else 0))):
-            if not rows or not 1 <= rank <= ends[-1]:
-                raise ValueError(f"rank {rank} of {name} is outside 1..{ends[-1] if ends else 0}")
-            at = bisect_left(ends, rank)
-            row = rows[at]
-            local = rank - (ends[at] - row["n"])
-            if row["low"] == row["high"]:
-                out[name][rank] = Found(row["low"], local, row["n"], ends[-1])
-            else:
-                open_ranks.append((name, row["bucket"], local, rank))
-        totals[name] = ends[-1] if ends else 0
+    cells = Cells(df, list(ranks), buckets=buckets)
+    totals = {n: cells.total(n) + (cells.nulls[n] if nulls_last else 0) for n in ranks}
+    wanted = {n: sorted(set(rule(totals[n]))) for n, rule in ranks.items()}
+    for name, own in wanted.items():
+        if own and not 1 <= own[0] <= own[-1] <= totals[name]:
+            raise ValueError(f"ranks {own} of {name} are outside 1..{totals[name]}")
+    while True:
+        out: dict[str, dict[int, Found]] = {n: {} for n in ranks}
+        open_ranks: list[tuple[str, Cell, int, int]] = []
+        for name, own in wanted.items():
+            ends = list(accumulate(c.n for c in cells.cells[name]))
+            for rank in own:
+                if rank > (values := ends[-1] if ends else 0):
+                    out[name][rank] = Found(None, rank - values, cells.nulls[name], totals[name])
+                    continue
+                at = bisect_left(ends, rank)
+                cell = cells.cells[name][at]
+                local = rank - (ends[at] - cell.n)
+                if cell.low == cell.high:
+                    out[name][rank] = Found(cell.low, local, cell.n, totals[name])
+                else:
+                    open_ranks.append((name, cell, local, rank))
+        chosen = {n: list({c.id: c for m, c, _, _ in open_ranks if m == n}.values()) for n in ranks}
+        big = {n: [c for c in cs if c.n > leaf and c.divisible] for n, cs in chosen.items()}
+        if not any(big.values()):
+            break
+        cells.divide(big)
     if open_ranks:
-        spark = df.sparkSession
-        wanted: dict[str, set[int]] = {}
-        for name, bucket, _, _ in open_ranks:
-            wanted.setdefault(name, set()).add(bucket)
-        per_value = values.filter(in_buckets(wanted)).groupBy("name", "bucket", "value").agg(F.count("*").alias("n"))
-        order = W.partitionBy("name", "bucket").orderBy("value")
-        steps = per_value.withColumn("upto", F.sum("n").over(order))
+        rows = [(n, c.id, local, rank) for n, c, local, rank in open_ranks]
+        order = W.partitionBy("name", "id").orderBy("value")
+        steps = cells.values(chosen).withColumn("upto", F.sum("n").over(order))
         # One row per wanted rank: safe to broadcast.
-        targets = F.broadcast(spark.createDataFrame(open_ranks, "name string, bucket int, local long, rank long"))
+        targets = F.broadcast(df.sparkSession.createDataFrame(rows, "name string, id long, local long, rank long"))
         hits = (
-            steps.join(targets, ["name", "bucket"])
+            steps.join(targets, ["name", "id"])
             .filter((F.col("local") <= F.col("upto")) & (F.col("local") > F.col("upto") - F.col("n")))
             .select("name", "rank", "value", (F.col("local") - F.col("upto") + F.col("n")).alias("inside"), "n")
         )
@@ -157,7 +101,7 @@ def order_statistics(df: DataFrame, ranks: dict[str, RankRule], buckets: int | N
     return out
 
 
-def sample_quantiles(df: DataFrame, name: str, shares: list[float], buckets: int | None = None) -> list[float | None]:
+def sample_quantiles(df: DataFrame, name: str, shares: list[float], buckets: int = BUCKETS) -> list[float | None]:
     """Exact sample quantiles: the smallest value whose share of rows is at least the given one."""
 
     def rank(n: int, share: float) -> int:
@@ -172,42 +116,38 @@ def sample_quantiles(df: DataFrame, name: str, shares: list[float], buckets: int
 
 # --- cut points, time split, tiles ---------------------------------------------
 
-Cut = tuple[float, "str | None"]
-
-
-def sortable(order: Column) -> Column:
-    """A double that sorts nulls and NaN last: infinity is theirs alone, so +inf counts as the largest finite value."""
-    value = plain_double(order)
-    return F.coalesce(F.when(value == INF, F.lit(sys.float_info.max)).otherwise(value), F.lit(INF))
+Cut = tuple["float | None", "str | None"]
 
 
 def cut_points(df: DataFrame, order: Column, tie: Column, ranks: RankRule) -> dict[int, Cut]:
-    """The (order value, tie value) pair at each wanted rank, order ascending with nulls last.
+    """The (order value, tie value) pair at each wanted rank, order ascending with nulls and NaN last.
 
     ``tie`` must be unique within equal order values. It is looked at only for rows that share
     the order value of a cut; a cut at the end of a run of equal values needs none.
     """
-    keyed = df.select(sortable(order).alias("v"), tie.cast("string").alias("t"))
-    found = order_statistics(keyed, {"v": ranks})["v"]
+    keyed = df.select(plain_double(order).alias("v"), tie.cast("string").alias("t"))
+    found = order_statistics(keyed, {"v": ranks}, nulls_last=True)["v"]
     inner = {rank: f for rank, f in found.items() if f.rank_in_ties < f.ties}
     tie_values: dict[int, str] = {}
     if inner:
         runs = {f.value: f.ties for f in inner.values()}
-        start = dict(zip(sorted(runs), accumulate([0, *[runs[v] for v in sorted(runs)]])))
+        ordered = sorted(runs, key=lambda v: (v is None, v))
+        start = dict(zip(ordered, accumulate([0, *[runs[v] for v in ordered]])))
         place = {start[f.value] + f.rank_in_ties: rank for rank, f in inner.items()}
-        tied = keyed.filter(F.col("v").isin(sorted(runs)))
-        ranked = global_rank(tied, [F.col("v"), F.col("t")], "r").filter(F.col("r").isin(sorted(place)))
+        tied = F.col("v").isin([v for v in ordered if v is not None])
+        tied = keyed.filter(tied | F.col("v").isNull() if None in runs else tied)
+        ranked = global_rank(tied, [F.asc_nulls_last("v"), F.col("t")], "r").filter(F.col("r").isin(sorted(place)))
         tie_values = {place[r["r"]]: r["t"] for r in ranked.collect()}
     return {rank: (f.value, tie_values.get(rank)) for rank, f in found.items()}
 
 
 def beyond_cut(order: Column, tie: Column, cut: Cut) -> Column:
-    """Whether a row comes after the cut; ``order`` must be ``sortable``."""
+    """Whether a row comes after the cut; ``order`` must be a ``plain_double``."""
     value, last = cut
-    after = order > F.lit(value)
-    if last is not None:
-        after = after | ((order == F.lit(value)) & (tie.cast("string") > F.lit(last)))
-    return after
+    later = tie.cast("string") > F.lit(last) if last is not None else F.lit(False)
+    if value is None:
+        return order.isNull() & later
+    return order.isNull() | (order > F.lit(value)) | ((order == F.lit(value)) & later)
 
 
 def time_split(df: DataFrame, date: str, key: str, share: float = 0.75, out: str = "tramo") -> DataFrame:
@@ -221,7 +161,7 @@ def time_split(df: DataFrame, date: str, key: str, share: float = 0.75, out: str
     if not cuts:
         return df.withColumn(out, F.lit("TEST"))
     (cut,) = cuts.values()
-    return df.withColumn(out, F.when(beyond_cut(sortable(day), F.col(key), cut), "TEST").otherwise("TRAIN"))
+    return df.withColumn(out, F.when(beyond_cut(plain_double(day), F.col(key), cut), "TEST").otherwise("TRAIN"))
 
 
 def tile_ends(n: int, tiles: int) -> list[int]:
@@ -237,7 +177,7 @@ def tile(df: DataFrame, score: str, key: str, tiles: int = 10, out: str = "decil
     cuts = cut_points(df, down, F.col(key), lambda n: [e for e in tile_ends(n, tiles) if 0 < e < n])
     number = F.lit(1)
     for cut in cuts.values():
-        number = number + beyond_cut(sortable(down), F.col(key), cut).cast("int")
+        number = number + beyond_cut(plain_double(down), F.col(key), cut).cast("int")
     return df.withColumn(out, number)
 
 
@@ -274,28 +214,42 @@ def global_rank(df: DataFrame, order: list[Column], out: str) -> DataFrame:
 def running_totals(
     points: DataFrame, value: str, sums: list[str], splits: list[float], by: list[str] = [], descending: bool = True
 ) -> DataFrame:
-    """Add ``<sum>_before``: the total of each sum over all rows that come before this value.
+    """Add ``<sum>_before``: the total of each sum over all rows of the group that come before this value.
 
-    ``points`` has one row per (``by``, ``value``). Totals run inside value buckets. The bucket
-    offsets are at most ``len(splits)`` rows per group: broadcast for the whole table; with groups,
-    whose number is open, the optimizer decides by size.
+    ``points`` has one row per (``by``, ``value``); ``splits`` are as fine as ``Cells.fine_edges`` makes them. Totals
+    run on three levels: values inside a bucket, buckets inside a run of ``TOGETHER`` buckets, and those runs. So a group that
+    holds all rows is as many tasks as there are buckets, and no window grows with the table but the last, by a
+    row for each ``TOGETHER`` buckets.
     """
     # Never null, so that no null filter is pushed into one branch only: both then share one shuffle.
     number = F.coalesce(F.col(value + "__b").cast("int"), F.lit(-1))
     bucketed = with_buckets(points, {value: splits}).withColumn("_b", number).drop(value + "__b")
     direction = F.desc if descending else F.asc
+
+    def before(column: Column, by_columns: list[str], order: str) -> Column:
+        window = W.partitionBy(*by_columns).orderBy(direction(order)).rowsBetween(W.unboundedPreceding, -1)
+        return F.coalesce(F.sum(column).over(window), F.lit(0))
+
     totals = bucketed.groupBy(*by, "_b").agg(*[F.sum(s).alias(s) for s in sums])
-    over_buckets = W.partitionBy(*by).orderBy(direction("_b")).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(
+    totals = totals.withColumn("_run", F.floor(F.col("_b") / TOGETHER))
+    inside = totals.select("*", *[before(F.col(s), [*by, "_run"], "_b").alias(f"_{s}_run") for s in sums])
+    runs = totals.groupBy(*by, "_run").agg(*[F.sum(s).alias(s) for s in sums])
+    first = runs.select(
+        *[F.col(c).alias(f"_r{i}") for i, c in enumerate(by)],
+        F.col("_run").alias("_rr"),
+        *[before(F.col(s), by, "_run").alias(f"_{s}_first") for s in sums],
+    )
+
+    def same(prefix: str, own: str, other: str) -> Column:
+        """A null group is a group like any other."""
+        pairs = [F.col(c).eqNullSafe(F.col(f"{prefix}{i}")) for i, c in enumerate(by)]
+        return reduce(lambda a, b: a & b, pairs, F.col(own) == F.col(other))
+
+    offsets = inside.join(first, same("_r", "_run", "_rr")).select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)],
         F.col("_b").alias("_kb"),
-        *[F.coalesce(F.sum(s).over(over_buckets), F.lit(0)).alias(f"_{s}_off") for s in sums],
-    )
-    inside = W.partitionBy(*by, "_b").orderBy(direction(value)).rowsBetween(W.unboundedPreceding, -1)
-    local = bucketed.select("*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias(f"_{s}_in") for s in sums])
-    # A null group is a group like any other.
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)], F.col("_b") == F.col("_kb"))
-    joined = local.join(offsets if by else F.broadcast(offsets), same)
-    return joined.select(
-        *points.columns, *[(F.col(f"_{s}_off") + F.col(f"_{s}_in")).alias(f"{s}_before") for s in sums]
+        *[(F.col(f"_{s}_run") + F.col(f"_{s}_first")).alias(f"_{s}_off") for s in sums],
     )
+    local = bucketed.select("*", *[before(F.col(s), [*by, "_b"], value).alias(f"_{s}_in") for s in sums])
+    joined = local.join(offsets, same("_k", "_b", "_kb"))
+    return joined.select(*points.columns, *[(F.col(f"_{s}_off") + F.col(f"_{s}_in")).alias(f"{s}_before") for s in sums])
