@@ -329,15 +329,16 @@ def test_pipeline(spark, corpus):
         best[r.text] = max(best.get(r.text, -1), r.doc_id)
     assert sorted(r.doc_id for r in frames["exact dedup"]) == sorted(best.values())
     rows = sorted(frames["exact dedup"], key=lambda r: r.doc_id)
-    first, second = [x.view(np.uint64) for x in simhash.fingerprints([r.text for r in rows], 5, second=True)]
-    close = lambda a, b: np.bitwise_count(first[a] ^ first[b]) <= 8 and np.bitwise_count(second[a] ^ second[b]) <= 14
-    links = [(rows[a].doc_id, rows[b].doc_id) for a, b in combinations(range(len(rows)), 2) if close(a, b)]
+    shingles = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (WORD.findall(r.text.lower()) for r in rows)]
+    alike = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    links = [(rows[a].doc_id, rows[b].doc_id) for a, b in combinations(range(len(rows)), 2) if alike(shingles[a], shingles[b])]
     kept = {r.doc_id for r in frames["near dedup"]}
     roots = {r.doc_id: r.doc_id for r in rows}
     for _ in rows:
         for a, b in links:
             roots[a] = roots[b] = min(roots[a], roots[b])
-    assert kept == set(roots.values())
+    # No clean document goes; a pair just above the share may be missed, one in fifty links at most.
+    assert set(roots.values()) <= kept and len(kept) - len(set(roots.values())) <= len(links) / 50
     assert set(r.doc_id for r in frames["source mix"]) <= kept
     assert Counter(r.doc_id for r in frames["bpe"]) == Counter(r.doc_id for r in frames["source mix"])
     assert all(r.decodes and len(r.token_ids) == 4 * r.n_tokens for r in frames["bpe"])
