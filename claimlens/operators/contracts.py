@@ -83,14 +83,14 @@ def interface_check(view: DataFrame, contract: list[Row]) -> DataFrame:
     The contract is a fixed list of fields, so it is compared with the schema on the driver; the
     null counts come from one pass.
     """
-    fields = [(r["field_order"], r["field_name"], r["data_type"], r["required"]) for r in contract if r["interface_section"] == "RESPONSE"]
+    fields = [(r["number"], r["field_name"], r["data_type"], r["required"]) for r in contract]
     types = {f.name: f.dataType.simpleString().upper() for f in view.schema.fields}
     row = view.agg(*[F.count_if(F.col(n).isNull()).alias(n) if n in types else F.lit(None).cast("long").alias(n) for _, n, _, _ in fields])
     cells = ", ".join(
         f"{o}, '{n}', '{t}', '{types.get(n, '')}', {str(bool(req)).lower()}, `{n}`" for o, n, t, req in fields
     )
     checked = row.select(
-        F.expr(f"stack({len(fields)}, {cells}) as (field_order, field_name, agreed_type, found_type, required, nulls)")
+        F.expr(f"stack({len(fields)}, {cells}) as (number, field_name, agreed_type, found_type, required, nulls)")
     )
     return checked.withColumn(
         "contract_status",

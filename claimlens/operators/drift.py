@@ -278,19 +278,24 @@ def bin_counts(known: dict[str, Known], looked: Looked, bins: dict[str, list[flo
     return out
 
 
-def categorical_drift(df: DataFrame, names: list[str], is_reference: Column, limits: C.DriftLimits = C.DriftLimits()) -> DataFrame:
-    """PSI over the union of categories of both periods; null is a category of its own.
+def category_counts(df: DataFrame, names: list[str], is_reference: Column) -> DataFrame:
+    """(name, category, ref_n, cur_n); null is a category of its own.
 
     All columns go through one map-side combined count, so a category that holds most rows is a
     single row per task when it is shuffled.
     """
     cells = ", ".join(f"'{n}', cast(`{n}` as string)" for n in names)
-    counts = (
+    return (
         df.select(is_reference.alias("ref"), F.expr(f"stack({len(names)}, {cells}) as (name, category)"))
         .withColumn("category", F.coalesce("category", F.lit("__NULL__")))
         .groupBy("name", "category")
         .agg(F.count_if("ref").alias("ref_n"), F.count_if(~F.col("ref")).alias("cur_n"))
     )
+
+
+def categorical_drift(df: DataFrame, names: list[str], is_reference: Column, limits: C.DriftLimits = C.DriftLimits()) -> DataFrame:
+    """PSI over the union of categories of both periods."""
+    counts = category_counts(df, names, is_reference)
     # One row per column: safe to broadcast.
     totals = F.broadcast(counts.groupBy("name").agg(F.sum("ref_n").alias("n_ref"), F.sum("cur_n").alias("n_cur")))
     term = psi_term(F.col("ref_n"), F.col("cur_n"), F.col("n_ref"), F.col("n_cur"), limits.epsilon)

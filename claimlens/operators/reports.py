@@ -301,7 +301,7 @@ def flagged_rate_change(scores: DataFrame, reference: str = C.REFERENCE, current
         "referencia",
         "actual",
         change.alias("cambio_relativo"),
-        F.when(change.isNull(), "NO_EVALUABLE").when(change > 0.40, "CRITICO").when(change > 0.20, "ADVERTENCIA").otherwise("ESTABLE").alias("estado"),
+        F.when(change.isNull(), "NO_EVALUABLE").when(change > C.FLAGGED_CHANGE_CRITICAL, "CRITICO").when(change > C.FLAGGED_CHANGE_WARNING, "ADVERTENCIA").otherwise("ESTABLE").alias("estado"),
     )
 
 
@@ -313,5 +313,5 @@ def volume_change(df: DataFrame, reference: str = C.REFERENCE, current: str = C.
         "referencia",
         "actual",
         change.alias("cambio_relativo"),
-        F.when(F.col("actual").isNull(), "CRITICO").when(F.abs(change) > 0.20, "ADVERTENCIA").otherwise("ESTABLE").alias("estado"),
+        F.when(F.col("actual").isNull(), "CRITICO").when(F.abs(change) > C.VOLUME_CHANGE, "ADVERTENCIA").otherwise("ESTABLE").alias("estado"),
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +26,8 @@ from claimlens.plans.claim_queries import PERIOD_FEATURES, PERIODS, formula_peri
 from claimlens.plans.registry import query, six
 from claimlens.session import run_folder
 from claimlens.sources import claims as A
-from claimlens.sources.policies import POLICIES, policy
-from claimlens.sources.tables import scan, write_and_read
+from claimlens.sources import policies as P
+from claimlens.sources.tables import create_schema, overwrite, scan, write_and_read
 
 # --- SQL twins of the drift figures -----------------------------------------------------------------
 
@@ -34,7 +36,9 @@ def _values(rows: list[tuple]) -> str:
     def lit(v):
         if isinstance(v, bool):
             return "true" if v else "false"
-        return str(v) if isinstance(v, (int, float)) else "'" + v.replace("'", "''") + "'"
+        if v is None:
+            return "NULL"
+        return repr(v) if isinstance(v, int) else f"{v!r}::DOUBLE" if isinstance(v, float) else "'" + v.replace("'", "''") + "'"
 
     return ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
 
@@ -411,36 +415,88 @@ def volume_change(spark, folder):
     return six(RP.volume_change(formula_period_scores(spark, folder)), "cambio_relativo")
 
 
-_RETRAIN = ", ".join(POLICIES["retraining_decision_policy"][0].split(", "))
-_RETRAIN_COLUMNS = ", ".join(c.split()[0] for c in _RETRAIN.split(", "))
+def policy_values(name: str) -> str:
+    """A policy table as a common table expression."""
+    schema, rows = P.policies()[name]
+    return f"{name}({', '.join(c.split()[0] for c in schema.split(', '))}) AS (VALUES {_values(rows)})"
+
+
+def stored_policy(spark: SparkSession, name: str) -> DataFrame:
+    """A policy table as it comes back from the catalog, written over another version of itself."""
+    schema = f"claimlens_{uuid.uuid4().hex}"
+    create_schema(spark, schema)
+    try:
+        full = f"{schema}.{name}"
+        overwrite(P.policy(spark, name).withColumn("number", F.col("number") + 100).withColumn("draft", F.lit(True)), full)
+        overwrite(P.policy(spark, name), full)
+        kept = P.read_policy(spark, full)
+        # A few rows of rules: they outlive the table that is dropped here.
+        return spark.createDataFrame(kept.collect(), kept.schema)
+    finally:
+        spark.sql(f"DROP SCHEMA {schema} CASCADE")
+
+
+@query(
+    "policy_tables",
+    "A5 A8 G8",
+    f"""WITH {", ".join(policy_values(n) for n in P.policies())}
+SELECT 'monitoring_metric_policy' AS policy, number, metric AS name, critical AS bound FROM monitoring_metric_policy
+UNION ALL SELECT 'retraining_decision_policy', number, rule, bound FROM retraining_decision_policy
+UNION ALL SELECT 'score_interface_contract', number, field_name, CAST(CASE WHEN required THEN 1 ELSE 0 END AS DOUBLE) FROM score_interface_contract
+UNION ALL SELECT 'score_error_contract', number, reason_code, CAST(http_status AS DOUBLE) FROM score_error_contract""",
+)
+def policy_tables(spark, folder):
+    """All policy tables written, overwritten with another schema, and read back."""
+    parts = {
+        "monitoring_metric_policy": ("metric", F.col("critical")),
+        "retraining_decision_policy": ("rule", F.col("bound")),
+        "score_interface_contract": ("field_name", F.col("required").cast("double")),
+        "score_error_contract": ("reason_code", F.col("http_status").cast("double")),
+    }
+    frames = [
+        stored_policy(spark, table).select(F.lit(table).alias("policy"), "number", F.col(name).alias("name"), bound.alias("bound"))
+        for table, (name, bound) in parts.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
 
 
 @query(
     "retraining_advice",
-    "L10 A8",
+    "L10 A8 G8",
     O.with_(DRIFT_SQL, "\n".join(LOSS.split(f"{O.CLAIMS},", 1)[1:]).strip())
-    + f""", policy({_RETRAIN_COLUMNS}) AS (VALUES {_values(POLICIES["retraining_decision_policy"][1])}),
-f AS (SELECT count(CASE WHEN drift_status = 'DRIFT_CRITICO' THEN 1 END) AS rasgos_criticos, count(CASE WHEN drift_status = 'ADVERTENCIA' THEN 1 END) AS rasgos_advertencia FROM drift_status),
-g AS (SELECT count(CASE WHEN estado = 'CRITICO' THEN 1 END) AS perdidas_criticas, count(CASE WHEN estado = 'ADVERTENCIA' THEN 1 END) AS perdidas_advertencia FROM losses),
-h AS (SELECT *, CASE WHEN rasgos_criticos + rasgos_advertencia > 0 THEN CASE WHEN perdidas_criticas > 0 THEN 5 ELSE 3 END ELSE 8 END AS scenario_order FROM f, g)
-SELECT rasgos_criticos, rasgos_advertencia, perdidas_criticas, perdidas_advertencia, h.scenario_order, recommended_action, retrain_now FROM h JOIN policy ON h.scenario_order = policy.scenario_order""",
+    + f""", {policy_values("retraining_decision_policy")},
+facts AS (
+  SELECT (SELECT count(*) FROM drift_status WHERE feature_type <> 'PREDICTION' AND drift_status IN ('DRIFT_CRITICO', 'ADVERTENCIA')) AS features_drifted,
+         (SELECT count(*) FROM drift_status WHERE feature_type = 'PREDICTION' AND drift_status = 'DRIFT_CRITICO') AS score_critical,
+         (SELECT count(*) FROM losses WHERE estado = 'CRITICO') AS losses_critical, (SELECT count(*) FROM losses WHERE estado = 'ADVERTENCIA') AS losses_warning,
+         (SELECT count(*) FROM cat_counts WHERE rn = 0 AND cn > 0) AS new_categories
+), named AS (UNPIVOT facts ON * INTO NAME fact VALUE n)
+SELECT facts.*, rule, retrain, bool_and(CASE comparison WHEN '=' THEN n = bound WHEN '>' THEN n > bound END) AS fires
+FROM retraining_decision_policy JOIN named USING (fact), facts GROUP BY ALL""",
 )
 def retraining_advice(spark, folder):
+    """Every stored rule judged by the drift, the losses and the new categories of the two periods."""
     losses = EV.relative_loss(period_areas(spark, folder), "periodo", C.REFERENCE, C.CURRENT)
-    return MO.retraining_advice(formula_drift(spark, folder).drift, losses, policy(spark, "retraining_decision_policy"))
+    categories = D.category_counts(formula_period_features(spark, folder), C.DRIFT_CATEGORICAL, F.col("periodo") == C.REFERENCE)
+    return MO.retraining_advice(formula_drift(spark, folder).drift, losses, categories, stored_policy(spark, "retraining_decision_policy"))
 
 
 @query(
     "metric_policy_status",
     "A8 G8",
     O.with_(DRIFT_SQL)
-    + f""", policy(metric_order, monitoring_layer, metric_name) AS (VALUES {_values([r[:3] for r in POLICIES["monitoring_metric_policy"][1]])}),
-c AS (SELECT CASE WHEN feature_type = 'PREDICTION' THEN 'PREDICTION_DRIFT' ELSE 'DATA_DRIFT' END AS layer, count(CASE WHEN drift_status = 'DRIFT_CRITICO' THEN 1 END) AS a,
-count(CASE WHEN drift_status = 'ADVERTENCIA' THEN 1 END) AS b FROM drift_status GROUP BY 1)
-SELECT metric_order, monitoring_layer, metric_name, coalesce(a, 0) AS criticos, coalesce(b, 0) AS advertencias FROM policy LEFT JOIN c ON layer = monitoring_layer""",
+    + f""", {policy_values("monitoring_metric_policy")},
+measured AS (
+  SELECT CASE WHEN feature_type = 'PREDICTION' THEN 'score_psi' ELSE 'psi' END AS metric, psi AS value FROM drift_status
+  UNION ALL SELECT 'ks', ks_statistic FROM drift_status
+)
+SELECT number, p.metric, layer, warning, critical, count(CASE WHEN value >= critical THEN 1 END) AS criticos,
+       count(CASE WHEN value >= warning AND value < critical THEN 1 END) AS advertencias
+FROM monitoring_metric_policy AS p LEFT JOIN measured ON p.metric = measured.metric GROUP BY ALL""",
 )
 def metric_policy_status(spark, folder):
-    return MO.policy_status(formula_drift(spark, folder).drift, policy(spark, "monitoring_metric_policy"))
+    """The stored limits with the features that reach them."""
+    return MO.policy_status(formula_drift(spark, folder).drift, stored_policy(spark, "monitoring_metric_policy"))
 
 
 # --- contracts and the scoring flow -----------------------------------------------------------------------
@@ -477,31 +533,28 @@ r AS (
   SELECT CASE WHEN trim(t.k) = '' OR bad_date THEN 'INVALID_SCHEMA' WHEN c.k IS NOT NULL THEN 'IDEMPOTENCY_CONFLICT'
               WHEN reserve < 0 THEN 'INVALID_VALUES' ELSE 'SUCCESS' END AS reason_code
   FROM t LEFT JOIN c ON t.k = c.k
-), policy(error_order, http_status, reason_code, retry_allowed) AS (VALUES {_values([(r[0], r[1], r[2], r[5]) for r in POLICIES["score_error_contract"][1]])})
-SELECT r.reason_code, http_status, retry_allowed, count(*) AS casos FROM r JOIN policy ON r.reason_code = policy.reason_code GROUP BY 1, 2, 3""",
+), {policy_values("score_error_contract")}
+SELECT r.reason_code, http_status, retry_allowed, count(*) AS casos FROM r JOIN score_error_contract AS p ON r.reason_code = p.reason_code GROUP BY 1, 2, 3""",
 )
 def quarantine_reasons(spark, folder):
     """Reasons counted and joined with the error contract."""
     counted = RP.count_by(K.quarantine(_incoming(spark, folder), _INCOMING_COLUMNS), "reason_code")
-    errors = F.broadcast(policy(spark, "score_error_contract").select("reason_code", "http_status", "retry_allowed"))
+    errors = F.broadcast(stored_policy(spark, "score_error_contract").select("reason_code", "http_status", "retry_allowed"))
     return counted.join(errors, "reason_code").select("reason_code", "http_status", "retry_allowed", "casos")
 
 
-_RESPONSE = [r for r in POLICIES["score_interface_contract"][1] if r[1] == "RESPONSE"]
-
-
 @query(
     "interface_contract_check",
     "L9 A8",
     O.with_(O.HISTORY)
     + " UNION ALL ".join(
-        f"""SELECT {r[0]} AS field_order, '{r[2]}' AS field_name, '{r[3]}' AS agreed_type, '{r[3]}' AS found_type, {str(r[4]).lower()} AS required,
-count(CASE WHEN {r[2]} IS NULL THEN 1 END) AS nulls, 'OK' AS contract_status FROM view"""
-        for r in _RESPONSE
+        f"""SELECT {i + 1} AS number, '{name}' AS field_name, '{kind}' AS agreed_type, '{kind}' AS found_type, {str(name not in C.OPTIONAL_RESPONSE).lower()} AS required,
+count(CASE WHEN {name} IS NULL THEN 1 END) AS nulls, 'OK' AS contract_status FROM view"""
+        for i, (name, kind) in enumerate(C.RESPONSE_FIELDS.items())
     ),
 )
 def interface_contract_check(spark, folder):
-    contract = policy(spark, "score_interface_contract").collect()
+    contract = stored_policy(spark, "score_interface_contract").collect()
     return K.interface_check(RP.consumer_view(A.score_history(spark, folder)), contract)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from claimlens.functions.features import parse_dates
 from claimlens.operators import drift as D
 from claimlens.operators.reports import baseline_execution, execution_distribution
 from claimlens.session import run_folder
+from claimlens.sources.policies import fired
 from claimlens.sources.tables import write_and_read
 
 
@@ -59,38 +61,42 @@ def stress_test(scores: DataFrame, claims: DataFrame, factor: float = 1.40, buck
     return compare_periods(both_scores, reference.unionByName(scenario))
 
 
-def retraining_advice(drift: DataFrame, losses: DataFrame, policy: DataFrame) -> DataFrame:
-    """Which policy rows apply, by feature drift and confirmed loss.
+def retraining_facts(drift: DataFrame, losses: DataFrame, categories: DataFrame) -> DataFrame:
+    """What the retraining rules ask for, as one row: all inputs are small results.
 
-    Drift with a confirmed loss asks for retraining (scenario 5); drift without one for an
-    investigation (scenario 3); neither for none (scenario 8). One row out; all inputs are small
-    results.
+    ``categories``: rows (feature_name, category, ref_n, cur_n). A category is new if only the current period has it.
     """
-    states = drift.select(F.lit("rasgo").alias("clase"), F.col("drift_status").alias("estado")).unionByName(
-        losses.select(F.lit("perdida").alias("clase"), "estado")
+    is_score, status = F.col("feature_type") == "PREDICTION", F.col("drift_status")
+    found = {
+        "features_drifted": drift.filter(~is_score & status.isin(C.CRITICAL, C.WARNING)),
+        "score_critical": drift.filter(is_score & (status == C.CRITICAL)),
+        "losses_critical": losses.filter(F.col("estado") == "CRITICO"),
+        "losses_warning": losses.filter(F.col("estado") == "ADVERTENCIA"),
+        "new_categories": categories.filter((F.col("ref_n") == 0) & (F.col("cur_n") > 0)),
+    }
+    rows = reduce(DataFrame.unionByName, [rows.select(F.lit(fact).alias("fact")) for fact, rows in found.items()])
+    return rows.agg(*[F.count_if(F.col("fact") == fact).alias(fact) for fact in found])
+
+
+def retraining_advice(drift: DataFrame, losses: DataFrame, categories: DataFrame, rules: DataFrame) -> DataFrame:
+    """Every retraining rule with the facts it looks at and whether it fires."""
+    return fired(retraining_facts(drift, losses, categories), rules)
+
+
+def policy_status(drift: DataFrame, limits: DataFrame) -> DataFrame:
+    """The stored limits with the features that reach each of them: those of ``psi``, ``score_psi`` and ``ks``."""
+    is_score = F.col("feature_type") == "PREDICTION"
+    measured = drift.select(
+        F.inline(
+            F.array(
+                F.struct(F.when(is_score, "score_psi").otherwise("psi").alias("metric"), F.col("psi").alias("value")),
+                F.struct(F.lit("ks").alias("metric"), F.col("ks_statistic").alias("value")),
+            )
+        )
     )
-    clase, estado = F.col("clase"), F.col("estado")
-    both = states.agg(
-        F.count_if((clase == "rasgo") & (estado == C.CRITICAL)).alias("rasgos_criticos"),
-        F.count_if((clase == "rasgo") & (estado == C.WARNING)).alias("rasgos_advertencia"),
-        F.count_if((clase == "perdida") & (estado == "CRITICO")).alias("perdidas_criticas"),
-        F.count_if((clase == "perdida") & (estado == "ADVERTENCIA")).alias("perdidas_advertencia"),
+    # A handful of limits and a row or two per feature.
+    joined = limits.join(measured, "metric", "left")
+    return joined.groupBy("number", "metric", "layer", "warning", "critical").agg(
+        F.count_if(F.col("value") >= F.col("critical")).alias("criticos"),
+        F.count_if((F.col("value") >= F.col("warning")) & (F.col("value") < F.col("critical"))).alias("advertencias"),
     )
-    drifted = (F.col("rasgos_criticos") + F.col("rasgos_advertencia")) > 0
-    scenario = F.when(drifted & (F.col("perdidas_criticas") > 0), 5).when(drifted, 3).otherwise(8)
-    chosen = both.withColumn("scenario_order", scenario)
-    return chosen.join(F.broadcast(policy), "scenario_order").select(
-        "rasgos_criticos", "rasgos_advertencia", "perdidas_criticas", "perdidas_advertencia", "scenario_order", "recommended_action", "retrain_now"
-    )
-
-
-def policy_status(drift: DataFrame, policy: DataFrame) -> DataFrame:
-    """The metric policy in its order, with the drift rows that touch each layer counted by status."""
-    layer = F.when(F.col("feature_type") == "PREDICTION", "PREDICTION_DRIFT").otherwise("DATA_DRIFT")
-    counts = drift.groupBy(layer.alias("monitoring_layer")).agg(
-        F.count_if(F.col("drift_status") == C.CRITICAL).alias("criticos"),
-        F.count_if(F.col("drift_status") == C.WARNING).alias("advertencias"),
-    )
-    return policy.join(F.broadcast(counts), "monitoring_layer", "left").select(
-        "metric_order", "monitoring_layer", "metric_name", F.coalesce("criticos", F.lit(0)).alias("criticos"), F.coalesce("advertencias", F.lit(0)).alias("advertencias")
-    ).orderBy("metric_order")

@@ -1,103 +1,136 @@
-"""The policy and contract tables that queries read, in this library's own wording.
+"""Rules as data: limits, retraining rules, response fields and error codes as typed tables.
 
-Column names, orders, layer and reason codes, status numbers and required types are fixed values;
-the sentences are not.
+The rows are made from the limits in ``config`` and from code lists; whoever keeps a policy reads the stored table, so a
+changed row changes the result. Rules are conjunctions of conditions, one row each: (rule, fact, comparison, bound).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+
+from claimlens import config as C
 from claimlens.sources.tables import overwrite
 
-POLICIES: dict[str, tuple[str, list[tuple]]] = {
-    "monitoring_metric_policy": (
-        "metric_order int, monitoring_layer string, metric_name string, warning_condition string, critical_condition string, expected_response string",
-        [
-            (1, "OPERATIONAL", "run state and duration", "slower than usual", "failed or late", "look at resources, dependencies, logs"),
-            (2, "OPERATIONAL", "volume and freshness", "more than 20 % off", "no data or far too late", "check sources and partitions"),
-            (3, "DATA_QUALITY", "nulls, repeated keys, schema", "more than in the reference", "repeated key, missing mandatory column, other schema", "set rows aside and repair the flow"),
-            (4, "DATA_QUALITY", "ranges and date rules", "more outliers", "values against business rules", "check source and transformations"),
-            (5, "DATA_DRIFT", "PSI of numbers and categories", "0.10 up to 0.25", "0.25 or more", "look into features and segments"),
-            (6, "DATA_DRIFT", "KS of numbers", "0.05 up to 0.10", "0.10 or more with p below 0.05", "compare distributions, find the cause"),
-            (7, "PREDICTION_DRIFT", "score mean, percentiles, distribution", "lasting change", "score PSI 0.25 or more", "check inputs, version, thresholds, mix"),
-            (8, "PREDICTION_DRIFT", "share of flagged claims", "up by more than 20 %", "up by more than 40 %", "review capacity, threshold, drift"),
-            (9, "PERFORMANCE", "area under ROC and PR", "down by more than 5 %", "down by more than 10 %", "look for concept drift, maybe retrain"),
-            (10, "PERFORMANCE", "precision, recall, false positives", "off the agreed target", "agreed target missed for long", "move the threshold or retrain"),
-            (11, "CALIBRATION", "calibration and Brier score", "some segments off", "off everywhere for long", "recalibrate or retrain"),
-            (12, "BUSINESS", "lift, confirmed cases, recovered value", "below the baseline", "no net value left", "review strategy, capacity, model"),
-            (13, "BUSINESS", "investigation capacity", "queue above one day of work", "backlog breaks the promise", "change thresholds or order"),
-            (14, "SEGMENT", "quality by channel, product, region", "local loss", "material or unfair loss", "look for bias, gaps, separate models"),
-        ],
-    ),
-    "retraining_decision_policy": (
-        "scenario_order int, observed_condition string, interpretation string, recommended_action string, retrain_now boolean",
-        [
-            (1, "flow, schema, unit or transformation error", "technical incident, model is fine", "repair and run again", False),
-            (2, "model or threshold changed by accident", "configuration incident", "restore the approved one", False),
-            (3, "data drift alone, no labels, no loss", "population moved, model not proven wrong", "investigate, watch closer, score in the shadow", False),
-            (4, "score drift and overloaded investigators", "calibration or capacity", "review threshold and ordering", False),
-            (5, "lasting data drift and material loss", "model lost power on the new population", "retrain on recent, mature labels", True),
-            (6, "confirmed concept drift", "features relate to the outcome differently", "review features, retrain, compare", True),
-            (7, "new product, channel or process", "outside the training population", "collect labels, retrain or segment", True),
-            (8, "periodic review without loss", "age alone is no reason", "validate again and keep", False),
-        ],
-    ),
-    "score_interface_contract": (
-        "field_order int, interface_section string, field_name string, data_type string, required boolean, description string, example_value string",
-        [
-            (1, "REQUEST", "id_reclamacion", "STRING", True, "unique, repeatable claim key", "C-1"),
-            (2, "REQUEST", "fecha_evento", "TIMESTAMP", True, "time of the event", "2026-01-01T00:00:00Z"),
-            (3, "REQUEST", "payload_reclamacion", "OBJECT", True, "raw claim columns", "versioned JSON"),
-            (4, "REQUEST", "contract_version", "STRING", True, "version of the request contract", "1.0"),
-            (5, "REQUEST", "trace_id", "STRING", True, "trace across systems", "t-1"),
-            (6, "RESPONSE", "id_reclamacion", "STRING", True, "key of the request", "C-1"),
-            (7, "RESPONSE", "score_fraude", "DOUBLE", True, "score for ordering", "0.5"),
-            (8, "RESPONSE", "nivel_riesgo", "STRING", True, "level by the current thresholds", "ALTO"),
-            (9, "RESPONSE", "accion_sugerida", "STRING", True, "suggested action", "REVISION_PRIORITARIA"),
-            (10, "RESPONSE", "fecha_scoring", "TIMESTAMP", True, "time of scoring", "2026-01-01T00:00:01Z"),
-            (11, "RESPONSE", "model_name", "STRING", True, "governed model name", "claims.risk_forest"),
-            (12, "RESPONSE", "model_version", "STRING", True, "version behind the alias", "1"),
-            (13, "RESPONSE", "contract_version", "STRING", True, "version of the response contract", "1.0"),
-            (14, "RESPONSE", "trace_id", "STRING", True, "trace from end to end", "t-1"),
-            (15, "RESPONSE", "scoring_status", "STRING", True, "technical outcome", "SUCCESS"),
-            (16, "RESPONSE", "reason_code", "STRING", False, "why an answer is degraded", "INVALID_SCHEMA"),
-        ],
-    ),
-    "score_error_contract": (
-        "error_order int, http_status int, reason_code string, meaning string, consumer_action string, retry_allowed boolean",
-        [
-            (1, 200, "SUCCESS", "scored", "use the result", False),
-            (2, 202, "QUEUED_FOR_BATCH", "accepted for the next batch", "ask again later", False),
-            (3, 400, "INVALID_SCHEMA", "payload breaks the contract", "correct it first", False),
-            (4, 401, "UNAUTHENTICATED", "unknown identity", "renew credentials", False),
-            (5, 403, "FORBIDDEN", "no right", "ask for it", False),
-            (6, 409, "IDEMPOTENCY_CONFLICT", "same key, other payload", "check key and content", False),
-            (7, 422, "INVALID_VALUES", "values break quality rules", "correct the data", False),
-            (8, 429, "RATE_LIMITED", "too many requests", "retry later", True),
-            (9, 500, "SCORING_ERROR", "internal error", "retry once, then fall back", True),
-            (10, 503, "SERVICE_UNAVAILABLE", "not available", "fall back to the queue", True),
-        ],
-    ),
+COMPARE = {
+    "=": lambda a, b: a == b,
+    ">": lambda a, b: a > b,
+    ">=": lambda a, b: a >= b,
+    "<": lambda a, b: a < b,
+    "<=": lambda a, b: a <= b,
+}
+
+
+def metric_limits() -> list[tuple]:
+    """(metric, layer, comparison, warning, critical) for every limit that the library checks."""
+    d, g = C.DriftLimits(), C.GateLimits()
+    return [
+        ("psi", "DATA_DRIFT", ">=", d.psi_warning, d.psi_critical),
+        ("ks", "DATA_DRIFT", ">=", None, d.ks_critical),
+        ("score_psi", "PREDICTION_DRIFT", ">=", d.psi_warning, d.psi_critical),
+        ("flagged_change", "PREDICTION_DRIFT", ">", C.FLAGGED_CHANGE_WARNING, C.FLAGGED_CHANGE_CRITICAL),
+        ("volume_change", "OPERATIONAL", ">", C.VOLUME_CHANGE, None),
+        ("area_loss", "PERFORMANCE", ">", C.AREA_LOSS_WARNING, C.AREA_LOSS_CRITICAL),
+        ("roc_auc", "PERFORMANCE", "<", None, g.roc_auc),
+        ("area_under_pr", "PERFORMANCE", "<", None, g.area_under_pr),
+        ("top20_capture", "BUSINESS", "<", None, g.top20_capture),
+    ]
+
+
+# Own rules: which facts (see ``plans.monitoring.retraining_facts``) lead to which action. A rule fires if all its
+# conditions hold; several may fire.
+RETRAINING: dict[str, tuple[bool, list[tuple[str, str, float]]]] = {
+    "RESTORE_VERSION": (False, [("score_critical", ">", 0), ("features_drifted", "=", 0)]),
+    "INVESTIGATE": (False, [("features_drifted", ">", 0), ("losses_critical", "=", 0)]),
+    "REVIEW_THRESHOLD": (False, [("score_critical", ">", 0), ("losses_critical", "=", 0)]),
+    "RETRAIN_ON_RECENT": (True, [("features_drifted", ">", 0), ("losses_critical", ">", 0)]),
+    "REBUILD_FEATURES": (True, [("features_drifted", "=", 0), ("losses_critical", ">", 0)]),
+    "SEGMENT_AND_LABEL": (True, [("new_categories", ">", 0)]),
+    "RECALIBRATE": (False, [("losses_warning", ">", 0), ("losses_critical", "=", 0)]),
+    "KEEP": (False, [("features_drifted", "=", 0), ("score_critical", "=", 0), ("losses_critical", "=", 0), ("losses_warning", "=", 0)]),
+}
+
+# Reason codes and their status numbers.
+STATUS_OF = {
+    "SUCCESS": 200,
+    "QUEUED_FOR_BATCH": 202,
+    "INVALID_SCHEMA": 400,
+    "UNAUTHENTICATED": 401,
+    "FORBIDDEN": 403,
+    "IDEMPOTENCY_CONFLICT": 409,
+    "INVALID_VALUES": 422,
+    "RATE_LIMITED": 429,
+    "SCORING_ERROR": 500,
+    "SERVICE_UNAVAILABLE": 503,
 }
 
 
+def policies() -> dict[str, tuple[str, list[tuple]]]:
+    """Schema and rows of each policy table; the first column numbers the rows."""
+    rules = [(rule, retrain, *condition) for rule, (retrain, conditions) in RETRAINING.items() for condition in conditions]
+    fields = [(name, kind, name not in C.OPTIONAL_RESPONSE) for name, kind in C.RESPONSE_FIELDS.items()]
+    # A client may try again when it was too fast or the server failed.
+    errors = [(reason, status, status == 429 or status >= 500) for reason, status in STATUS_OF.items()]
+    tables = {
+        "monitoring_metric_policy": ("metric string, layer string, comparison string, warning double, critical double", metric_limits()),
+        "retraining_decision_policy": ("rule string, retrain boolean, fact string, comparison string, bound double", rules),
+        "score_interface_contract": ("field_name string, data_type string, required boolean", fields),
+        "score_error_contract": ("reason_code string, http_status int, retry_allowed boolean", errors),
+    }
+    return {name: (f"number int, {schema}", [(i + 1, *_doubles(r)) for i, r in enumerate(rows)]) for name, (schema, rows) in tables.items()}
+
+
+def _doubles(row: Iterable) -> tuple:
+    """Bounds as doubles; status numbers and flags as they are."""
+    *head, last = row
+    return (*head, float(last)) if isinstance(last, int) and not isinstance(last, bool) else (*head, last)
+
+
 def policy(spark: SparkSession, name: str) -> DataFrame:
     """A policy table in its order."""
-    schema, rows = POLICIES[name]
-    df = spark.createDataFrame(rows, schema)
-    return df.orderBy(df.columns[0])
+    schema, rows = policies()[name]
+    return spark.createDataFrame(rows, schema).orderBy("number")
 
 
 def seed(spark: SparkSession, database: str | None = None) -> list[str]:
     """Write (overwrite) all policy tables; returns their names."""
-    names = [f"{database}.{n}" if database else n for n in POLICIES]
-    for full, short in zip(names, POLICIES):
+    names = {n: f"{database}.{n}" if database else n for n in policies()}
+    for short, full in names.items():
         overwrite(policy(spark, short), full)
-    return names
+    return list(names.values())
 
 
 def read_policy(spark: SparkSession, name: str) -> DataFrame:
     """A stored policy table, ordered by its first column."""
     stored = spark.table(name)
     return stored.orderBy(stored.columns[0])
+
+
+# --- rules to predicates --------------------------------------------------------------------
+
+
+def predicate(conditions: list[Row]) -> Column:
+    """All conditions of a rule as one column; a fact that is null fails its condition."""
+    holds = [F.coalesce(COMPARE[c["comparison"]](F.col(c["fact"]), F.lit(c["bound"])), F.lit(False)) for c in conditions]
+    return reduce(lambda a, b: a & b, holds)
+
+
+def fired(facts: DataFrame, rules: DataFrame) -> DataFrame:
+    """One row per row of facts and rule: the facts, the rule, whether it asks for retraining, whether it fires.
+
+    The rules are a small table; they become one projection over the facts, and no join. A comparison or a fact that is not
+    known is refused.
+    """
+    by_rule: dict[tuple[str, bool], list[Row]] = {}
+    for row in rules.collect():
+        if row["comparison"] not in COMPARE or row["fact"] not in facts.columns:
+            raise ValueError(f"rule {row['rule']!r}: cannot compare {row['fact']!r} by {row['comparison']!r}")
+        by_rule.setdefault((row["rule"], row["retrain"]), []).append(row)
+    cells = [
+        F.struct(F.lit(rule).alias("rule"), F.lit(retrain).alias("retrain"), predicate(conditions).alias("fires"))
+        for (rule, retrain), conditions in by_rule.items()
+    ]
+    return facts.select("*", F.inline(F.array(*cells)))

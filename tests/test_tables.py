@@ -94,20 +94,43 @@ def test_missing_table_and_schema_and_view(spark):
 
 
 def test_policy_tables(spark):
-    sizes = {
-        "monitoring_metric_policy": 14, "retraining_decision_policy": 8,
-        "score_interface_contract": 16, "score_error_contract": 10,
-    }
     tables.create_schema(spark, "politicas")
     names = policies.seed(spark, "politicas")
     policies.seed(spark, "politicas")
-    assert {n.split(".")[1] for n in names} == set(sizes)
-    for name, size in sizes.items():
+    assert {n.split(".")[1] for n in names} == set(policies.policies())
+    for name, (_, rows) in policies.policies().items():
         stored = policies.read_policy(spark, f"politicas.{name}").collect()
-        assert [r[0] for r in stored] == list(range(1, size + 1))
+        assert [r["number"] for r in stored] == list(range(1, len(rows) + 1))
         assert stored == policies.policy(spark, name).collect()
 
 
+@pytest.mark.parametrize(
+    "given, wanted",
+    [
+        ((0, 1, 0, 0, 0), {"RESTORE_VERSION", "REVIEW_THRESHOLD"}),
+        ((2, 0, 0, 0, 0), {"INVESTIGATE"}),
+        ((2, 1, 1, 0, 0), {"RETRAIN_ON_RECENT"}),
+        ((0, 0, 2, 0, 0), {"REBUILD_FEATURES"}),
+        ((0, 0, 0, 1, 3), {"RECALIBRATE", "SEGMENT_AND_LABEL"}),
+        ((0, 0, 0, 0, 0), {"KEEP"}),
+        ((None, 0, 0, 0, 0), set()),
+    ],
+)
+def test_rules_fire(spark, given, wanted):
+    schema = "features_drifted long, score_critical long, losses_critical long, losses_warning long, new_categories long"
+    judged = policies.fired(spark.createDataFrame([given], schema), policies.policy(spark, "retraining_decision_policy")).collect()
+    assert {r.rule for r in judged if r.fires} == wanted and len(judged) == len(policies.RETRAINING)
+    assert all(r.retrain == policies.RETRAINING[r.rule][0] for r in judged)
+
+
+def test_stored_rule_that_cannot_be_compiled(spark):
+    facts = spark.createDataFrame([(1,)], "a int")
+    schema = "rule string, retrain boolean, fact string, comparison string, bound double"
+    for row in (("r", True, "b", ">", 0.0), ("r", True, "a", "like", 0.0)):
+        with pytest.raises(ValueError, match="cannot compare"):
+            policies.fired(facts, spark.createDataFrame([row], schema))
+
+
 def test_profiles(spark):
     df = spark.createDataFrame([(1.0, "a"), (float("nan"), None), (None, "a")], "x double, t string")
     assert {r.columna: r.nulos for r in P.null_counts(df).collect()} == {"x": 1, "t": 1}
