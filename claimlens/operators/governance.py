@@ -27,7 +27,7 @@ MANIFEST_SCHEMA = (
     "experiment_id string, source_table string, source_table_version bigint, source_table_timestamp timestamp, "
     "source_notebook string, git_commit string, parameters_json string, metrics_json string, random_seed int, "
     "mlflow_version string, model_signature_status string, environment_status string, "
-    "reproducibility_status string, limitations string"
+    "reproducibility_status string, limitations string, source_content_digest string"
 )
 # Columns that a repeated event or validation replaces; the others keep their first value.
 EVENT_UPDATES = ["event_timestamp", "validation_status", "approved_by", "reason", "metadata_json"]
@@ -110,13 +110,14 @@ def new_candidates(wanted: DataFrame, existing: DataFrame, marker: str = "marker
 def content_fingerprint(df: DataFrame) -> DataFrame:
     """Row count and an order-free content digest of a table, standing for its data version.
 
-    The digest is the sum of one 64-bit row hash as decimal, so it is combined map-side and
-    does not depend on row order.
+    A row's digest is the first 64 bits of the MD5 of its columns as text, each with its length, null apart from empty; the digest of the
+    table is their sum modulo 2^64. It is combined map-side, does not depend on the order of rows, counts repeated rows, and any
+    SQL engine with MD5 computes the same.
     """
-    return df.agg(
-        F.count("*").alias("filas"),
-        F.coalesce(F.sum(row_hash(df.columns).cast("decimal(20,0)")), F.lit(0)).alias("huella"),
-    )
+    text = [F.coalesce(F.concat(F.char_length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in df.columns]
+    row = F.conv(F.substring(F.md5(F.concat_ws("|", *text)), 1, 16), 16, 10).cast("decimal(20,0)")
+    total = F.coalesce(F.sum(row), F.lit(0)).cast("decimal(38,0)") % F.lit(str(1 << 64)).cast("decimal(20,0)")
+    return df.agg(F.count("*").alias("filas"), total.cast("decimal(20,0)").cast("string").alias("huella"))
 
 
 def manifest(
@@ -125,7 +126,7 @@ def manifest(
 ) -> DataFrame:
     """One manifest row: what is needed to repeat the training of a version.
 
-    The data version is the row count; the content digest goes into the limitations text.
+    The data version is the row count together with the content digest, which has a column of its own.
     """
     facts = content_fingerprint(source)
     none = F.lit(None).cast("string")
@@ -149,7 +150,8 @@ def manifest(
         F.lit("REGISTERED").alias("model_signature_status"),
         F.lit("PARTIAL").alias("environment_status"),
         F.lit("COMPLETE" if complete else "PARTIAL").alias("reproducibility_status"),
-        F.concat(F.lit("" if complete else "no code version recorded; "), F.lit("data digest "), F.col("huella").cast("string")).alias("limitations"),
+        F.lit("" if complete else "NO_CODE_VERSION").alias("limitations"),
+        F.col("huella").alias("source_content_digest"),
     )
     return row
 

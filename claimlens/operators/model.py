@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from claimlens import config as C
 from claimlens.functions.scoring import probability_of_one
+from claimlens.operators.ranking import order_statistics
 from claimlens.operators.reports import equivalence_summary, require_equivalent, score_difference
 
 
@@ -31,16 +33,64 @@ def classifiers(seed: int = C.SEED) -> dict[str, object]:
     }
 
 
+def exact_medians(df: DataFrame, features: list[str]) -> dict[str, float]:
+    """The least value of each feature that at least half of its values do not exceed; all features in the same passes."""
+    found = order_statistics(df, {f: lambda n: [-(-n // 2)] if n else [] for f in features})
+    empty = [f for f in features if not found[f]]
+    if empty:
+        raise ValueError(f"features without any value have no median: {empty}")
+    return {f: next(iter(found[f].values())).value for f in features}
+
+
+def fill_stage(medians: dict[str, float]) -> Transformer:
+    """Puts the medians in the place of nulls and NaN, as ``<feature>_imputed``; saved with the pipeline like any stage."""
+    filled = ", ".join(f"coalesce(nanvl(`{f}`, CAST(NULL AS DOUBLE)), CAST('{m!r}' AS DOUBLE)) AS `{f}_imputed`" for f, m in medians.items())
+    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+
+
 def fit_preparation(train: DataFrame, features: list[str] = C.FEATURES) -> list[Transformer]:
     """Median imputer, assembler and scaler, fitted once for all classifiers."""
     filled = [f"{f}_imputed" for f in features]
-    imputer = Imputer(inputCols=features, outputCols=filled, strategy="median").fit(train)
+    imputer = fill_stage(exact_medians(train, features))
     assembler = VectorAssembler(inputCols=filled, outputCol="features_raw", handleInvalid="keep")
     assembled = assembler.transform(imputer.transform(train))
     scaler = StandardScaler(inputCol="features_raw", outputCol="features").fit(assembled)
     return [imputer, assembler, scaler]
 
 
+@dataclass(frozen=True)
+class LinearModel:
+    """A logistic model as one column expression: no vectors, no model file at scoring time.
+
+    ``features`` are its inputs in order; who publishes its scores checks them. A missing input takes its fill value.
+    """
+
+    features: tuple[str, ...]
+    weights: tuple[float, ...]
+    fill: tuple[float, ...]
+    intercept: float
+
+    def probability(self) -> Column:
+        value = lambda f, m: F.coalesce(F.nanvl(F.col(f).cast("double"), F.lit(None)), F.lit(m))
+        terms = [F.lit(w) * value(f, m) for f, w, m in zip(self.features, self.weights, self.fill)]
+        return 1.0 / (1.0 + F.exp(-reduce(lambda a, b: a + b, terms, F.lit(self.intercept))))
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("score_fraude", self.probability())
+
+
+def linear_model(model: PipelineModel, features: list[str] = C.FEATURES) -> LinearModel:
+    """The column expression of a fitted or loaded logistic regression; the scaler's divisors go into the weights."""
+    fill, _, scaler, fitted = model.stages
+    names = [f"{f}_imputed" for f in features]
+    row = fill.transform(SparkSession.getActiveSession().createDataFrame([(None,) * len(features)], ", ".join(f"`{f}` double" for f in features)))
+    medians = row.select(*names).first()
+    divisors = [float(s) if scaler.getWithStd() and s else 1.0 for s in scaler.std]
+    # A constant feature is scaled to zero.
+    weights = [float(c) / d if s else 0.0 for c, d, s in zip(fitted.coefficients, divisors, scaler.std)]
+    return LinearModel(tuple(features), tuple(weights), tuple(medians), float(fitted.intercept))
+
+
 def placed_by_key(df: DataFrame, key: str = C.KEY, placement: int = PLACEMENT) -> DataFrame:
     """Rows placed and ordered by key, so that tree sampling is repeatable.
 

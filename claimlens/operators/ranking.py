@@ -114,6 +114,41 @@ def sample_quantiles(df: DataFrame, name: str, shares: list[float], buckets: int
     return [found[rank(n, s)].value for s in shares]
 
 
+def group_quantiles(df: DataFrame, by: list[str], value: str, shares: list[float], leaf: int = LEAF) -> DataFrame:
+    """Exact sample quantiles of every group: ``by`` and an array of values in the order of ``shares``; null without values.
+
+    The column's cells are the same for all groups. Counts per (group, cell) say in which cell a group's rank lies; only rows of those
+    cells are counted by value. Nothing is collected per group, and a group of all rows is as many tasks as there are cells.
+    """
+    narrow = df.select(*by, plain_double(F.col(value)).alias("_v"))
+    splits = Cells(narrow, ["_v"]).fine_edges("_v", leaf)
+    rows = with_buckets(narrow, {"_v": splits}).withColumn("_b", F.col("_v__b").cast("int")).drop("_v__b")
+    # A null value has a bucket of its own behind the others; its group is kept.
+    counts = rows.groupBy(*by, "_b").agg(F.count("_v").alias("_n"))
+    over = W.partitionBy(*by)
+    upto = F.sum("_n").over(over.orderBy("_b"))
+    placed = counts.select("*", upto.alias("_upto"), F.sum("_n").over(over).alias("_total"))
+    wanted = F.posexplode(F.array(*[F.lit(s) for s in shares])).alias("_i", "_share")
+    rank = F.least(F.col("_total"), F.greatest(F.lit(1), F.ceil(F.round(F.col("_share") * F.col("_total"), 9))))
+    targets = (
+        placed.select("*", wanted)
+        .withColumn("_rank", rank)
+        .filter((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_n")))
+        .select(*[F.col(c).alias(f"_t{i}") for i, c in enumerate(by)], F.col("_b").alias("_tb"), "_i", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_local"))
+    )
+
+    def same(own: str, other: str) -> Column:
+        pairs = [F.col(c).eqNullSafe(F.col(f"_t{i}")) for i, c in enumerate(by)]
+        return reduce(lambda a, b: a & b, pairs, F.col(own) == F.col(other))
+
+    inside = rows.join(targets.drop("_i", "_local").distinct(), same("_b", "_tb"), "left_semi").groupBy(*by, "_b", "_v").agg(F.count("*").alias("_n"))
+    steps = inside.withColumn("_upto", F.sum("_n").over(W.partitionBy(*by, "_b").orderBy("_v")))
+    hits = steps.join(targets, same("_b", "_tb")).filter((F.col("_local") <= F.col("_upto")) & (F.col("_local") > F.col("_upto") - F.col("_n")))
+    found = hits.select(*by, "_i", "_v").unionByName(counts.select(*by, F.lit(-1).alias("_i"), F.lit(None).cast("double").alias("_v")))
+    values = [F.max(F.when(F.col("_i") == i, F.col("_v"))) for i in range(len(shares))]
+    return found.groupBy(*by).agg(F.array(*values).alias("quantiles"))
+
+
 # --- cut points, time split, tiles ---------------------------------------------
 
 Cut = tuple["float | None", "str | None"]

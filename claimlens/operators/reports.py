@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from claimlens import config as C
 from claimlens.functions.scoring import version_number
-from claimlens.operators.ranking import order_statistics
+from claimlens.operators.ranking import group_quantiles, order_statistics
 
 
 def count_by(df: DataFrame, *columns: str) -> DataFrame:
@@ -178,7 +178,7 @@ def execution_distribution(scores: DataFrame, accuracy: int = 10000) -> DataFram
     """Score distribution per execution: claims, mean, percentiles, level shares, version, time.
 
     The definition is this library's own. The percentiles come from one sketch, merged before the
-    shuffle, so an execution may hold any share of all rows; raise ``accuracy`` for more exact ones.
+    shuffle, so an execution may hold any share of all rows; ``execution_percentiles`` gives exact ones.
     """
     s = F.col("score_fraude")
 
@@ -208,6 +208,13 @@ def execution_distribution(scores: DataFrame, accuracy: int = 10000) -> DataFram
     )
 
 
+def execution_percentiles(scores: DataFrame) -> DataFrame:
+    """The percentiles of ``execution_distribution``, exact."""
+    percents = (50, 90, 95)
+    found = group_quantiles(scores, ["id_ejecucion"], "score_fraude", [q / 100 for q in percents])
+    return found.select("id_ejecucion", *[F.get("quantiles", F.lit(i)).alias(f"score_p{q}") for i, q in enumerate(percents)])
+
+
 def baseline_execution(distribution: DataFrame) -> DataFrame:
     """The execution with the most claims (smallest id on a tie)."""
     return distribution.orderBy(F.desc("reclamaciones"), "id_ejecucion").limit(1)

@@ -553,10 +553,21 @@ def execution_distribution(spark, folder):
     return six(out, "score_promedio", "porcentaje_alto", "porcentaje_medio", "porcentaje_bajo")
 
 
-@query("execution_percentiles", "D18")
+_PERCENTILES = ", ".join(f"max(CASE WHEN r = greatest(1, ceil(round({q}e-2 * n, 9))) THEN s END) AS score_p{q}" for q in (50, 90, 95))
+
+
+@query(
+    "execution_percentiles",
+    "D18",
+    O.with_(O.HISTORY)
+    + f""", ranked AS (
+  SELECT id_ejecucion, score_fraude AS s, row_number() OVER (PARTITION BY id_ejecucion ORDER BY score_fraude) AS r, count(*) OVER (PARTITION BY id_ejecucion) AS n FROM history
+)
+SELECT id_ejecucion, {_PERCENTILES} FROM ranked GROUP BY 1""",
+)
 def execution_percentiles(spark, folder):
-    """Sketch percentiles, so there is no exact twin to compare with."""
-    return RP.execution_distribution(A.score_history(spark, folder)).select("id_ejecucion", "score_p50", "score_p90", "score_p95")
+    """Exact percentiles of every execution."""
+    return RP.execution_percentiles(A.score_history(spark, folder))
 
 
 @query(

@@ -297,19 +297,65 @@ def saved_model_equivalence(spark, folder):
     return MD.model_equivalence(fitted.model, MD.load_model(path), rows.filter("tramo = 'TEST'"))
 
 
-@query("batch_scored_by_model", "H11 H12 B29 I3")
-def batch_scored_by_model(spark, folder):
-    """A saved model applied to the scoring input; levels and actions counted."""
-    tagged = TR.split_frame(training_input(spark, folder))
-    train = tagged.filter("tramo = 'TRAIN'")
-    fitted = MD.fit_all(train, tagged.filter("tramo = 'TEST'"), names=["logistic_regression"])[0]
-    path = run_folder(spark, "model")
-    MD.save_model(fitted.model, path)
-    frame = FE.scoring_frame(A.scoring_input(spark, folder))
-    from claimlens.functions.scoring import score_rows
+# A linear model with given numbers, as a saved one would give them: weight and fill value of each feature.
+LINEAR = MD.LinearModel(
+    tuple(C.FEATURES), tuple(((-1) ** i) * 0.01 * (i + 1) / (1000.0 if "reserva" in f else 10.0) for i, f in enumerate(C.FEATURES)), tuple(float(i) for i in range(len(C.FEATURES))), -0.25
+)
+# The feature table of the SQL twins holds the logarithm rounded.
+_UNROUNDED = {"log_reserva_inicial": 'ln(1e0 + CASE WHEN "Sum_Valor_Reservas_Inicial" > 0 THEN "Sum_Valor_Reservas_Inicial" ELSE 0e0 END)'}
+_LINEAR_SUM = " + ".join(f"({w!r}) * coalesce({_UNROUNDED.get(f, f)}, {m!r})" for f, w, m in zip(LINEAR.features, LINEAR.weights, LINEAR.fill))
 
-    scored = MD.apply_model(MD.load_model(path), frame)
-    return RP.risk_summary(score_rows(scored, f"{C.DEFAULT_MODEL}:1", "run-modelo", datetime(2026, 1, 1)))
+
+@query(
+    "batch_scored_by_model",
+    "H4 H11 H12 B29 I3 I6 A6 C2",
+    O.with_(O.FEATURES)
+    + f""", scored AS (SELECT id_reclamacion, 1e0 / (1e0 + exp(-({LINEAR.intercept!r} + {_LINEAR_SUM}))) AS score_fraude FROM features)
+SELECT id_reclamacion, round(score_fraude, 6) AS score_fraude, {O.level("score_fraude")} AS nivel_riesgo, 'm:1' AS version_modelo, 'SUCCESS' AS estado FROM scored""",
+)
+def batch_scored_by_model(spark, folder):
+    """A linear model as column expression, published by the scoring flow; its run's state from the audit table."""
+    tables = _tables(spark)
+    source = write_and_read(A.scoring_input(spark, folder), run_folder(spark, "input"))
+    score_batch(source, LINEAR, "m:1", tables, run_id="run-lineal")
+    runs = spark.table(tables.runs).select("id_ejecucion", "estado")
+    # One audit row per run.
+    joined = spark.table(tables.scores).join(F.broadcast(runs), "id_ejecucion")
+    return six(joined.select(C.KEY, "score_fraude", "nivel_riesgo", "version_modelo", "estado"), "score_fraude")
+
+
+@query(
+    "refused_models",
+    "I3 I5 H11",
+    "SELECT 'run-orden' AS id_ejecucion, 'FAILED' AS estado, 0 AS registros_exitosos, 'features are not in the approved order' AS mensaje_error "
+    "UNION ALL SELECT 'run-resto', 'FAILED', 0, 'approved features are missing: [''" + C.FEATURES[-1] + "'']'",
+)
+def refused_models(spark, folder):
+    """A model whose inputs are in another order, and one that lacks one: both runs fail and publish nothing."""
+    tables = _tables(spark)
+    source = A.scoring_input(spark, folder)
+    turned = MD.LinearModel(LINEAR.features[::-1], LINEAR.weights[::-1], LINEAR.fill[::-1], LINEAR.intercept)
+    short = MD.LinearModel(LINEAR.features[:-1], LINEAR.weights[:-1], LINEAR.fill[:-1], LINEAR.intercept)
+    for model, run_id in ((turned, "run-orden"), (short, "run-resto")):
+        try:
+            score_batch(source, model, "m:1", tables, run_id=run_id)
+        except ValueError:
+            pass  # the audit row tells
+    return spark.table(tables.runs).select("id_ejecucion", "estado", F.col("registros_exitosos").cast("int").alias("registros_exitosos"), "mensaje_error")
+
+
+@query(
+    "feature_medians",
+    "H1 D17",
+    O.with_(O.FEATURES)
+    + "\nUNION ALL ".join(f"SELECT '{f}' AS feature, quantile_disc({f}, 0.5) AS mediana FROM features" for f in C.FEATURES if f != "log_reserva_inicial")
+    + "\nUNION ALL SELECT 'log_reserva_inicial', round(quantile_disc(log_reserva_inicial, 0.5), 6) FROM features",
+)
+def feature_medians(spark, folder):
+    """Fill values of the imputer: exact medians of all features from the same passes."""
+    stored = write_and_read(FE.scoring_frame(A.scoring_input(spark, folder)).select(*C.FEATURES), run_folder(spark, "features"))
+    medians = MD.exact_medians(stored, C.FEATURES)
+    return spark.createDataFrame([(f, round(m, 6)) for f, m in medians.items()], "feature string, mediana double")
 
 
 AREAS = f"""{O.LABELLED},
@@ -558,13 +604,18 @@ def interface_contract_check(spark, folder):
     return K.interface_check(RP.consumer_view(A.score_history(spark, folder)), contract)
 
 
-def _flow(spark: SparkSession, folder: str) -> ScoringTables:
-    """Four runs of the scoring flow with the formula score: lots 0 and 1; all (only lot 2 is new);
-    all again (nothing new); all with a second version."""
+def _tables(spark: SparkSession) -> ScoringTables:
+    """New tables of the scoring flow, below a folder of their own."""
     location = run_folder(spark, "scoring")
     name = location.rsplit("-", 1)[-1][:12]
-    tables = ScoringTables(f"scores_{name}", f"stage_{name}", f"runs_{name}", location)
-    source = write_and_read(A.scoring_input(spark, folder), f"{location}/input")
+    return ScoringTables(f"scores_{name}", f"stage_{name}", f"runs_{name}", location)
+
+
+def _flow(spark: SparkSession, folder: str) -> ScoringTables:
+    """Runs of the scoring flow with the formula score: lots 0 and 1; all (only lot 2 is new); all again (nothing new);
+    all with a second version; then the first run repeated, its id with another version, and lot 2 twice in one batch."""
+    tables = _tables(spark)
+    source = write_and_read(A.scoring_input(spark, folder), f"{tables.location}/input")
 
     def scorer(df: DataFrame) -> DataFrame:
         return df.withColumn("score_fraude", F.col("score_formula"))
@@ -573,6 +624,13 @@ def _flow(spark: SparkSession, folder: str) -> ScoringTables:
     score_batch(source, scorer, "m:1", tables, run_id="run-b")
     score_batch(source, scorer, "m:1", tables, run_id="run-c")
     score_batch(source, scorer, "m:2", tables, run_id="run-d")
+    score_batch(source.filter("lote < 2"), scorer, "m:1", tables, run_id="run-a")
+    twice = source.filter("lote = 2").unionByName(source.filter("lote = 2"))
+    for rows, run_id in ((source, "run-a"), (twice, "run-f")):
+        try:
+            score_batch(rows, scorer, "m:3", tables, run_id=run_id)
+        except ValueError:
+            pass  # the audit row tells
     return tables
 
 
@@ -582,7 +640,8 @@ def _flow(spark: SparkSession, folder: str) -> ScoringTables:
     """WITH n AS (SELECT count(CASE WHEN o_orderkey % 3 < 2 THEN 1 END) AS a, count(CASE WHEN o_orderkey % 3 = 2 THEN 1 END) AS b, count(*) AS d FROM orders)
 SELECT 'run-a' AS id_ejecucion, 'm:1' AS version_modelo, a AS registros_entrada, a AS registros_exitosos, a - a AS registros_error, 'SUCCESS' AS estado FROM n
 UNION ALL SELECT 'run-b', 'm:1', b, b, b - b, 'SUCCESS' FROM n UNION ALL SELECT 'run-c', 'm:1', a - a, a - a, a - a, 'NO_DATA' FROM n
-UNION ALL SELECT 'run-d', 'm:2', d, d, d - d, 'SUCCESS' FROM n""",
+UNION ALL SELECT 'run-d', 'm:2', d, d, d - d, 'SUCCESS' FROM n UNION ALL SELECT 'run-a@m:3', 'm:3', a - a, a - a, a - a, 'FAILED' FROM n
+UNION ALL SELECT 'run-f', 'm:3', 2 * b, a - a, 2 * b, 'FAILED' FROM n""",
 )
 def scoring_flow_runs(spark, folder):
     tables = _flow(spark, folder)
@@ -658,16 +717,22 @@ def newest_ready_version(spark, folder):
     return G.newest_ready(A.model_versions(spark, folder))
 
 
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_ORDER_TEXT = ", ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in _ORDER_COLUMNS)
+
+
 @query(
     "manifest_facts",
-    "K4",
-    "SELECT count(*) AS source_table_version, '{\"max_depth\":6,\"num_trees\":50,\"seed\":42}' AS parameters_json, 42 AS random_seed, 'PARTIAL' AS reproducibility_status FROM orders",
+    "K4 B19 B28",
+    f"""SELECT count(*) AS source_table_version,
+CAST(CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {_ORDER_TEXT})), 1, 16) AS UBIGINT)) AS HUGEINT) % 18446744073709551616 AS VARCHAR) AS source_content_digest,
+'{{"max_depth":6,"num_trees":50,"seed":42}}' AS parameters_json, 42 AS random_seed, 'PARTIAL' AS reproducibility_status FROM orders""",
 )
 def manifest_facts(spark, folder):
-    row = G.manifest(
-        scan(spark, "orders", folder), "manifest-1", C.DEFAULT_MODEL, "1", {"max_depth": 6, "num_trees": 50, "seed": 42}, {"roc_auc": 0.78}, datetime(2026, 1, 1), "orders"
-    )
-    return row.select("source_table_version", "parameters_json", "random_seed", "reproducibility_status")
+    """A manifest of the orders: its digest changes with any value, with a row lost and with a row repeated."""
+    orders = scan(spark, "orders", folder).select(*_ORDER_COLUMNS)
+    row = G.manifest(orders, "manifest-1", C.DEFAULT_MODEL, "1", {"max_depth": 6, "num_trees": 50, "seed": 42}, {"roc_auc": 0.78}, datetime(2026, 1, 1), "orders")
+    return row.select("source_table_version", "source_content_digest", "parameters_json", "random_seed", "reproducibility_status")
 
 
 @query(

@@ -275,7 +275,7 @@ def test_candidates_and_manifest_once(spark):
     row = G.manifest(have, "id-1", MODEL, "1", {"seed": 42, "num_trees": 50}, {"roc_auc": 0.78}, datetime(2026, 1, 1), "t")
     assert row.schema.simpleString() == spark.createDataFrame([], G.MANIFEST_SCHEMA).schema.simpleString()
     first = row.first()
-    assert first.random_seed == 42 and first.parameters_json == '{"seed":42,"num_trees":50}' and "no code version" in first.limitations
+    assert first.random_seed == 42 and first.parameters_json == '{"seed":42,"num_trees":50}' and first.limitations == "NO_CODE_VERSION"
     append(row, "manifiestos")
     from claimlens.operators.merge import new_rows
 
