@@ -164,7 +164,7 @@ def gate_results(pairs: DataFrame, validated_at: Column, limits: C.GateLimits =
 
     ``pairs`` has one row per candidate next to its champion: model_name, champion_version,
     candidate_version, status, run_status, roc_auc, area_under_pr, top20_capture, champion_roc_auc,
-    seed, git_commit. A missing figure fails its gate; a missing code version is only a warning.
+    seed, git_commit. A missing figure fails its gate, and so does a missing champion; a missing code version is only a warning.
     """
 
     def verdict(ok: Column, otherwise: str = "FAIL") -> Column:
@@ -173,6 +173,10 @@ def gate_results(pairs: DataFrame, validated_at: Column, limits: C.GateLimits =
     def text(value: Column) -> Column:
         return F.coalesce(value.cast("string"), F.lit("None"))
 
+    def figure(value: Column) -> Column:
+        """Six decimals, so that a figure reads alike in every engine."""
+        return text(value.cast("decimal(18,6)"))
+
     c = F.col
     loss = c("roc_auc") - c("champion_roc_auc")
     has_commit = c("git_commit").isNotNull() & (c("git_commit") != "")
@@ -186,10 +190,10 @@ def gate_results(pairs: DataFrame, validated_at: Column, limits: C.GateLimits =
             "candidate and champion must be two versions",
         ),
         ("RUN_FINISHED", verdict(c("run_status") == "FINISHED"), text(c("run_status")), F.lit("FINISHED"), "training must have ended well"),
-        ("MIN_ROC_AUC", verdict(c("roc_auc") >= limits.roc_auc), text(c("roc_auc")), F.lit(f">= {limits.roc_auc}"), "floor for discrimination"),
-        ("MIN_AREA_UNDER_PR", verdict(c("area_under_pr") >= limits.area_under_pr), text(c("area_under_pr")), F.lit(f">= {limits.area_under_pr}"), "floor for finding positives"),
-        ("MIN_TOP20_CAPTURE", verdict(c("top20_capture") >= limits.top20_capture), text(c("top20_capture")), F.lit(f">= {limits.top20_capture}"), "floor for ranking in the first fifth"),
-        ("MAX_ROC_DEGRADATION", verdict(loss >= -limits.roc_loss), text(loss), F.lit(f">= -{limits.roc_loss}"), "no material loss against the champion"),
+        ("MIN_ROC_AUC", verdict(c("roc_auc") >= limits.roc_auc), figure(c("roc_auc")), F.lit(f">= {limits.roc_auc}"), "floor for discrimination"),
+        ("MIN_AREA_UNDER_PR", verdict(c("area_under_pr") >= limits.area_under_pr), figure(c("area_under_pr")), F.lit(f">= {limits.area_under_pr}"), "floor for finding positives"),
+        ("MIN_TOP20_CAPTURE", verdict(c("top20_capture") >= limits.top20_capture), figure(c("top20_capture")), F.lit(f">= {limits.top20_capture}"), "floor for ranking in the first fifth"),
+        ("MAX_ROC_DEGRADATION", verdict(loss >= -limits.roc_loss), figure(loss), F.lit(f">= -{limits.roc_loss}"), "no material loss against the champion"),
         ("RANDOM_SEED_REGISTERED", verdict(c("seed").isNotNull()), text(c("seed")), F.lit("required"), "training must be repeatable"),
         ("CODE_VERSION_REGISTERED", verdict(has_commit, "WARNING"), F.when(has_commit, c("git_commit")).otherwise("NO_REGISTRADO"), F.lit("required"), "code must be traceable"),
     ]
@@ -260,7 +264,7 @@ def promotion_decisions(pairs: DataFrame, allow_exception: bool = True) -> DataF
     )
 
 
-def _events(rows: DataFrame, at: datetime, by: str, meta: dict, moves: list[tuple]) -> DataFrame:
+def _events(rows: DataFrame, at: datetime, by: str | None, meta: dict, moves: list[tuple]) -> DataFrame:
     """Event rows from (suffix, action, old, new, alias, status, reason) per input row.
 
     ``rows`` needs ``model_name`` and ``_stem``; all moves of a row come out together.
@@ -292,14 +296,14 @@ def _events(rows: DataFrame, at: datetime, by: str, meta: dict, moves: list[tupl
         "target_version",
         "model_alias",
         "validation_status",
-        F.lit(by).alias("approved_by"),
+        (F.current_user() if by is None else F.lit(by)).alias("approved_by"),
         "reason",
         F.lit(json.dumps(meta)).alias("metadata_json"),
     )
 
 
-def promotion_events(decided: DataFrame, at: datetime, approved_by: str, ticket: str) -> DataFrame:
-    """The events of all allowed promotions, to be appended to the log in one write.
+def promotion_events(decided: DataFrame, at: datetime, approved_by: str | None, ticket: str) -> DataFrame:
+    """The events of all allowed promotions, to be appended to the log in one write; without an approver the session's user records them.
 
     ``decided`` comes from ``promotion_decisions``; only its PROMOTE rows give events. One event
     keeps the champion as PreviousChampion, one moves Champion to the candidate. They are written
@@ -319,7 +323,7 @@ def promotion_events(decided: DataFrame, at: datetime, approved_by: str, ticket:
     )
 
 
-def rollback_events(events: DataFrame, at: datetime, approved_by: str, ticket: str) -> DataFrame:
+def rollback_events(events: DataFrame, at: datetime, approved_by: str | None, ticket: str) -> DataFrame:
     """The events that move Champion back to PreviousChampion and keep the withdrawn version.
 
     Models without a recovery point, or already on it, give none.

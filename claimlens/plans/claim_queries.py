@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ from claimlens.plans.batch_scoring import next_batch, unscored
 from claimlens.plans.registry import query, r6, six
 from claimlens.session import run_folder
 from claimlens.sources import claims as A
-from claimlens.sources.tables import TABLES, create_schema, overwrite, publish_view, scan, stage_run, write_and_read
+from claimlens.sources.tables import TABLES, append, create_schema, overwrite, passing_schema, publish_view, scan, stage_run, write_and_read
 
 
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,19 +73,28 @@ def clean_header_names(spark, folder):
 batch AS (
   SELECT 'DEMO-INC-001-' || substr(sha256(id_reclamacion), 1, 24) AS id_reclamacion, score_fraude FROM (
     SELECT * FROM existing WHERE id_reclamacion NOT LIKE 'DEMO-INC-%' ORDER BY id_reclamacion LIMIT 100) AS first_rows)
-SELECT id_reclamacion, score_fraude, false AS nueva FROM existing
+SELECT id_reclamacion, score_fraude, false AS nueva, false AS sellada FROM existing
 UNION ALL
-SELECT id_reclamacion, score_fraude, true FROM batch
+SELECT id_reclamacion, score_fraude, true, true FROM batch
 WHERE id_reclamacion NOT IN (SELECT id_reclamacion FROM existing)""",
 )
 def append_new_batch(spark, folder):
-    """The input table after a batch of 100, of which 40 had been added before."""
+    """The stored input table after a batch of 100, of which 40 had been added before, was appended in the table's column order.
+
+    A new row's stamp must lie within the run.
+    """
+    begun = datetime.now(timezone.utc)
     base = A.formula_claims(spark, folder).select(C.KEY, "score_fraude")
     before = base.orderBy(C.KEY).limit(40).withColumn(C.KEY, short_hash_key(F.col(C.KEY), "DEMO-INC-001-"))
-    existing = base.unionByName(before)
-    new = next_batch(existing, "DEMO-INC-001-", 100, "DEMO-INC-").select(*existing.columns)
-    table = existing.withColumn("nueva", F.lit(False)).unionByName(new.withColumn("nueva", F.lit(True)))
-    return table
+    old = base.unionByName(before).withColumn("fecha_ingesta", F.lit(None).cast("timestamp"))
+    with passing_schema(spark) as schema:
+        name = f"{schema}.entrada"
+        overwrite(old, name)
+        new = next_batch(spark.table(name), "DEMO-INC-001-", 100, "DEMO-INC-")
+        append(new.select("fecha_ingesta", "score_fraude", C.KEY), name)
+        stored = write_and_read(spark.table(name), run_folder(spark, "input"))
+    within = F.col("fecha_ingesta").between(F.lit(begun), F.lit(datetime.now(timezone.utc)))
+    return stored.select(C.KEY, "score_fraude", F.col("fecha_ingesta").isNotNull().alias("nueva"), F.coalesce(within, F.lit(False)).alias("sellada"))
 
 
 @query(
@@ -327,6 +338,28 @@ def column_nulls(spark, folder):
     return P.null_counts(A.claims(spark, folder))
 
 
+_LEFT_OUT = {*C.LEAKAGE_COLUMNS, *C.TRAINING_DATES, *C.HIGH_CARDINALITY_COLUMNS, C.KEY}
+
+
+def _role(column: str) -> str:
+    numeric = f"""CASE WHEN typeof(any_value("{column}")) IN ('INTEGER', 'BIGINT', 'DOUBLE') THEN 'NUMERICA' ELSE 'NO_NUMERICA' END"""
+    return "'EXCLUIDA'" if column in _LEFT_OUT else numeric
+
+
+@query(
+    "column_roles",
+    "B11 B12 D2",
+    O.with_(O.CLAIMS) + "\nUNION ALL ".join(f"""SELECT '{c}' AS columna, count(CASE WHEN "{c}" IS NULL THEN 1 END) AS nulos, {_role(c)} AS uso FROM claims""" for c in _PROFILED),
+)
+def column_roles(spark, folder):
+    """What each raw claim column is to training (a numeric feature, another feature, or left out), and its nulls."""
+    claims = A.claims(spark, folder)
+    chosen = FE.feature_columns(claims)
+    numeric = FE.numeric_columns(claims, chosen)
+    role = F.when(F.col("columna").isin(numeric), "NUMERICA").when(F.col("columna").isin(chosen), "NO_NUMERICA").otherwise("EXCLUIDA")
+    return P.null_counts(claims).withColumn("uso", role)
+
+
 @query("column_profile", "D2 B11 B12")
 def column_profile(spark, folder):
     """Nulls and approximate cardinality, with the role of each column in training."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 from functools import reduce
 
@@ -18,6 +17,7 @@ from claimlens.operators import governance as G
 from claimlens.operators import merge as M
 from claimlens.operators import model as MD
 from claimlens.operators import reports as RP
+from claimlens.plans import consumption as CV
 from claimlens.plans import monitoring as MO
 from claimlens.plans import oracles as O
 from claimlens.plans import training as TR
@@ -27,7 +27,7 @@ from claimlens.plans.registry import query, six
 from claimlens.session import run_folder
 from claimlens.sources import claims as A
 from claimlens.sources import policies as P
-from claimlens.sources.tables import create_schema, overwrite, scan, write_and_read
+from claimlens.sources.tables import overwrite, passing_schema, scan, write_and_read
 
 # --- SQL twins of the drift figures -----------------------------------------------------------------
 
@@ -133,15 +133,16 @@ def drift_report(spark, folder):
     return six(D.drift_report(formula_drift(spark, folder).drift), "ks_pvalue")
 
 
-@query(
-    "active_alerts",
-    "J9 B23 B24 B25 F3",
+ALERTS_SQL = (
     O.with_(DRIFT_SQL)
     + f"""SELECT feature_name AS alert_source, feature_type AS alert_type, drift_status AS severity,
 'PSI=' || CAST(round(psi, 4) AS VARCHAR) || CASE WHEN ks_statistic IS NOT NULL THEN ', KS=' || CAST(round(ks_statistic, 4) AS VARCHAR) ELSE '' END AS evidence,
 CASE feature_name {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.ALERT_ACTIONS.items())} ELSE '{C.ALERT_ACTION_DEFAULT}' END AS recommended_action
-FROM drift_status WHERE drift_status IN ('DRIFT_CRITICO', 'ADVERTENCIA')""",
+FROM drift_status WHERE drift_status IN ('DRIFT_CRITICO', 'ADVERTENCIA')"""
 )
+
+
+@query("active_alerts", "J9 B23 B24 B25 F3", ALERTS_SQL)
 def active_alerts(spark, folder):
     return formula_drift(spark, folder).alerts
 
@@ -469,17 +470,13 @@ def policy_values(name: str) -> str:
 
 def stored_policy(spark: SparkSession, name: str) -> DataFrame:
     """A policy table as it comes back from the catalog, written over another version of itself."""
-    schema = f"claimlens_{uuid.uuid4().hex}"
-    create_schema(spark, schema)
-    try:
+    with passing_schema(spark) as schema:
         full = f"{schema}.{name}"
         overwrite(P.policy(spark, name).withColumn("number", F.col("number") + 100).withColumn("draft", F.lit(True)), full)
         overwrite(P.policy(spark, name), full)
         kept = P.read_policy(spark, full)
-        # A few rows of rules: they outlive the table that is dropped here.
+        # A few rows of rules: they outlive the table.
         return spark.createDataFrame(kept.collect(), kept.schema)
-    finally:
-        spark.sql(f"DROP SCHEMA {schema} CASCADE")
 
 
 @query(
@@ -749,26 +746,41 @@ def new_candidates(spark, folder):
     return G.new_candidates(wanted, v.filter(number <= 9))
 
 
+def _gate(name: str, ok: str, observed: str, required: str, otherwise: str = "FAIL") -> str:
+    return (
+        f"SELECT model_name, champion_version, candidate_version, '{name}' AS gate_name, CASE WHEN {ok} THEN 'PASS' ELSE '{otherwise}' END AS gate_status, "
+        f"coalesce({observed}, 'None') AS observed_value, {required} AS required_value FROM pairs"
+    )
+
+
+def _figure(column: str) -> str:
+    return f"CAST(CAST({column} AS DECIMAL(18, 6)) AS VARCHAR)"
+
+
+_GATES = [
+    _gate("MODEL_READY", "status = 'READY'", "status", "'READY'"),
+    _gate("SEPARATE_FROM_CHAMPION", "candidate_version <> champion_version", "candidate_version", "'not ' || coalesce(champion_version, 'None')"),
+    _gate("RUN_FINISHED", "run_status = 'FINISHED'", "run_status", "'FINISHED'"),
+    _gate("MIN_ROC_AUC", "roc_auc >= 75e-2", _figure("roc_auc"), "'>= 0.75'"),
+    _gate("MIN_AREA_UNDER_PR", "area_under_pr >= 55e-2", _figure("area_under_pr"), "'>= 0.55'"),
+    _gate("MIN_TOP20_CAPTURE", "top20_capture >= 35e-2", _figure("top20_capture"), "'>= 0.35'"),
+    _gate("MAX_ROC_DEGRADATION", "roc_auc - champion_roc_auc >= -2e-2", _figure("roc_auc - champion_roc_auc"), "'>= -0.02'"),
+    _gate("RANDOM_SEED_REGISTERED", "seed IS NOT NULL", "CAST(seed AS VARCHAR)", "'required'"),
+    _gate("CODE_VERSION_REGISTERED", "git_commit <> ''", "CASE WHEN git_commit <> '' THEN git_commit ELSE 'NO_REGISTRADO' END", "'required'", "WARNING"),
+]
 PAIRS = f"""{O.MODEL_EVENTS},
 {O.MODEL_VERSIONS.strip()},
 newest AS (SELECT model_name, max(CAST(version AS INTEGER)) AS v FROM model_versions GROUP BY 1),
 pairs AS (
   SELECT c.model_name, s.version AS champion_version, c.version AS candidate_version, c.status, c.run_status, c.roc_auc, c.area_under_pr, c.top20_capture,
-         b.roc_auc AS champion_roc_auc, c.seed, c.git_commit
+         b.roc_auc AS champion_roc_auc, b.area_under_pr AS champion_area_under_pr, b.top20_capture AS champion_top20_capture, c.seed, c.git_commit
   FROM model_versions AS c JOIN newest ON newest.model_name = c.model_name AND newest.v = CAST(c.version AS INTEGER)
-  JOIN alias_state AS s ON s.model_name = c.model_name AND s.model_alias = 'Champion'
+  LEFT JOIN alias_state AS s ON s.model_name = c.model_name AND s.model_alias = 'Champion'
   LEFT JOIN model_versions AS b ON b.model_name = c.model_name AND b.version = s.version
 ),
 gates AS (
-  SELECT model_name, champion_version, candidate_version, 'MODEL_READY' AS gate_name, CASE WHEN status = 'READY' THEN 'PASS' ELSE 'FAIL' END AS gate_status FROM pairs
-  UNION ALL SELECT model_name, champion_version, candidate_version, 'SEPARATE_FROM_CHAMPION', CASE WHEN candidate_version <> champion_version THEN 'PASS' ELSE 'FAIL' END FROM pairs
-  UNION ALL SELECT model_name, champion_version, candidate_version, 'RUN_FINISHED', CASE WHEN run_status = 'FINISHED' THEN 'PASS' ELSE 'FAIL' END FROM pairs
-  UNION ALL SELECT model_name, champion_version, candidate_version, 'MIN_ROC_AUC', CASE WHEN roc_auc >= 75e-2 THEN 'PASS' ELSE 'FAIL' END FROM pairs
-  UNION ALL SELECT model_name, champion_version, candidate_version, 'MIN_AREA_UNDER_PR', CASE WHEN area_under_pr >= 55e-2 THEN 'PASS' ELSE 'FAIL' END FROM pairs
-  UNION ALL SELECT model_name, champion_version, candidate_version, 'MIN_TOP20_CAPTURE', CASE WHEN top20_capture >= 35e-2 THEN 'PASS' ELSE 'FAIL' END FROM pairs
-  UNION ALL SELECT model_name, champion_version, candidate_version, 'MAX_ROC_DEGRADATION', CASE WHEN roc_auc - champion_roc_auc >= -2e-2 THEN 'PASS' ELSE 'FAIL' END FROM pairs
-  UNION ALL SELECT model_name, champion_version, candidate_version, 'RANDOM_SEED_REGISTERED', CASE WHEN seed IS NOT NULL THEN 'PASS' ELSE 'FAIL' END FROM pairs
-  UNION ALL SELECT model_name, champion_version, candidate_version, 'CODE_VERSION_REGISTERED', CASE WHEN git_commit <> '' THEN 'PASS' ELSE 'WARNING' END FROM pairs
+  {"""
+  UNION ALL """.join(_GATES)}
 ),
 decisions AS (
   SELECT model_name, candidate_version, count(CASE WHEN gate_status = 'FAIL' THEN 1 END) AS fallos, count(CASE WHEN gate_status = 'WARNING' THEN 1 END) AS advertencias,
@@ -777,19 +789,22 @@ decisions AS (
 )"""
 
 
+_METRICS = ["roc_auc", "area_under_pr", "top20_capture"]
+
+
 def candidate_pairs(spark, folder) -> DataFrame:
-    """The newest version of each model next to its champion."""
+    """The newest version of each model next to its champion, or alone where the model has none."""
     versions = A.model_versions(spark, folder)
     newest = versions.groupBy("model_name").agg(F.max(G.as_int("version")).alias("v"))
     champion = G.alias_state(A.model_events(spark, folder)).filter(F.col("model_alias") == G.CHAMPION)
     champion = champion.select("model_name", F.col("version").alias("champion_version"))
-    base = versions.select("model_name", F.col("version").alias("champion_version"), F.col("roc_auc").alias("champion_roc_auc"))
+    base = versions.select("model_name", F.col("version").alias("champion_version"), *[F.col(m).alias(f"champion_{m}") for m in _METRICS])
     return (
         versions.join(newest, "model_name")
         .filter(G.as_int("version") == F.col("v"))
         .drop("v")
         .withColumnRenamed("version", "candidate_version")
-        .join(champion, "model_name")
+        .join(champion, "model_name", "left")
         .join(base, ["model_name", "champion_version"], "left")
     )
 
@@ -800,7 +815,9 @@ def candidate_gates(spark, folder) -> DataFrame:
 
 @query("validation_gates", "K6 A12", O.with_(PAIRS) + "SELECT * FROM gates")
 def validation_gates(spark, folder):
-    return candidate_gates(spark, folder).select("model_name", "champion_version", "candidate_version", "gate_name", "gate_status")
+    return candidate_gates(spark, folder).select(
+        "model_name", "champion_version", "candidate_version", "gate_name", "gate_status", "observed_value", "required_value"
+    )
 
 
 @query("gate_decisions", "K7", O.with_(PAIRS) + "SELECT * FROM decisions")
@@ -822,21 +839,16 @@ def gate_results_merged(spark, folder):
 
 @query(
     "latest_candidate_report",
-    "D20 F3",
-    O.with_(O.MODEL_VERSIONS)
-    + """, newest AS (SELECT model_name, max(CAST(version AS INTEGER)) AS v FROM model_versions GROUP BY 1)
-SELECT m.model_name, version AS candidate_version, status AS gate_status FROM model_versions AS m JOIN newest ON m.model_name = newest.model_name AND CAST(m.version AS INTEGER) = v""",
+    "D20 F3 K6",
+    O.with_(PAIRS) + "SELECT model_name, candidate_version, gate_name, gate_status, observed_value, required_value FROM gates",
 )
 def latest_candidate_report(spark, folder):
-    """Versions 9, 10 and 12 exist side by side, so a text maximum would pick the wrong one."""
-    v = A.model_versions(spark, folder).select(
-        "model_name",
-        F.col("version").alias("candidate_version"),
-        F.lit("MODEL_READY").alias("gate_name"),
-        F.col("status").alias("gate_status"),
-        *[F.lit("").alias(c) for c in ("observed_value", "required_value", "details")],
-    )
-    return G.latest_candidate_report(v).select("model_name", "candidate_version", "gate_status")
+    """Gate rows of all versions; those of the newest stay. Versions 9, 10 and 12 exist side by side, so a text maximum would pick the wrong one."""
+    newest = candidate_pairs(spark, folder)
+    champions = newest.select("model_name", "champion_version", *[f"champion_{m}" for m in _METRICS])
+    everyone = A.model_versions(spark, folder).withColumnRenamed("version", "candidate_version").join(champions, "model_name")
+    gates = G.gate_results(everyone, F.lit("2026-01-01").cast("timestamp"))
+    return G.latest_candidate_report(gates).drop("details")
 
 
 @query(
@@ -863,14 +875,65 @@ def decided_pairs(spark, folder) -> DataFrame:
     "champion_metric_comparison",
     "C5",
     O.with_(PAIRS)
-    + """SELECT model_name, 'roc_auc' AS metric, champion_roc_auc AS champion_value, roc_auc AS candidate_value, roc_auc - champion_roc_auc AS delta FROM pairs""",
+    + "\nUNION ALL ".join(f"SELECT model_name, '{m}' AS metric, champion_{m} AS champion_value, {m} AS candidate_value, {m} - champion_{m} AS delta FROM pairs" for m in ("roc_auc", "area_under_pr", "top20_capture")),
 )
 def champion_metric_comparison(spark, folder):
+    """All metrics; models without a champion keep their rows."""
     pairs = candidate_pairs(spark, folder)
-    long = pairs.select("model_name", F.lit("roc_auc").alias("metric"), "champion_roc_auc", "roc_auc")
-    return G.metric_comparison(
-        long.select("model_name", "metric", F.col("champion_roc_auc").alias("value")), long.select("model_name", "metric", F.col("roc_auc").alias("value"))
-    )
+
+    def long(prefix: str) -> DataFrame:
+        cells = [F.struct(F.lit(m).alias("metric"), F.col(prefix + m).alias("value")) for m in _METRICS]
+        return pairs.select("model_name", F.inline(F.array(*cells)))
+
+    return G.metric_comparison(long("champion_"), long(""))
+
+
+@query(
+    "alias_checks",
+    "K11 K2",
+    O.with_(O.MODEL_EVENTS) + "SELECT model_name, model_alias, version, 'OK' AS estado FROM alias_state WHERE model_name = (SELECT min(model_name) FROM alias_state)",
+)
+def alias_checks(spark, folder):
+    """The aliases of one model against the targets of its latest events, found another way; a difference raises."""
+    events = A.model_events(spark, folder)
+    name = events.agg(F.min("model_name")).first()[0]
+    own = events.filter(F.col("model_name") == name)
+    latest = own.groupBy("model_alias").agg(F.max_by("target_version", F.struct("event_timestamp", "event_id")).alias("version"))
+    state = G.alias_state(events)
+    G.check_aliases(state, {r["model_alias"]: r["version"] for r in latest.collect()}, name)
+    return state.filter(F.col("model_name") == name).select("model_name", "model_alias", "version", F.lit("OK").alias("estado"))
+
+
+@query(
+    "promotions_by_user",
+    "B32 K9",
+    O.with_(PAIRS)
+    + """SELECT p.model_name, p.candidate_version AS target_version, true AS registrado_por_usuario FROM pairs AS p
+JOIN decisions AS d ON p.model_name = d.model_name AND p.candidate_version = d.candidate_version WHERE p.champion_version <> p.candidate_version AND d.decision <> 'FAIL'""",
+)
+def promotions_by_user(spark, folder):
+    """Promotions without a named approver are recorded under the session's user."""
+    events = G.promotion_events(decided_pairs(spark, folder), datetime(2026, 1, 2), None, "T-1")
+    own = (F.col("approved_by") == F.current_user()) & (F.length("approved_by") > 0)
+    return events.filter("action = 'PROMOTE'").select("model_name", "target_version", own.alias("registrado_por_usuario"))
+
+
+@query("persisted_consumer_view", "A13 E4 D15", O.with_(O.HISTORY) + "SELECT * FROM view")
+def persisted_consumer_view(spark, folder):
+    """The consumer view as SQL kept in the catalog over a stored score table."""
+    with passing_schema(spark) as schema:
+        overwrite(A.score_history(spark, folder), f"{schema}.scores")
+        kept = CV.create_consumer_view(spark, f"{schema}.consumer_scores", f"{schema}.scores")
+        return write_and_read(kept, run_folder(spark, "consumer-view"))
+
+
+@query("persisted_alert_view", "A13 J9", ALERTS_SQL)
+def persisted_alert_view(spark, folder):
+    """The alert view as SQL kept in the catalog over a stored drift table."""
+    with passing_schema(spark) as schema:
+        overwrite(formula_drift(spark, folder).drift, f"{schema}.drift")
+        kept = CV.create_alert_view(spark, f"{schema}.active_alerts", f"{schema}.drift")
+        return write_and_read(kept, run_folder(spark, "alert-view"))
 
 
 CYCLE = f"""{PAIRS},

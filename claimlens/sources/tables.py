@@ -7,6 +7,10 @@ snapshot of the table.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +41,17 @@ def create_schema(spark: SparkSession, name: str, location: str | None = None) -
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{where}")
 
 
+@contextmanager
+def passing_schema(spark: SparkSession) -> Iterator[str]:
+    """A schema of its own that is dropped with all its tables and views at the end."""
+    name = f"claimlens_{uuid.uuid4().hex}"
+    create_schema(spark, name)
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP SCHEMA {name} CASCADE")
+
+
 def _create(df: DataFrame, name: str, partition_by: list[str] | None, location: str | None) -> None:
     """First write of a table, in the warehouse or below a given folder."""
     writer = df.write.format("parquet").mode("append")
