@@ -2,12 +2,12 @@
 
 A rolling hash over the bytes cuts each text into chunks whose limits depend on nearby content only, so a passage
 that several documents share falls into the same chunks in all of them. A first pass finds the chunks that
-different texts share. A text without any is encoded as it is read. In the others each shared chunk is
-encoded once for the whole corpus and the ids are joined to all its places; the rest of the text is encoded in
-runs. Then the joints are repaired: next to a cut, the text between two safe points is encoded anew,
-and the ids that it replaces must agree with an encoding of the same stretch on each side. If they
-don't, or if there is no safe point, the stretch grows, in the end to the whole text. Only the ids and the
-text at the joints travel.
+different texts share, and the texts that occur more than once, which count as one shared chunk. A text without any is encoded as it
+is read. In the others a shared chunk is only named; the first place in a task encodes it, one of these copies is kept, and its ids are
+joined to all its places. The rest of the text is encoded in runs where it is cut. Then the joints are repaired: next to a
+cut, the text between two safe points is encoded anew, and the ids that it replaces must agree with an encoding of the same
+stretch on each side. If they don't, or if there is no safe point, the stretch grows, in the end to the whole
+text. Only ids and the text at the joints are written or travel; no text does.
 
 A safe point is a space or line feed between two letters. The pattern that cuts a text into pre-tokens
 always ends one there and depends on nothing further to the left, and special tokens hold no such place; so the
@@ -16,9 +16,9 @@ encodings before and after it are independent, and the repaired ids are exactly
 Shared digests are known on the map side through a bit map of fixed size (``MAP_BITS``). A wrong hit only sends a
 chunk through the join that need not have gone; there are no wrong misses.
 
-Defined results: a null text is empty and has no ids. Equal texts are assembled once and joined back. Texts that the
-fast encoder does not take (see ``tokenizer``) are encoded whole by the library. All other columns, nulls and repeated
-rows are carried along; helper columns have names of their own (``__bpe_*``). An empty table gives no rows.
+Defined results: a null text is empty and has no ids. Texts that the fast encoder does not take (see ``tokenizer``) are encoded
+whole by the library. All other columns, nulls and repeated rows are carried along; helper columns have names of their own
+(``__bpe_*``). An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
@@ -37,10 +37,10 @@ from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 from claimlens.llm.base import pieces, stored, texts_of
 from claimlens.llm.tokenizer import Encoder, encoder
 
-KEY, PARTS, IDS, TEXT, DECODED = "__bpe_key", "__bpe_parts", "__bpe_ids", "__bpe_text", "__bpe_decoded"
+KEY, PARTS, NEW, IDS, TEXT, DECODED = "__bpe_key", "__bpe_parts", "__bpe_new", "__bpe_ids", "__bpe_text", "__bpe_decoded"
 
-PIECE = "struct<head:string,middle:binary,tail:string>"
-PIECE_TYPE = pa.struct([("head", pa.string()), ("middle", pa.binary()), ("tail", pa.string())])
+PIECE = StructType().add("head", StringType()).add("middle", BinaryType()).add("tail", StringType())
+PART_LIST = ArrayType(StructType().add("digest", BinaryType()).add("piece", PIECE))
 
 # Chunks: a cut where the hash of the last WINDOW bytes has CUT_BITS zeros, at least SHORTEST bytes after the last.
 WINDOW, CUT_BITS, SHORTEST = 32, 10, 256
@@ -51,7 +51,8 @@ MAP_BITS = 26
 GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 7) for b in range(256)], np.uint64)
 FACTOR = 0x9E3779B97F4A7C15
 
-PART_LIST = ArrayType(StructType().add("digest", BinaryType()).add("text", StringType()))
+# Chunks that a task remembers to have encoded: 100 MB. One that it has forgotten is encoded again.
+REMEMBERED = 1_000_000
 
 SAFE = regex.compile(r"(?<=\p{L})[ \n](?=\p{L})")
 
@@ -90,21 +91,25 @@ def slots(digests: list[bytes]) -> np.ndarray:
 
 
 def shared_map(df: DataFrame, text: str, tokenizer: str) -> np.ndarray:
-    """The bit map of the digests that occur in different texts of the corpus, as bytes."""
+    """The bit map of the digests of repeated texts and of chunks that occur in different texts, as bytes."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(tokenizer)
         for batch in pieces(batches):
             found, owners = [], []
-            for t in texts_of(batch.column(0)):
+            for row, t in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
                 data = t.encode()
-                own = {d for d, _ in chunks(data)} if e.settled(t) else ()
-                found += own
-                owners += [xxhash.xxh3_64_intdigest(data) >> 1] * len(own)
+                if len(data) < SHORTEST or not e.settled(t):
+                    continue
+                # A whole text is shared if another row has it, a chunk of it if another text has it.
+                whole = xxhash.xxh3_128_digest(data)
+                own = {d for d, _ in chunks(data)} - {whole}
+                found += [whole, *own]
+                owners += [row, *[xxhash.xxh3_64_intdigest(data) >> 1] * len(own)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(owners, pa.int64())], ["digest", "owner"])
 
     shared = (
-        df.select(F.col(text).cast("string"))
+        df.select(F.monotonically_increasing_id(), F.col(text).cast("string"))
         .mapInArrow(digests, "digest binary, owner long")
         .groupBy("digest")
         .agg(F.min("owner").alias("least"), F.max("owner").alias("most"))
@@ -139,17 +144,24 @@ class Sharing:
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1 > 0).tolist()
 
 
-def runs(cut: list[tuple[bytes, bytes]], flags: list[bool]) -> list[dict]:
-    """Shared chunks one by one, the chunks between them together: {digest or None, text}."""
-    parts: list[dict] = []
-    for (digest, chunk), flag in zip(cut, flags):
-        if flag:
-            parts.append({"digest": digest, "text": chunk.decode()})
-        elif parts and parts[-1]["digest"] is None:
-            parts[-1]["text"] += chunk.decode()
-        else:
-            parts.append({"digest": None, "text": chunk.decode()})
-    return parts
+    def cut(self, e: Encoder, text: str) -> list[tuple[bytes | None, str]]:
+        """The text in parts: (digest, chunk) if shared, (None, run) else; nothing if no part is shared."""
+        data = text.encode()
+        if len(data) < SHORTEST or not e.settled(text):
+            return []
+        whole = xxhash.xxh3_128_digest(data)
+        if self.flags([(whole, data)])[0]:
+            return [(whole, text)]
+        cut = chunks(data)
+        parts: list[tuple[bytes | None, bytes]] = []
+        for (digest, chunk), flag in zip(cut, self.flags(cut)):
+            if flag:
+                parts.append((digest, chunk))
+            elif parts and parts[-1][0] is None:
+                parts[-1] = None, parts[-1][1] + chunk
+            else:
+                parts.append((None, chunk))
+        return [(d, c.decode()) for d, c in parts] if any(d for d, _ in parts) else []
 
 
 # --- joints -----------------------------------------------------------------------
@@ -244,74 +256,58 @@ def encode(
         for batch in pieces(batches):
             made = []
             for value in texts_of(batch.column(len(kept))):
-                whole = not e.settled(value) or not any(sharing.flags(chunks(value.encode())))
-                made.append(e.encode(value).astype("<u4").tobytes() if whole else None)
+                made.append(None if sharing.cut(e, value) else e.encode(value).astype("<u4").tobytes())
             full = finished(e, batch, made)
             yield full.filter(full.column(len(kept)).is_valid())
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, sharing = encoder(tokenizer), Sharing(bits.value)
+        """Key, parts (own runs encoded, shared chunks by digest) and the chunks that this task meets for the first time."""
+        e, sharing, seen = encoder(tokenizer), Sharing(bits.value), set()
+        types = [to_arrow_schema(with_parts).field(n).type for n in (PARTS, NEW)]
         for batch in pieces(batches):
-            keys, parts = [], []
+            keys, lists, news = [], [], []
             for value in texts_of(batch.column(len(kept))):
-                cut = chunks(value.encode()) if e.settled(value) else []
-                flags = sharing.flags(cut)
-                keys.append(xxhash.xxh3_128_digest(value.encode()) if any(flags) else None)
-                parts.append(runs(cut, flags) if any(flags) else None)
-            key, part = pa.array(keys, pa.binary()), pa.array(parts, to_arrow_schema(with_parts).field(PARTS).type)
-            full = pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], key, part], [*kept, KEY, PARTS])
+                parts, new = [], []
+                for digest, part in sharing.cut(e, value):
+                    made = piece(e, part, e.encode(part)) if digest is None or digest not in seen else None
+                    parts.append({"digest": digest, "piece": made if digest is None else None})
+                    if digest is not None and made is not None:
+                        new.append({"digest": digest, "piece": made})
+                        if len(seen) >= REMEMBERED:
+                            seen.clear()
+                        seen.add(digest)
+                keys.append(xxhash.xxh3_128_digest(value.encode()) if parts else None)
+                lists.append(parts or None)
+                news.append(new or None)
+            key = pa.array(keys, pa.binary())
+            added = [key, pa.array(lists, types[0]), pa.array(news, types[1])]
+            full = pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *added], [*kept, KEY, PARTS, NEW])
             yield full.filter(key.is_valid())
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stitched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(tokenizer)
         for batch in pieces(batches):
-            yield finished(e, batch, [unpacked(x).tobytes() for x in batch.column(len(kept)).to_pylist()])
+            made = []
+            for parts, found in zip(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist()):
+                chunk = {f["digest"]: f["piece"] for f in found}
+                made.append(stitch(e, [p["piece"] or chunk[p["digest"]] for p in parts]).astype("<u4").tobytes())
+            yield finished(e, batch, made)
 
     with_ids = StructType([*fields]).add(IDS, BinaryType())
     if decoded is not None:
         with_ids = with_ids.add(DECODED, StringType())
-    with_parts = StructType([*fields]).add(KEY, BinaryType()).add(PARTS, PART_LIST)
+    with_parts = StructType([*fields]).add(KEY, BinaryType()).add(PARTS, PART_LIST).add(NEW, PART_LIST)
     ready = given.mapInArrow(direct, with_ids)
     rest = stored(given.mapInArrow(shared, with_parts), "shared-texts")
-    joined = rest.drop(PARTS).join(assembled(rest.select(KEY, PARTS), tokenizer), KEY).select(*kept, IDS)
-    out = ready.unionByName(joined.mapInArrow(unpack, with_ids)).withColumnRenamed(IDS, ids)
+    # One copy of each chunk; its ids go to all texts that name it, a text once however often it occurs.
+    once = rest.select(F.explode(NEW).alias("c")).select("c.*").dropDuplicates(["digest"])
+    named = rest.select(KEY, F.explode(F.filter(F.transform(PARTS, lambda p: p["digest"]), lambda d: d.isNotNull())).alias("digest")).distinct()
+    found = named.join(once, "digest").groupBy(KEY).agg(F.collect_list(F.struct("digest", "piece")).alias(NEW))
+    joined = rest.drop(NEW).join(found, KEY).select(*kept, PARTS, NEW)
+    out = ready.unionByName(joined.mapInArrow(stitched, with_ids)).withColumnRenamed(IDS, ids)
     return out if decoded is None else out.withColumnRenamed(DECODED, decoded)
 
 
-def assembled(rest: DataFrame, tokenizer: str) -> DataFrame:
-    """Key and packed ids of each text with shared chunks; equal texts once."""
-
-    def made_ready(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(tokenizer)
-        for batch in pieces(batches):
-            made = pa.array([piece(e, t, e.encode(t)) for t in texts_of(batch.column("text"))], PIECE_TYPE)
-            others = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], made], [*others, "piece"])
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(tokenizer)
-        for batch in pieces(batches):
-            made = [packed(stitch(e, [p["piece"] for p in row])) for row in batch.column("parts").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(KEY), pa.array(made, pa.binary())], [KEY, IDS])
-
-    parts = rest.select(KEY, F.posexplode(PARTS).alias("n", "part")).select(KEY, "n", "part.*")
-    repeated = parts.where(F.col("digest").isNotNull())
-    # Each shared chunk is encoded once and its ids go to all its places.
-    once = repeated.select("digest", "text").dropDuplicates(["digest"])
-    chunk_ids = once.mapInArrow(made_ready, f"digest binary, piece {PIECE}")
-    placed = repeated.select(KEY, "n", "digest").distinct().join(chunk_ids, "digest").select(KEY, "n", "piece")
-    own = parts.where(F.col("digest").isNull()).select(KEY, "n", "text").dropDuplicates([KEY, "n"])
-    own = own.mapInArrow(made_ready, f"{KEY} binary, n int, piece {PIECE}")
-    gathered = placed.unionByName(own).groupBy(KEY).agg(
-        F.array_sort(F.collect_list(F.struct("n", "piece")), by_number).alias("parts")
-    )
-    return gathered.mapInArrow(joined, f"{KEY} binary, {IDS} binary")
-
-
-def by_number(a: Column, b: Column) -> Column:
-    return a["n"] - b["n"]
-
-
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """All columns of ``df`` and the decoded text of ``ids`` (null ids: an empty text)."""
     at = df.columns.index(ids)
