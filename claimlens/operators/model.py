@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +15,7 @@ from pyspark.storagelevel import StorageLevel
 
 from claimlens import config as C
 from claimlens.functions.scoring import probability_of_one
+from claimlens.operators.evaluation import curve_areas
 from claimlens.operators.ranking import order_statistics
 from claimlens.operators.reports import equivalence_summary, require_equivalent, score_difference
 
@@ -117,8 +117,7 @@ def fit_all(
     """Fit every classifier on the same prepared rows and measure it on the test rows.
 
     The preparation is fitted on the rows as they lie; only the prepared vectors are shuffled, once,
-    and cached (with spill) for all fits. Test predictions are evaluated with the binned areas of
-    Spark's evaluator.
+    and cached (with spill) for all fits. The test predictions of all models are evaluated together, by exact areas.
     """
     doubles = [F.col(f).cast("double").alias(f) for f in features]
     preparation = fit_preparation(train.select(*doubles), features)
@@ -129,20 +128,19 @@ def fit_all(
 
     ready = placed_by_key(vectors(train), key, placement).persist(StorageLevel.MEMORY_AND_DISK)
     ready_test = vectors(test).persist(StorageLevel.MEMORY_AND_DISK)
-    roc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    pr = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderPR")
-    out = []
+    fitted = {}
     try:
         for name, classifier in classifiers(seed).items():
-            if names is not None and name not in names:
-                continue
-            fitted = classifier.fit(ready)
-            predicted = fitted.transform(ready_test)
-            out.append(Trained(name, PipelineModel([*preparation, fitted]), roc.evaluate(predicted), pr.evaluate(predicted), placement))
+            if names is None or name in names:
+                fitted[name] = classifier.fit(ready)
+        scored = [m.transform(ready_test).select(F.lit(n).alias("model"), "label", probability_of_one().alias("score")) for n, m in fitted.items()]
+        areas = {r["model"]: r for r in curve_areas(reduce(DataFrame.unionByName, scored), "score", "label", ["model"]).collect()}
     finally:
         ready.unpersist()
         ready_test.unpersist()
-    return out
+    return [
+        Trained(n, PipelineModel([*preparation, m]), areas[n]["roc_auc"], areas[n]["area_under_pr"], placement) for n, m in fitted.items()
+    ]
 
 
 def best_of(trained: list[Trained]) -> Trained:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ from claimlens.functions.features import scoring_frame
 from claimlens.functions.scoring import score_rows
 from claimlens.operators.contracts import check_features, check_input_columns
 from claimlens.operators.merge import new_rows
-from claimlens.operators.profile import KeyFacts, missing_profile, verify_batch
+from claimlens.operators.profile import key_facts, missing_profile, verify_batch
 from claimlens.operators.reports import risk_summary
 from claimlens.sources.tables import append, drop_partition, replace_partitions, table_or_empty
 
@@ -110,7 +110,7 @@ def publish(staged: DataFrame, tables: ScoringTables, run_id: str, model_version
     target = table_or_empty(spark, tables.scores, SCORE_SCHEMA).filter(own)
     missing = staged if target.isEmpty() else new_rows(staged, target, [C.KEY, "version_modelo", "id_ejecucion"])
     append(missing, tables.scores, ["version_modelo", "id_ejecucion"], tables.location)
-    return spark.table(tables.scores).filter(own).count()
+    return verify_batch(spark.table(tables.scores).filter(own)).rows
 
 
 def require_own_run(spark: SparkSession, tables: ScoringTables, run_id: str, model_version: str) -> None:
@@ -133,8 +133,8 @@ def score_batch(
     """Score what is new, publish it repeatably, and leave an audit row in every case.
 
     ``scorer`` takes the prepared frame and adds ``score_fraude``: a saved pipeline model, or any
-    column expression. Steps: schema contract; anti join, features, score and stage in one job that also
-    counts rows and blank keys (the barrier: everything after reads stored rows); repeated keys; publish; verify;
+    column expression. Steps: schema contract; anti join, features, score and stage in one job, the only one that
+    reads the source (the barrier: everything after reads stored rows); key check and row count of the stage; publish; verify;
     audit; clear the stage. An empty batch is a valid run (NO_DATA). A failure writes a FAILED row
     and is raised again. A repeated run id replaces its stage and publishes only what is missing. A
     run id of another model version is refused: the FAILED row goes under ``run@version``, and the
@@ -159,19 +159,16 @@ def score_batch(
         # A new version has scored nothing: then the input need not be shuffled for the anti join.
         incoming = source if scored.isEmpty() else unscored(source, scored, model_version)
         check_features(list(getattr(scorer, "features", C.FEATURES)))
-        # The source is read once: the write that stages the run counts its rows and its blank keys.
-        seen = Observation(f"staged {run_id}")
-        blank = F.col(C.KEY).isNull() | (F.trim(F.col(C.KEY).cast("string")) == "")
-        watched = scorer(scoring_frame(incoming)).observe(seen, F.count("*").alias("rows"), F.count_if(blank).alias("blank"))
-        rows = score_rows(watched, model_version, run_id, start, limits, mode)
+        rows = score_rows(scorer(scoring_frame(incoming)), model_version, run_id, start, limits, mode)
         replace_partitions(rows, tables.stage, ["id_ejecucion"], tables.location)
-        received = seen.get["rows"]
+        # The source is read once, by the write above: rows and keys are counted on the run's stored partition.
+        staged = spark.table(tables.stage).filter(F.col("id_ejecucion") == run_id).select(*rows.columns)
+        facts = key_facts(staged)
+        received = facts.rows
         if received == 0:
             record_run(audit_row(spark, run_id, start, model_version, 0, 0, "NO_DATA", C.NO_DATA_MESSAGE, mode), tables)
             return RunResult(run_id, "NO_DATA", 0, 0, C.NO_DATA_MESSAGE)
-        KeyFacts(received, seen.get["blank"], 0).require_clean()
-        staged = spark.table(tables.stage).filter(F.col("id_ejecucion") == run_id).select(*rows.columns)
-        verify_batch(staged, received)
+        facts.require_clean()
         published = publish(staged, tables, run_id, model_version)
         if published != received:
             raise ValueError(f"publication incomplete: received={received}, published={published}")

@@ -172,6 +172,21 @@ def test_training_is_repeatable(spark, trained):
     assert MD.model_equivalence(a.model, b.model, doubles).first().max_diferencia_score == 0.0
 
 
+def test_linear_model_gives_the_probabilities_of_its_pipeline(spark, trained, folder):
+    """Coefficients, divisors and fill values of a saved pipeline as one expression, nulls and NaN included."""
+    fitted = next(t for t in trained.trained if t.name == "logistic_regression")
+    MD.save_model(fitted.model, f"{folder}/model")
+    loaded = MD.load_model(f"{folder}/model")
+    linear = MD.linear_model(loaded)
+    odd = {C.FEATURES[0]: F.lit(None).cast("double"), C.FEATURES[1]: F.lit(float("nan"))}
+    rows = trained.test.withColumns({f: F.col(f).cast("double") for f in C.FEATURES})
+    for frame in (rows, rows.withColumns(odd)):
+        both = MD.apply_model(loaded, linear(frame).withColumnRenamed("score_fraude", "linear"), "by_model")
+        assert both.filter(F.abs(F.col("linear") - F.col("by_model")) > 1e-12).count() == 0
+    medians = MD.exact_medians(trained.train, C.FEATURES)
+    assert list(linear.fill) == [medians[f] for f in C.FEATURES] and list(linear.features) == C.FEATURES
+
+
 def test_contract_sample(trained):
     sample = MD.contract_sample(trained.test)
     assert sample.columns == C.FEATURES and sample.count() == 10 and {t for _, t in sample.dtypes} == {"double"}
@@ -297,3 +312,20 @@ def test_persisted_views_equal_the_functions(spark):
     overwrite(spark.createDataFrame(rows, "feature_name string, feature_type string, psi double, ks_statistic double, ks_pvalue double, drift_status string"), "deriva")
     alerts = create_alert_view(spark, "vista_alertas", "deriva")
     assert sorted(alerts.collect()) == sorted(active_alerts(spark.table("deriva")).collect())
+
+
+def test_source_is_read_once(spark, source, folder):
+    """One scan of the source per run: its files are counted by Spark's own accumulator of the write."""
+    reads = spark.sparkContext.accumulator(0)
+    from pyspark.sql.functions import udf
+
+    @udf("boolean")
+    def seen(_):
+        reads.add(1)
+        return True
+
+    n = source.count()
+    t = ScoringTables("once_scores", "once_stage", "once_runs", f"{folder}/once")
+    watched = source.filter(seen.asNondeterministic()(F.col(C.KEY)))
+    result = score_batch(watched, lambda df: df.withColumn("score_fraude", F.lit(0.5)), "m:1", t, run_id="once")
+    assert result.published == n and reads.value == n
