@@ -20,7 +20,13 @@ from claimlens.operators.ranking import order_statistics
 from claimlens.operators.reports import equivalence_summary, require_equivalent, score_difference
 
 
-PLACEMENT = 16
+# Training rows are placed in so many partitions at least, and in more where a partition would hold more rows than this.
+LEAST_PLACEMENT, PLACED_ROWS = 16, 1_000_000
+
+
+def placement_of(rows: int) -> int:
+    """Partitions for so many training rows: a rule of the table alone, so that the trees can be grown again."""
+    return max(LEAST_PLACEMENT, -(-rows // PLACED_ROWS))
 
 
 def classifiers(seed: int = C.SEED) -> dict[str, object]:
@@ -91,12 +97,11 @@ def linear_model(model: PipelineModel, features: list[str] = C.FEATURES) -> Line
     return LinearModel(tuple(features), tuple(weights), tuple(medians), float(fitted.intercept))
 
 
-def placed_by_key(df: DataFrame, key: str = C.KEY, placement: int = PLACEMENT) -> DataFrame:
+def placed_by_key(df: DataFrame, placement: int, key: str = C.KEY) -> DataFrame:
     """Rows placed and ordered by key, so that tree sampling is repeatable.
 
     Bagging depends on the order of rows within each partition. The number of key-hashed partitions,
-    each sorted, is an argument of its own: neither the session's settings nor the size of the
-    table change the trees.
+    each sorted, is an argument of its own: the session's settings do not change the trees.
     """
     return df.repartition(placement, key).sortWithinPartitions(key)
 
@@ -109,10 +114,14 @@ class Trained:
     area_under_pr: float
     placement: int
 
+    def parameters(self, seed: int = C.SEED) -> dict[str, int]:
+        """What a manifest must keep so that the same trees can be grown again."""
+        return {"placement": self.placement, "seed": seed}
+
 
 def fit_all(
     train: DataFrame, test: DataFrame, features: list[str] = C.FEATURES, names: list[str] | None = None, seed: int = C.SEED, key: str = C.KEY,
-    placement: int = PLACEMENT,
+    placement: int | None = None,
 ) -> list[Trained]:
     """Fit every classifier on the same prepared rows and measure it on the test rows.
 
@@ -126,7 +135,9 @@ def fit_all(
     def vectors(df: DataFrame) -> DataFrame:
         return prepare.transform(df.select(key, "label", *doubles)).select(key, "label", "features")
 
-    ready = placed_by_key(vectors(train), key, placement).persist(StorageLevel.MEMORY_AND_DISK)
+    # The count of a stored table is read from its footers.
+    placement = placement or placement_of(train.count())
+    ready = placed_by_key(vectors(train), placement, key).persist(StorageLevel.MEMORY_AND_DISK)
     ready_test = vectors(test).persist(StorageLevel.MEMORY_AND_DISK)
     fitted = {}
     try:

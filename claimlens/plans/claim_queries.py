@@ -492,7 +492,7 @@ min(score) AS score_minimo, max(score) AS score_maximo FROM leveled_claims GROUP
 {RISK_SQL}""",
 )
 def risk_summary(spark, folder):
-    """Claims, features, a fixed-formula score, level and action, summary: the flow in one plan."""
+    """Claims, a fixed-formula score, level and action, summary. No feature enters; see ``model_risk_summary``."""
     frame = FE.scoring_frame(A.scoring_input(spark, folder)).withColumn("score_fraude", F.col("score_formula"))
     level = risk_level(F.col("score_fraude"))
     scored = frame.withColumns({"nivel_riesgo": level, "accion_sugerida": risk_action(level)})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from claimlens import config as C
 from claimlens.functions import features as FE
+from claimlens.functions.scoring import score_rows
 from claimlens.operators import contracts as K
 from claimlens.operators import drift as D
 from claimlens.operators import evaluation as EV
@@ -325,6 +326,21 @@ def batch_scored_by_model(spark, folder):
     return six(joined.select(C.KEY, "score_fraude", "nivel_riesgo", "version_modelo", "estado"), "score_fraude")
 
 
+@query(
+    "model_risk_summary",
+    "D10 B15 B16 B29 H11",
+    O.with_(O.FEATURES)
+    + f""", scored AS (SELECT 1e0 / (1e0 + exp(-({LINEAR.intercept!r} + {_LINEAR_SUM}))) AS s FROM features), leveled AS (SELECT s, {O.level("s")} AS nivel_riesgo FROM scored)
+SELECT nivel_riesgo, {O.action("nivel_riesgo")} AS accion_sugerida, count(*) AS casos, round(avg(s), 6) AS score_promedio, round(min(s), 6) AS score_minimo, round(max(s), 6) AS score_maximo
+FROM leveled GROUP BY 1""",
+)
+def model_risk_summary(spark, folder):
+    """Claims, all features, a linear model over them, level and action, summary: the flow in one plan."""
+    scored = LINEAR(FE.scoring_frame(A.scoring_input(spark, folder)))
+    rows = score_rows(scored, "m:1", "run-resumen", datetime(2026, 1, 1))
+    return six(RP.risk_summary(rows), "score_promedio", "score_minimo", "score_maximo")
+
+
 @query(
     "refused_models",
     "I3 I5 H11",

@@ -187,6 +187,14 @@ def test_linear_model_gives_the_probabilities_of_its_pipeline(spark, trained, fo
     assert list(linear.fill) == [medians[f] for f in C.FEATURES] and list(linear.features) == C.FEATURES
 
 
+def test_placement_follows_the_rows_and_is_kept(spark, trained):
+    assert [MD.placement_of(n) for n in (0, 10**6, 16 * 10**6, 16 * 10**6 + 1, 10**11)] == [16, 16, 16, 17, 100_000]
+    facts = trained.best.parameters()
+    assert facts == {"placement": 16, "seed": C.SEED}
+    row = G.manifest(trained.train, "id", "m", "1", facts, {}, datetime(2026, 1, 1), "t").first()
+    assert row.parameters_json == '{"placement":16,"seed":42}'
+
+
 def test_contract_sample(trained):
     sample = MD.contract_sample(trained.test)
     assert sample.columns == C.FEATURES and sample.count() == 10 and {t for _, t in sample.dtypes} == {"double"}
