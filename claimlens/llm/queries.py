@@ -19,6 +19,7 @@ from claimlens.llm import (
     packing,
     quality,
     repair,
+    repair_sql,
     sharding,
     simhash,
     token_counts,
@@ -235,3 +236,6 @@ def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     _, placed = packing.pack(table(spark, folder, "documents"), path, end_id=1, capacity=4096)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+ORACLES["op12_conversation_repair"] = repair_sql.SQL

@@ -6,7 +6,7 @@ import re
 import zlib
 from itertools import product
 
-import pytest
+import pyarrow.parquet as pq
 
 from claimlens.llm import queries, repair
 from claimlens.llm.base import table
@@ -194,6 +194,15 @@ def test_query(spark):
         assert (tuple(found[c][f] for f in FACTS), found[c].audit, found[c].repaired_sha256) == expected(rows)
 
 
+def test_sql_agrees_on_odd_conversations(spark, tmp_path):
+    from oracle import compare, connect
+
+    rng = random.Random(3)
+    rows = [(c, *r) for c in (*range(40), None) for r in drawn(rng, rng.randrange(1, 12))]
+    pq.write_table(spark.createDataFrame(rows, SCHEMA).toArrow(), tmp_path / "conversations.parquet")
+    assert compare(queries.op12_conversation_repair(spark, str(tmp_path)), queries.ORACLES["op12_conversation_repair"], connect(str(tmp_path))) == []
+
+
 def test_query_keeps_conversations_without_rows(spark, tmp_path):
     gone = next(i for i in range(1000) if zlib.crc32(f"{i}:0".encode()) % 20 == 0)
     rows = [(gone, 0, "user", "Hi."), (None, None, None, None)]
