@@ -701,24 +701,23 @@ def event_metadata_json(spark, folder):
     "event_log_merged",
     "K1 G5 G6 B32",
     O.with_(O.MODEL_EVENTS)
-    + """SELECT event_id, event_timestamp, CASE WHEN action = 'PROMOTE' THEN 'revisado' ELSE reason END AS reason, target_version FROM model_events
-UNION ALL SELECT 'evt-' || CAST(event_id AS VARCHAR), CAST(ts AS TIMESTAMP), 'nuevo: ' || event_type, CAST(NULL AS VARCHAR) FROM events WHERE event_type = 'view'""",
+    + """SELECT event_id, event_timestamp, CASE WHEN action = 'PROMOTE' THEN 'revisado' ELSE reason END AS reason, target_version, model_name, action, approved_by FROM model_events
+UNION ALL SELECT 'evt-' || CAST(event_id AS VARCHAR), CAST(ts AS TIMESTAMP), 'nuevo: ' || event_type, CAST(NULL AS VARCHAR), 'vistas', 'VIEW', CAST(NULL AS VARCHAR) FROM events WHERE event_type = 'view'""",
 )
 def event_log_merged(spark, folder):
-    """The log after a merge: promotions get a new reason, views come in as new events."""
-    log = A.model_events(spark, folder).select("event_id", "event_timestamp", "reason", "target_version")
-    changed = log.join(A.model_events(spark, folder).filter("action = 'PROMOTE'").select("event_id"), "event_id", "left_semi").withColumn("reason", F.lit("revisado"))
-    new = (
-        scan(spark, "events", folder)
-        .filter("event_type = 'view'")
-        .select(
-            F.concat(F.lit("evt-"), F.col("event_id").cast("string")).alias("event_id"),
-            F.col("ts").cast("timestamp").alias("event_timestamp"),
-            F.concat(F.lit("nuevo: "), F.col("event_type")).alias("reason"),
-            F.lit(None).cast("string").alias("target_version"),
-        )
-    )
-    return M.merge_update(log, changed.unionByName(new), ["event_id"], ["reason"])
+    """The log after a merge: promotions come again with a new reason and another action, which is not renewed; views come in as new events."""
+    log = A.model_events(spark, folder)
+    changed = log.filter("action = 'PROMOTE'").withColumns({"reason": F.lit("revisado"), "action": F.lit("OTHER")})
+    given = {
+        "event_id": F.concat(F.lit("evt-"), F.col("event_id").cast("string")),
+        "event_timestamp": F.col("ts").cast("timestamp"),
+        "model_name": F.lit("vistas"),
+        "action": F.lit("VIEW"),
+        "reason": F.concat(F.lit("nuevo: "), F.col("event_type")),
+    }
+    new = scan(spark, "events", folder).filter("event_type = 'view'").select(*[given.get(c, F.lit(None).cast("string")).alias(c) for c in log.columns])
+    merged = G.record_events(log, changed.unionByName(new))
+    return merged.select("event_id", "event_timestamp", "reason", "target_version", "model_name", "action", "approved_by")
 
 
 @query(
@@ -843,14 +842,17 @@ def gate_decisions(spark, folder):
 
 @query(
     "gate_results_merged",
-    "K8 G6 D20",
-    O.with_(PAIRS) + "SELECT model_name || '-v' || candidate_version || '-' || gate_name AS validation_id, gate_status, 'nuevo' AS details FROM gates",
+    "K8 G6",
+    O.with_(PAIRS)
+    + "SELECT model_name || '-v' || candidate_version || '-' || gate_name AS validation_id, gate_name, gate_status, observed_value, required_value, 'nuevo' AS details FROM gates",
 )
 def gate_results_merged(spark, folder):
     """Stored results of half of the gates, all PASS, after a merge of the present results."""
-    now = candidate_gates(spark, folder).select("validation_id", "gate_status", F.lit("nuevo").alias("details"))
-    stored = now.filter(F.col("validation_id").contains("-M")).withColumns({"gate_status": F.lit("PASS"), "details": F.lit("viejo")})
-    return M.merge_update(stored, now, ["validation_id"], ["gate_status", "details"])
+    now = candidate_gates(spark, folder).withColumn("details", F.lit("nuevo"))
+    stored = now.filter(F.col("validation_id").contains("-M")).withColumns(
+        {"gate_status": F.lit("PASS"), "observed_value": F.lit("antes"), "details": F.lit("viejo")}
+    )
+    return G.record_gates(stored, now).select("validation_id", "gate_name", "gate_status", "observed_value", "required_value", "details")
 
 
 @query(
