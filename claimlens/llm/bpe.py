@@ -303,6 +303,8 @@ def encode(
     once = rest.select(F.explode(NEW).alias("c")).select("c.*").dropDuplicates(["digest"])
     named = rest.select(KEY, F.explode(F.filter(F.transform(PARTS, lambda p: p["digest"]), lambda d: d.isNotNull())).alias("digest")).distinct()
     found = named.join(once, "digest").groupBy(KEY).agg(F.collect_list(F.struct("digest", "piece")).alias(NEW))
+    # Stored, so that both sides of the join are plain shuffles and a text with very many copies can be split.
+    found = stored(found, "text-chunks")
     joined = rest.drop(NEW).join(found, KEY).select(*kept, PARTS, NEW)
     out = ready.unionByName(joined.mapInArrow(stitched, with_ids)).withColumnRenamed(IDS, ids)
     return out if decoded is None else out.withColumnRenamed(DECODED, decoded)
