@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlens import config as C
-from claimlens.functions.features import scoring_frame
+from claimlens.functions.features import scoring_frame, unreadable_dates
 from claimlens.functions.scoring import score_rows
 from claimlens.operators.contracts import check_features, check_input_columns
 from claimlens.operators.merge import new_rows
@@ -188,6 +188,13 @@ def quality_report(source: DataFrame) -> DataFrame:
     return missing_profile(scoring_frame(source))
 
 
+def batch_quality(source: DataFrame) -> DataFrame:
+    """Missing values per model feature and unreadable dates per date column of a batch: (clase, columna, casos)."""
+    features = quality_report(source).select(F.lit("FEATURE").alias("clase"), F.col("variable").alias("columna"), F.col("valores_faltantes").alias("casos"))
+    dates = unreadable_dates(source, C.SCORING_DATES)
+    return features.unionByName(dates.select(F.lit("DATE").alias("clase"), "columna", F.col("fechas_ilegibles").alias("casos")))
+
+
 def run_report(spark: SparkSession, tables: ScoringTables, run_id: str) -> tuple[DataFrame, DataFrame]:
     """Risk summary and audit row of a run; both reads are pruned to the run."""
     scores = spark.table(tables.scores).filter(F.col("id_ejecucion") == run_id)

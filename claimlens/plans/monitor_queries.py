@@ -22,7 +22,7 @@ from claimlens.plans import consumption as CV
 from claimlens.plans import monitoring as MO
 from claimlens.plans import oracles as O
 from claimlens.plans import training as TR
-from claimlens.plans.batch_scoring import ScoringTables, score_batch
+from claimlens.plans.batch_scoring import ScoringTables, batch_quality, score_batch
 from claimlens.plans.claim_queries import PERIOD_FEATURES, PERIODS, formula_period_features, formula_period_scores, labelled
 from claimlens.plans.registry import query, six
 from claimlens.session import run_folder
@@ -326,6 +326,29 @@ def batch_scored_by_model(spark, folder):
     return six(joined.select(C.KEY, "score_fraude", "nivel_riesgo", "version_modelo", "estado"), "score_fraude")
 
 
+_BAD_DATE = "CAST(id_reclamacion AS BIGINT) % 89 = 0"
+
+
+def _no_value(feature: str) -> str:
+    """A feature is missing, also because the loss date it needs cannot be read."""
+    base = f'"{feature}" IS NULL OR isnan("{feature}")'
+    return f"{base} OR {_BAD_DATE}" if "siniestro" in feature else base
+
+
+@query(
+    "batch_quality",
+    "B2 D3 B30",
+    O.with_(O.FEATURES)
+    + "\nUNION ALL ".join(f"SELECT 'FEATURE' AS clase, '{f}' AS columna, count(CASE WHEN {_no_value(f)} THEN 1 END) AS casos FROM features" for f in C.FEATURES)
+    + "".join(f"\nUNION ALL SELECT 'DATE', '{d}', {f'count(CASE WHEN {_BAD_DATE} THEN 1 END)' if d == 'FSINIESTRO' else 'count(*) - count(*)'} FROM features" for d in C.SCORING_DATES),
+)
+def batch_quality_query(spark, folder):
+    """A batch whose loss date came as text, here and there unreadable: what a scoring run would miss."""
+    claims = A.scoring_input(spark, folder)
+    bad = F.col(C.KEY).cast("long") % 89 == 0
+    return batch_quality(claims.withColumn("FSINIESTRO", F.when(bad, "31/31/1999").otherwise(F.col("FSINIESTRO").cast("string"))))
+
+
 @query(
     "model_risk_summary",
     "D10 B15 B16 B29 H11",
