@@ -2,7 +2,7 @@
 
 A rolling hash over the bytes cuts each text into chunks whose limits depend on nearby content only, so a passage
 that several documents share falls into the same chunks in all of them. A first pass finds the chunks that
-different texts share, and the texts that occur more than once, which count as one shared chunk. A text without any is encoded as it
+different texts share, and the texts that ``REPEATS`` rows or more hold, which count as one shared chunk. A text without any is encoded as it
 is read. In the others a shared chunk is only named; the first place in a task encodes it, one of these copies is kept, and its ids are
 joined to all its places. The rest of the text is encoded in runs where it is cut. Then the joints are repaired: next to a
 cut, the text between two safe points is encoded anew, and the ids that it replaces must agree with an encoding of the same
@@ -44,6 +44,8 @@ PART_LIST = ArrayType(StructType().add("digest", BinaryType()).add("piece", PIEC
 
 # Chunks: a cut where the hash of the last WINDOW bytes has CUT_BITS zeros, at least SHORTEST bytes after the last.
 WINDOW, CUT_BITS, SHORTEST = 32, 10, 256
+# From so many rows on a repeated text is encoded once and joined: for fewer the join moves more than it saves.
+REPEATS = 8
 # 8 MB, whatever the size of the corpus.
 MAP_BITS = 26
 
@@ -97,23 +99,23 @@ def shared_map(df: DataFrame, text: str, tokenizer: str) -> np.ndarray:
         e = encoder(tokenizer)
         for batch in pieces(batches):
             found, owners = [], []
-            for row, t in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+            for t in texts_of(batch.column(0)):
                 data = t.encode()
                 if len(data) < SHORTEST or not e.settled(t):
                     continue
-                # A whole text is shared if another row has it, a chunk of it if another text has it.
+                # A whole text counts its rows (no owner), a chunk the texts that hold it.
                 whole = xxhash.xxh3_128_digest(data)
                 own = {d for d, _ in chunks(data)} - {whole}
                 found += [whole, *own]
-                owners += [row, *[xxhash.xxh3_64_intdigest(data) >> 1] * len(own)]
+                owners += [None, *[xxhash.xxh3_64_intdigest(data) >> 1] * len(own)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(owners, pa.int64())], ["digest", "owner"])
 
     shared = (
-        df.select(F.monotonically_increasing_id(), F.col(text).cast("string"))
+        df.select(F.col(text).cast("string"))
         .mapInArrow(digests, "digest binary, owner long")
         .groupBy("digest")
-        .agg(F.min("owner").alias("least"), F.max("owner").alias("most"))
-        .where(F.col("least") < F.col("most"))
+        .agg(F.min("owner").alias("least"), F.max("owner").alias("most"), F.count_if(F.col("owner").isNull()).alias("rows"))
+        .where((F.col("least") < F.col("most")) | (F.col("rows") >= REPEATS))
     )
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -107,6 +107,19 @@ def test_shared_passages_are_joined(spark, docs, odd_rows):
     assert not any(seen.flags(bpe.chunks(("Only here: " + "qwertz uiop " * 300).encode())))
 
 
+def test_texts_of_many_rows_are_encoded_once(spark, docs):
+    """A text of nine rows goes through the join as one chunk, one of two rows is encoded where it stands."""
+    often, seldom = "Often there, it's said. " * 40, "Seldom there, we don't know. " * 40
+    rows = [(i, often, "a") for i in range(9)] + [(10, seldom, "a"), (11, seldom, "b"), (12, None, "b"), (13, often[:300], "b")]
+    seen = bpe.Sharing(bpe.shared_map(docs(rows), "text", PATH))
+    e = bpe.encoder(PATH)
+    assert [d is not None for d, _ in seen.cut(e, often)] == [True] and seen.cut(e, seldom) == []
+    made = bpe.encode(docs(rows).repartition(4), PATH, decoded="decoded").collect()
+    assert len(made) == len(rows)
+    for r in made:
+        assert bytes(r.ids) == packed(ids_of(r.text)) and r.decoded == (r.text or "")
+
+
 def test_empty_tables(spark, docs, folder):
     none = docs([])
     assert bpe.decode(bpe.encode(none, PATH), PATH).collect() == []
