@@ -174,8 +174,12 @@ def gate_results(pairs: DataFrame, validated_at: Column, limits: C.GateLimits =
         return F.coalesce(value.cast("string"), F.lit("None"))
 
     def figure(value: Column) -> Column:
-        """Six decimals, so that a figure reads alike in every engine."""
-        return text(value.cast("decimal(18,6)"))
+        """Six decimals, so that a figure reads alike in every engine: whole millionths of the product of doubles, halves away from zero.
+
+        Cast at once, a double goes to a decimal by its shortest text here and by such a product elsewhere; they part next to a half.
+        """
+        millionths = F.round(value * 1e6).cast("decimal(18,0)")
+        return text((millionths * F.expr("0.000001BD")).cast("decimal(18,6)"))
 
     c = F.col
     loss = c("roc_auc") - c("champion_roc_auc")

@@ -283,6 +283,25 @@ def test_gates(spark, change, gate, status, decision):
     assert G.gate_decision(gates).first().decision == decision
 
 
+def test_figures_next_to_a_half_read_as_in_sql(spark):
+    """Metrics of whole cents by whole counts lie on halves of a millionth, but for the last bit."""
+    import duckdb
+
+    pair = {"model_name": MODEL, "champion_version": "1", "status": "READY", "run_status": "FINISHED", "area_under_pr": 0.6, "seed": 42, "git_commit": "abc"}
+    values = [0.7 + n / 1e2 / 20 / 1e3 for n in range(20_001, 32_001, 60)]
+    captures = [0.33568749999999997, *[0.3 + n / 1e2 / 20 / 9e2 for n in range(1, len(values))]]
+    made = [{**pair, "candidate_version": str(i), "roc_auc": v, "top20_capture": c, "champion_roc_auc": 0.75 + i / 2e6} for i, (v, c) in enumerate(zip(values, captures))]
+    gates = G.gate_results(spark.createDataFrame(made, PAIR), F.lit("2026-01-01").cast("timestamp"))
+    found = {(r.candidate_version, r.gate_name): r.observed_value for r in gates.collect()}
+    given = duckdb.connect()
+    given.execute("CREATE TABLE figures (version VARCHAR, gate VARCHAR, figure DOUBLE)")
+    rows = [(m["candidate_version"], g, v) for m in made for g, v in (("MIN_ROC_AUC", m["roc_auc"]), ("MIN_TOP20_CAPTURE", m["top20_capture"]), ("MAX_ROC_DEGRADATION", m["roc_auc"] - m["champion_roc_auc"]))]
+    given.executemany("INSERT INTO figures VALUES (?, ?, ?)", rows)
+    want = given.execute("SELECT version, gate, CAST(CAST(figure AS DECIMAL(18, 6)) AS VARCHAR) FROM figures").fetchall()
+    assert [(v, g, found[v, g]) for v, g, _ in want] == want
+    assert found["0", "MIN_TOP20_CAPTURE"] == "0.335688"
+
+
 def test_versions_compare_as_numbers(spark):
     v = spark.createDataFrame([(MODEL, "9", "READY"), (MODEL, "10", "READY"), (MODEL, "11", "PENDING"), (MODEL, "x", "READY")], "model_name string, version string, status string")
     assert G.newest_ready(v).first().version == 10
