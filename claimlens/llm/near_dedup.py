@@ -8,7 +8,9 @@ is only a candidate: the shingles themselves are compared before anything is lin
 
 The search goes in two rounds, the first over few fingerprints. In the second the pairs of one component are
 no longer looked at, so a large group of near copies never gives all its pairs. Groups of up to
-``simhash.SMALL`` members propose all pairs; larger ones a minimum spanning forest by distance.
+``simhash.SMALL`` members propose all pairs; larger ones a minimum spanning forest by distance. Where a pair of a forest proves
+false and its ends stay apart, links behind it may be missing: such buckets propose their members' nearest pairs, more of them
+each time, until none is left over. So components are those of all candidates.
 
 Defined results: shingles are those of ``simhash``; texts without words are copies of each other. Of each component the row
 with the smallest id is kept (null last; of rows with equal id, one).
@@ -39,6 +41,8 @@ MAX_BITS, ALSO_BITS = 15, 19
 SLACK = 1e-6
 # Fingerprints of the first round.
 FIRST = 2
+# Pairs that a member of a bucket proposes at first once a forest has failed, and how many times as many each time after that; pairs of a batch.
+NEAREST, MORE, PAIRS = 32, 32, 1 << 17
 MIXERS = np.array([xxhash.xxh64_intdigest(f"print {i}", simhash.SEED) for i in range(PRINTS)], np.uint64)
 NODE, SIZE, MARKS, ROW, TEXT = "__near_node", "__near_size", "__near_prints", "__near_row", "__near_text"
 
@@ -135,10 +139,31 @@ def spanning_pairs(rows: Near) -> np.ndarray:
     return rows.nodes[np.array(found, np.int64).reshape(-1, 2)]
 
 
-def candidates(nodes: DataFrame, first: int, last: int, share: float, largest: int) -> DataFrame:
-    """(a, b): pairs of nodes of different roots to be verified, by the fingerprints first..last-1.
+def nearest_pairs(rows: Near, most: int) -> Iterator[tuple[np.ndarray, bool]]:
+    """Of each row the ``most`` nearest candidates among the rows after it, and whether it has more; about ``PAIRS`` pairs at a time."""
+    found, n, rest = [], 0, False
+    for at in range(len(rows.nodes) - 1):
+        others = np.arange(at + 1, len(rows.nodes))
+        here = np.full(len(others), at)
+        kept = rows.among(here, others)
+        if len(kept) > most:
+            rest = True
+            kept = kept[np.argsort(rows.bits(here[kept], others[kept]), kind="stable")[:most]]
+        found.append(np.stack([rows.nodes[here[kept]], rows.nodes[others[kept]]], axis=1))
+        n += len(kept)
+        if n >= PAIRS:
+            yield np.concatenate(found), rest
+            found, n = [], 0
+    yield np.concatenate([np.empty((0, 2), np.int64), *found]), rest
+
+
+def candidates(
+    nodes: DataFrame, first: int, last: int, share: float, largest: int, only: DataFrame | None = None, most: int = 0
+) -> DataFrame:
+    """(a, b, bucket, masked, rest): pairs of nodes of different roots to be verified, by the fingerprints first..last-1.
 
-    ``nodes``: node, root, size, prints.
+    ``nodes``: node, root, size, prints. Pairs of large groups name their bucket, others have -1. With ``only``, buckets (bucket, masked),
+    no others are looked at, and members propose their ``most`` nearest pairs each; ``rest``: its bucket has more.
     """
     masks = [simhash.signed(m) for _ in range(first, last) for m in simhash.bit_pieces(BANDS)]
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -157,22 +182,37 @@ def candidates(nodes: DataFrame, first: int, last: int, share: float, largest: i
             "root",
         )
     )
+    again = only is not None
+    if again:
+        opened = only.select((F.col("bucket") - first * BANDS).alias("open_keys"), F.col("masked").alias("open_masked"))
+        buckets = buckets.join(opened, (F.col("keys") == F.col("open_keys")) & (simhash.masked(masks) == F.col("open_masked")), "left_semi")
+
+    def batch_of(pairs: np.ndarray, bucket: int = -1, masked: int = 0, rest: bool = False) -> pa.RecordBatch:
+        ends, n = np.sort(pairs, axis=1), len(pairs)
+        columns = [pa.array(ends[:, 0]), pa.array(ends[:, 1]), pa.array(np.full(n, bucket, np.int32)), pa.array(np.full(n, masked)), pa.array(np.full(n, rest))]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", "bucket", "masked", "rest"])
 
     def proposed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in simhash.whole_groups(batches):
             columns = [rows.column(c).to_numpy() for c in range(4, 9)]
             group, sizes = simhash.group_numbers(rows)
             few = np.flatnonzero((sizes[group] > 1) & (sizes[group] <= simhash.SMALL))
-            found = [np.empty((0, 2), np.int64)]
             if len(few):
-                found += all_pairs(Near([c[few] for c in columns], share), group[few])
+                found = all_pairs(Near([c[few] for c in columns], share), group[few])
+                yield batch_of(np.concatenate([np.empty((0, 2), np.int64), *found]))
+            keys, values = rows.column(0).to_numpy(), rows.column(1).to_numpy()
             starts = np.cumsum(sizes) - sizes
             for g in np.flatnonzero(sizes > simhash.SMALL).tolist():
-                found.append(spanning_pairs(Near([c[starts[g] : starts[g] + sizes[g]] for c in columns], share)))
-            pairs = np.sort(np.concatenate(found), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in (0, 1)], ["a", "b"])
+                own = Near([c[starts[g] : starts[g] + sizes[g]] for c in columns], share)
+                bucket = first * BANDS + int(keys[starts[g]]), int(values[starts[g]])
+                if not again:
+                    yield batch_of(spanning_pairs(own), *bucket)
+                else:
+                    for pairs, rest in nearest_pairs(own, most):
+                        yield batch_of(pairs, *bucket, rest)
 
-    return simhash.in_blocks(buckets, masks, largest).mapInArrow(proposed, "a long, b long").distinct()
+    made = simhash.in_blocks(buckets, masks, largest).mapInArrow(proposed, "a long, b long, bucket int, masked long, rest boolean")
+    return made.distinct()
 
 
 def verified(pairs: DataFrame, distinct: DataFrame, marked: DataFrame, text: str, width: int, share: float) -> DataFrame:
@@ -205,20 +245,41 @@ def verified(pairs: DataFrame, distinct: DataFrame, marked: DataFrame, text: str
     return joined.mapInArrow(compared, "a long, b long, near boolean")
 
 
+def left_out(forests: DataFrame, judged: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(bucket, masked): buckets with a false pair in their forest whose ends have different roots."""
+    false = judged.where(~F.col("near")).select("a", "b")
+    apart = forests.where(F.col("bucket") >= 0).join(false, ["a", "b"])
+    for end in ("a", "b"):
+        apart = apart.join(nodes.select(F.col(NODE).alias(end), F.col("root").alias(f"{end}_root")), end)
+    return apart.where(F.col("a_root") != F.col("b_root")).select("bucket", "masked").distinct()
+
+
 def near_roots(
     distinct: DataFrame, marked: DataFrame, text: str, width: int, share: float, largest: int = simhash.BUCKET
 ) -> DataFrame:
     """(node, root) of every node that is linked to another."""
-    nodes, before = distinct.withColumn("root", F.col(NODE)), None
-    for first, last in ((0, FIRST), (FIRST, PRINTS)):
-        pairs = candidates(nodes, first, last, share, largest)
-        if before is not None:
-            pairs = pairs.join(before.select("a", "b"), ["a", "b"], "left_anti")
-        judged = stored(verified(stored(pairs, "near-pairs"), distinct, marked, text, width, share), "near-judged")
-        before = judged if before is None else before.unionByName(judged)
-        roots = components(before.where("near").select("a", "b"))
+    nodes, judged, roots = distinct.withColumn("root", F.col(NODE)), None, None
+
+    def judge(proposed: DataFrame) -> None:
+        nonlocal nodes, judged, roots
+        pairs = proposed.select("a", "b").distinct()
+        if judged is not None:
+            pairs = pairs.join(judged.select("a", "b"), ["a", "b"], "left_anti")
+        new = stored(verified(stored(pairs, "near-pairs"), distinct, marked, text, width, share), "near-judged")
+        judged = new if judged is None else judged.unionByName(new)
+        roots = components(judged.where("near").select("a", "b"))
         found = roots.select(F.col("node").alias(NODE), "root")
         nodes = distinct.join(found, NODE, "left").withColumn("root", F.coalesce("root", NODE))
+
+    forests = []
+    for first, last in ((0, FIRST), (FIRST, PRINTS)):
+        forests.append(stored(candidates(nodes, first, last, share, largest), "near-proposed"))
+        judge(forests[-1])
+    opened, most = stored(left_out(forests[0].unionByName(forests[1]), judged, nodes), "near-open"), NEAREST
+    while not opened.isEmpty():
+        proposed = stored(candidates(nodes, 0, PRINTS, share, largest, opened, most), "near-proposed")
+        judge(proposed)
+        opened, most = stored(proposed.where("rest").select("bucket", "masked").distinct(), "near-open"), most * MORE
     return roots
 
 

@@ -72,3 +72,29 @@ def test_groups_of_near_copies(spark, docs):
     want = sorted(min(x for x in g if x is not None) for g in groups.values())
     assert sorted(r.doc_id for r in near_dedup.dedup(docs(rows)).collect()) == want
     assert near_dedup.dedup(docs([])).collect() == []
+
+
+def test_large_groups_next_to_the_threshold(spark, docs):
+    """Families of 120 texts in which most candidates are just below 0.8: no link that a bucket holds is left out."""
+    r = np.random.default_rng(2)
+    rows, wanted = [], 0
+    for _ in range(6):
+        words = [f"w{x}" for x in r.integers(0, 10**9, 400)]
+        sets, parent = [], list(range(120))
+
+        def root(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for i in range(120):
+            own = list(words)
+            for at in r.choice(400, int(r.integers(4, 6, endpoint=True)), replace=False):
+                own[at] = f"x{r.integers(10**9)}"
+            rows.append((len(rows), " ".join(own), "a"))
+            sets.append(shingles(rows[-1][1]))
+            for j in range(i):
+                if share(sets[i], sets[j]) >= 0.8:
+                    parent[root(i)] = root(j)
+        wanted += len({root(i) for i in range(120)})
+    assert len({r.doc_id for r in near_dedup.dedup(docs(rows)).collect()}) == wanted
