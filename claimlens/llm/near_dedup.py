@@ -9,8 +9,9 @@ is only a candidate: the shingles themselves are compared before anything is lin
 The search goes in two rounds, the first over few fingerprints. In the second the pairs of one component are
 no longer looked at, so a large group of near copies never gives all its pairs. Groups of up to
 ``simhash.SMALL`` members propose all pairs; larger ones a minimum spanning forest by distance. Where a pair of a forest proves
-false and its ends stay apart, links behind it may be missing: such buckets propose their members' nearest pairs, more of them
-each time, until none is left over. So components are those of all candidates.
+false and its ends stay apart, links behind it may be missing. In such buckets members that still have a candidate of another
+root get their shingles, all these candidates are compared in the bucket's own task, and only a forest of true links leaves it: rows
+stay in proportion to the members, however many pairs are false. So components are those of all candidates.
 
 Defined results: shingles are those of ``simhash``; texts without words are copies of each other. Of each component the row
 with the smallest id is kept (null last; of rows with equal id, one).
@@ -41,8 +42,8 @@ MAX_BITS, ALSO_BITS = 15, 19
 SLACK = 1e-6
 # Fingerprints of the first round.
 FIRST = 2
-# Pairs that a member of a bucket proposes at first once a forest has failed, and how many times as many each time after that; pairs of a batch.
-NEAREST, MORE, PAIRS = 32, 32, 1 << 17
+# Shingles of a block where a bucket's sets are compared in its task: a task holds two blocks.
+SHINGLES = 1 << 21
 MIXERS = np.array([xxhash.xxh64_intdigest(f"print {i}", simhash.SEED) for i in range(PRINTS)], np.uint64)
 NODE, SIZE, MARKS, ROW, TEXT = "__near_node", "__near_size", "__near_prints", "__near_row", "__near_text"
 
@@ -139,32 +140,42 @@ def spanning_pairs(rows: Near) -> np.ndarray:
     return rows.nodes[np.array(found, np.int64).reshape(-1, 2)]
 
 
-def nearest_pairs(rows: Near, most: int) -> Iterator[tuple[np.ndarray, bool]]:
-    """Of each row the ``most`` nearest candidates among the rows after it, and whether it has more; about ``PAIRS`` pairs at a time."""
-    found, n, rest = [], 0, False
-    for at in range(len(rows.nodes) - 1):
-        others = np.arange(at + 1, len(rows.nodes))
-        here = np.full(len(others), at)
-        kept = rows.among(here, others)
-        if len(kept) > most:
-            rest = True
-            kept = kept[np.argsort(rows.bits(here[kept], others[kept]), kind="stable")[:most]]
-        found.append(np.stack([rows.nodes[here[kept]], rows.nodes[others[kept]]], axis=1))
-        n += len(kept)
-        if n >= PAIRS:
-            yield np.concatenate(found), rest
-            found, n = [], 0
-    yield np.concatenate([np.empty((0, 2), np.int64), *found]), rest
-
-
-def candidates(
-    nodes: DataFrame, first: int, last: int, share: float, largest: int, only: DataFrame | None = None, most: int = 0
-) -> DataFrame:
-    """(a, b, bucket, masked, rest): pairs of nodes of different roots to be verified, by the fingerprints first..last-1.
+def with_partner(rows: Near) -> np.ndarray:
+    """Which rows of one group have a candidate of another root."""
+    found = np.zeros(len(rows.nodes), bool)
+    for at in range(len(found) - 1):
+        others = np.arange(at + 1, len(found))
+        kept = others[rows.among(np.full(len(others), at), others)]
+        found[kept] = True
+        found[at] |= len(kept) > 0
+    return found
+
+
+def true_links(rows: Near, sets: list[np.ndarray]) -> np.ndarray:
+    """A spanning forest of one group's links: candidates whose sets share enough; rows of one root count as joined."""
+    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    sizes, found = rows.sizes.astype(np.int64), []
+    starts, present = np.cumsum(sizes) - sizes, np.zeros(len(numbers), bool)
+    for at in range(len(sizes) - 1):
+        others = np.arange(at + 1, len(sizes))
+        kept = others[rows.among(np.full(len(others), at), others)]
+        if not len(kept):
+            continue
+        own, lengths = numbers[starts[at] : starts[at] + sizes[at]], sizes[kept]
+        ahead = np.cumsum(lengths) - lengths
+        places = np.repeat(starts[kept] - ahead, lengths) + np.arange(lengths.sum())
+        present[own] = True
+        both = np.add.reduceat(present[numbers[places]], ahead, dtype=np.int64)
+        present[own] = False
+        for b in kept[both >= rows.share * (sizes[at] + lengths - both) - SLACK].tolist():
+            if rows.roots[b] != rows.roots[at]:
+                found.append((at, b))
+                rows.roots[rows.roots == rows.roots[b]] = rows.roots[at]
+    return rows.nodes[np.array(found, np.int64).reshape(-1, 2)]
 
-    ``nodes``: node, root, size, prints. Pairs of large groups name their bucket, others have -1. With ``only``, buckets (bucket, masked),
-    no others are looked at, and members propose their ``most`` nearest pairs each; ``rest``: its bucket has more.
-    """
+
+def bucket_rows(nodes: DataFrame, first: int, last: int) -> tuple[DataFrame, list[int]]:
+    """Each node once for each bucket key of the fingerprints first..last-1, and the keys' masks."""
     masks = [simhash.signed(m) for _ in range(first, last) for m in simhash.bit_pieces(BANDS)]
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     number = F.explode(F.array(*[F.lit(i) for i in range(len(masks))])).alias("keys")
@@ -182,15 +193,20 @@ def candidates(
             "root",
         )
     )
-    again = only is not None
-    if again:
-        opened = only.select((F.col("bucket") - first * BANDS).alias("open_keys"), F.col("masked").alias("open_masked"))
-        buckets = buckets.join(opened, (F.col("keys") == F.col("open_keys")) & (simhash.masked(masks) == F.col("open_masked")), "left_semi")
+    return buckets, masks
+
 
-    def batch_of(pairs: np.ndarray, bucket: int = -1, masked: int = 0, rest: bool = False) -> pa.RecordBatch:
+def candidates(nodes: DataFrame, first: int, last: int, share: float, largest: int) -> DataFrame:
+    """(a, b, bucket, masked): pairs of nodes of different roots to be verified, by the fingerprints first..last-1.
+
+    ``nodes``: node, root, size, prints. Pairs of large groups name their bucket, others have -1.
+    """
+    buckets, masks = bucket_rows(nodes, first, last)
+
+    def batch_of(pairs: np.ndarray, bucket: int = -1, masked: int = 0) -> pa.RecordBatch:
         ends, n = np.sort(pairs, axis=1), len(pairs)
-        columns = [pa.array(ends[:, 0]), pa.array(ends[:, 1]), pa.array(np.full(n, bucket, np.int32)), pa.array(np.full(n, masked)), pa.array(np.full(n, rest))]
-        return pa.RecordBatch.from_arrays(columns, ["a", "b", "bucket", "masked", "rest"])
+        columns = [pa.array(ends[:, 0]), pa.array(ends[:, 1]), pa.array(np.full(n, bucket, np.int32)), pa.array(np.full(n, masked))]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", "bucket", "masked"])
 
     def proposed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in simhash.whole_groups(batches):
@@ -204,21 +220,56 @@ def candidates(
             starts = np.cumsum(sizes) - sizes
             for g in np.flatnonzero(sizes > simhash.SMALL).tolist():
                 own = Near([c[starts[g] : starts[g] + sizes[g]] for c in columns], share)
-                bucket = first * BANDS + int(keys[starts[g]]), int(values[starts[g]])
-                if not again:
-                    yield batch_of(spanning_pairs(own), *bucket)
-                else:
-                    for pairs, rest in nearest_pairs(own, most):
-                        yield batch_of(pairs, *bucket, rest)
-
-    made = simhash.in_blocks(buckets, masks, largest).mapInArrow(proposed, "a long, b long, bucket int, masked long, rest boolean")
+                yield batch_of(spanning_pairs(own), first * BANDS + int(keys[starts[g]]), int(values[starts[g]]))
+
+    made = simhash.in_blocks(buckets, masks, largest).mapInArrow(proposed, "a long, b long, bucket int, masked long")
     return made.distinct()
 
 
-def verified(pairs: DataFrame, distinct: DataFrame, marked: DataFrame, text: str, width: int, share: float) -> DataFrame:
-    """The pairs and whether their shingle sets share enough: (a, b, near)."""
-    ends = pairs.select(F.col("a").alias(NODE)).unionByName(pairs.select(F.col("b").alias(NODE))).distinct()
-    chosen = distinct.select(NODE, ROW).join(ends, NODE).select(ROW, NODE)
+def links_of_buckets(
+    nodes: DataFrame, opened: DataFrame, distinct: DataFrame, marked: DataFrame, text: str, width: int, share: float, largest: int
+) -> DataFrame:
+    """(a, b): links that join what the candidates of the buckets ``opened`` (bucket, masked) join, compared where the buckets are."""
+    buckets, masks = bucket_rows(nodes, 0, PRINTS)
+    open_buckets = opened.select(F.col("bucket").alias("open_keys"), F.col("masked").alias("open_masked"))
+    buckets = buckets.join(open_buckets, (F.col("keys") == F.col("open_keys")) & (simhash.masked(masks) == F.col("open_masked")), "left_semi")
+    names = buckets.columns
+
+    def groups(rows: pa.Table) -> Iterator[tuple[slice, Near]]:
+        columns = [rows.column(c).to_numpy() for c in range(4, 9)]
+        sizes = simhash.group_numbers(rows)[1]
+        starts = np.cumsum(sizes) - sizes
+        for g in np.flatnonzero(sizes > 1).tolist():
+            own = slice(starts[g], starts[g] + sizes[g])
+            yield own, Near([c[own].copy() for c in columns], share)
+
+    def partnered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in simhash.whole_groups(batches):
+            wanted = np.zeros(len(rows), bool)
+            for own, near in groups(rows):
+                wanted[own] = with_partner(near)
+            yield from rows.filter(pa.array(wanted)).select(names).to_batches()
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in simhash.whole_groups(batches):
+            hashes = rows.column(9)
+            for own, near in groups(rows):
+                sets = [np.frombuffer(x.as_buffer(), "<u8") for x in hashes.slice(own.start, own.stop - own.start)]
+                ends = np.sort(true_links(near, sets), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+
+    blocks = simhash.in_blocks(buckets, masks, largest)
+    # A row of a bucket of several blocks may be found by several of them.
+    rows = stored(blocks.mapInArrow(partnered, buckets.schema).distinct(), "near-partnered")
+    sets = shingle_sets(rows.select(NODE).distinct(), distinct, marked, text, width)
+    with_sets = rows.join(sets.select(F.col("node").alias(NODE), "hashes"), NODE).select(*names, "hashes")
+    blocks = simhash.in_blocks(with_sets, masks, SHINGLES, SIZE)
+    return blocks.mapInArrow(linked, "a long, b long").distinct()
+
+
+def shingle_sets(wanted: DataFrame, distinct: DataFrame, marked: DataFrame, text: str, width: int) -> DataFrame:
+    """(node, hashes) of the wanted nodes."""
+    chosen = distinct.select(NODE, ROW).join(wanted, NODE).select(ROW, NODE)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -227,7 +278,13 @@ def verified(pairs: DataFrame, distinct: DataFrame, marked: DataFrame, text: str
 
     # One row of each node is hashed again: only nodes with a candidate need their sets.
     sets = marked.select(ROW, F.col(text).alias(TEXT)).join(chosen, ROW).select(NODE, TEXT)
-    sets = stored(sets.mapInArrow(hashed, "node long, hashes binary"), "near-sets")
+    return stored(sets.mapInArrow(hashed, "node long, hashes binary"), "near-sets")
+
+
+def verified(pairs: DataFrame, distinct: DataFrame, marked: DataFrame, text: str, width: int, share: float) -> DataFrame:
+    """The pairs and whether their shingle sets share enough: (a, b, near)."""
+    ends = pairs.select(F.col("a").alias(NODE)).unionByName(pairs.select(F.col("b").alias(NODE))).distinct()
+    sets = shingle_sets(ends, distinct, marked, text, width)
 
     def side(name: str) -> DataFrame:
         return sets.select(F.col("node").alias(name), F.col("hashes").alias(f"{name}_hashes"))
@@ -275,11 +332,10 @@ def near_roots(
     for first, last in ((0, FIRST), (FIRST, PRINTS)):
         forests.append(stored(candidates(nodes, first, last, share, largest), "near-proposed"))
         judge(forests[-1])
-    opened, most = stored(left_out(forests[0].unionByName(forests[1]), judged, nodes), "near-open"), NEAREST
-    while not opened.isEmpty():
-        proposed = stored(candidates(nodes, 0, PRINTS, share, largest, opened, most), "near-proposed")
-        judge(proposed)
-        opened, most = stored(proposed.where("rest").select("bucket", "masked").distinct(), "near-open"), most * MORE
+    opened = stored(left_out(forests[0].unionByName(forests[1]), judged, nodes), "near-open")
+    if not opened.isEmpty():
+        more = links_of_buckets(nodes, opened, distinct, marked, text, width, share, largest)
+        roots = components(judged.where("near").select("a", "b").unionByName(stored(more, "near-links")))
     return roots
 
 

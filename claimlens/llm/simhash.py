@@ -132,10 +132,14 @@ def masked(masks: list[int]) -> Column:
     return F.col("fp").bitwiseAND(F.element_at(F.array(*[F.lit(m) for m in masks]), F.col("keys") + 1))
 
 
-def in_blocks(buckets: DataFrame, masks: list[int], largest: int) -> DataFrame:
-    """Rows by bucket and pair of blocks: (keys, masked, first, last, fp, ...). Small buckets are one block."""
+def in_blocks(buckets: DataFrame, masks: list[int], largest: int, weight: str | None = None) -> DataFrame:
+    """Rows by bucket and pair of blocks: (keys, masked, first, last, fp, ...). Small buckets are one block.
+
+    A block has about ``largest`` rows at most, or so much of ``weight`` if that is given.
+    """
     prints = buckets.columns[1:]
-    sizes = buckets.groupBy("keys", masked(masks).alias("masked")).agg(F.count("*").alias("n"))
+    total = F.count("*") if weight is None else F.sum(weight)
+    sizes = buckets.groupBy("keys", masked(masks).alias("masked")).agg(total.alias("n"))
     # Few or none; written, so that their size is known before the join.
     large = stored(sizes.where(F.col("n") > largest), "large-buckets")
     large = large.select(F.col("keys").alias("large_keys"), F.col("masked").alias("large_masked"), "n")

@@ -98,3 +98,36 @@ def test_large_groups_next_to_the_threshold(spark, docs):
                     parent[root(i)] = root(j)
         wanted += len({root(i) for i in range(120)})
     assert len({r.doc_id for r in near_dedup.dedup(docs(rows)).collect()}) == wanted
+
+
+def family(n, r):
+    """Texts of one family, most pairs just below 0.8."""
+    words, texts = [f"w{x}" for x in r.integers(0, 10**9, 400)], []
+    for _ in range(n):
+        own = list(words)
+        for at in r.choice(400, int(r.integers(5, 6, endpoint=True)), replace=False):
+            own[at] = f"x{r.integers(10**9)}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_false_candidates_of_a_family_stay_in_their_task(spark, docs, monkeypatch):
+    """However many pairs are false, no step hands on more rows than a member has buckets; cut buckets give the same rows."""
+    r, seen, stored = np.random.default_rng(5), [], near_dedup.stored
+
+    def counted(df, name):
+        table = stored(df, name)
+        seen.append((name, table.count()))
+        return table
+
+    def kept(texts):
+        seen.clear()
+        return sorted(x.doc_id for x in near_dedup.dedup(docs([(i, t, "a") for i, t in enumerate(texts)])).collect())
+
+    monkeypatch.setattr(near_dedup, "stored", counted)
+    texts = family(400, r)
+    want = kept(texts)
+    assert any(n for name, n in seen if name == "near-open")
+    assert max(n for _, n in seen) <= near_dedup.PRINTS * near_dedup.BANDS * len(texts)
+    monkeypatch.setattr(near_dedup, "SHINGLES", 20_000)
+    assert kept(texts) == want
