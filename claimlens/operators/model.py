@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -18,6 +18,8 @@ from claimlens.functions.scoring import probability_of_one
 from claimlens.operators.evaluation import curve_areas
 from claimlens.operators.ranking import order_statistics
 from claimlens.operators.reports import equivalence_summary, require_equivalent, score_difference
+from claimlens.session import run_folder
+from claimlens.sources.tables import write_and_read
 
 
 # Training rows are placed in so many partitions at least, and in more where a partition would hold more rows than this.
@@ -119,39 +121,62 @@ class Trained:
         return {"placement": self.placement, "seed": seed}
 
 
+def scored_by_all(models: dict[str, Transformer], prepare: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` and, per model, ``prediction_<name>`` and ``score_<name>``; the rows are prepared once for all."""
+    added = prepare.transform(df)
+    for name, model in models.items():
+        # The next model writes columns of the same names.
+        added = model.transform(added).withColumn(f"score_{name}", probability_of_one()).withColumnRenamed("prediction", f"prediction_{name}")
+        added = added.drop("rawPrediction", "probability")
+    return added.select(*keep, *[f"{c}_{n}" for n in models for c in ("prediction", "score")])
+
+
+def areas_of(scored: DataFrame, names: list[str]) -> dict[str, Row]:
+    """Exact areas of all models from the stored scores of ``scored_by_all``."""
+    cells = ", ".join(f"'{n}', score_{n}" for n in names)
+    long = scored.select("label", F.expr(f"stack({len(names)}, {cells}) as (model, score)"))
+    return {r["model"]: r for r in curve_areas(long, "score", "label", ["model"]).collect()}
+
+
 def fit_all(
     train: DataFrame, test: DataFrame, features: list[str] = C.FEATURES, names: list[str] | None = None, seed: int = C.SEED, key: str = C.KEY,
     placement: int | None = None,
 ) -> list[Trained]:
-    """Fit every classifier on the same prepared rows and measure it on the test rows.
+    """Fit every classifier on the same prepared rows and measure it on the test rows."""
+    return fit_and_score(train, test, [key, "label"], features, names, seed, key, placement)[0]
+
+
+def fit_and_score(
+    train: DataFrame, test: DataFrame, keep: list[str], features: list[str] = C.FEATURES, names: list[str] | None = None, seed: int = C.SEED,
+    key: str = C.KEY, placement: int | None = None,
+) -> tuple[list[Trained], DataFrame]:
+    """``fit_all``, and the test rows' columns ``keep`` (label among them) with the prediction and score of every model.
 
     The preparation is fitted on the rows as they lie; only the prepared vectors are shuffled, once,
-    and cached (with spill) for all fits. The test predictions of all models are evaluated together, by exact areas.
+    and cached (with spill) for all fits. The test rows are predicted once, by all models, and stored: areas and later
+    tables read the stored scores. Features come out as doubles.
     """
     doubles = [F.col(f).cast("double").alias(f) for f in features]
     preparation = fit_preparation(train.select(*doubles), features)
     prepare = PipelineModel(preparation)
 
-    def vectors(df: DataFrame) -> DataFrame:
-        return prepare.transform(df.select(key, "label", *doubles)).select(key, "label", "features")
-
+    vectors = prepare.transform(train.select(key, "label", *doubles)).select(key, "label", "features")
     # The count of a stored table is read from its footers.
     placement = placement or placement_of(train.count())
-    ready = placed_by_key(vectors(train), placement, key).persist(StorageLevel.MEMORY_AND_DISK)
-    ready_test = vectors(test).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = placed_by_key(vectors, placement, key).persist(StorageLevel.MEMORY_AND_DISK)
     fitted = {}
     try:
         for name, classifier in classifiers(seed).items():
             if names is None or name in names:
                 fitted[name] = classifier.fit(ready)
-        scored = [m.transform(ready_test).select(F.lit(n).alias("model"), "label", probability_of_one().alias("score")) for n, m in fitted.items()]
-        areas = {r["model"]: r for r in curve_areas(reduce(DataFrame.unionByName, scored), "score", "label", ["model"]).collect()}
     finally:
         ready.unpersist()
-        ready_test.unpersist()
+    cast = test.withColumns({f: F.col(f).cast("double") for f in features})
+    scored = write_and_read(scored_by_all(fitted, prepare, cast, keep), run_folder(train.sparkSession, "scored"))
+    areas = areas_of(scored, list(fitted))
     return [
         Trained(n, PipelineModel([*preparation, m]), areas[n]["roc_auc"], areas[n]["area_under_pr"], placement) for n, m in fitted.items()
-    ]
+    ], scored
 
 
 def best_of(trained: list[Trained]) -> Trained:

@@ -266,7 +266,7 @@ def running_totals(
         return F.coalesce(F.sum(column).over(window), F.lit(0))
 
     totals = bucketed.groupBy(*by, "_b").agg(*[F.sum(s).alias(s) for s in sums])
-    totals = totals.withColumn("_run", F.floor(F.col("_b") / TOGETHER))
+    totals = totals.withColumn("_run", F.coalesce(F.floor(F.col("_b") / TOGETHER), F.lit(-1)))
     inside = totals.select("*", *[before(F.col(s), [*by, "_run"], "_b").alias(f"_{s}_run") for s in sums])
     runs = totals.groupBy(*by, "_run").agg(*[F.sum(s).alias(s) for s in sums])
     first = runs.select(

@@ -12,7 +12,7 @@ from claimlens.functions.features import existing, feature_columns, numeric_colu
 from claimlens.functions.names import clean_headers
 from claimlens.operators.contracts import check_features
 from claimlens.operators.evaluation import lift_table
-from claimlens.operators.model import Trained, apply_model, best_of, fit_all, load_model, metrics_table, model_equivalence, save_model
+from claimlens.operators.model import Trained, best_of, fit_and_score, load_model, metrics_table, model_equivalence, save_model
 from claimlens.operators.ranking import tile, time_split
 from claimlens.operators.reports import segment_table
 from claimlens.session import run_folder
@@ -55,12 +55,13 @@ def train(raw: DataFrame, key: str = C.KEY, names: list[str] | None = None, mode
     tagged = split_frame(raw, key)
     train_rows = tagged.filter("tramo = 'TRAIN'").drop("tramo")
     test_rows = tagged.filter("tramo = 'TEST'").drop("tramo")
-    trained = fit_all(train_rows, test_rows, names=names, key=key)
+    trained, by_all = fit_and_score(train_rows, test_rows, test_rows.columns, names=names, key=key)
     best = best_of(trained)
-    doubles = {f: F.col(f).cast("double") for f in C.FEATURES}
-    scored = write_and_read(apply_model(best.model, test_rows.withColumns(doubles)), run_folder(spark, "scored"))
+    own = [F.col(f"prediction_{best.name}").alias("prediction"), F.col(f"score_{best.name}").alias("score_fraude")]
+    scored = by_all.select(*test_rows.columns, *own)
     if model_path is not None:
         save_model(best.model, model_path)
+        doubles = {f: F.col(f).cast("double") for f in C.FEATURES}
         model_equivalence(best.model, load_model(model_path), test_rows.withColumns(doubles), key)
     tiled = tile(scored, "score_fraude", key)
     return TrainingResult(
