@@ -16,7 +16,7 @@ from pyspark.storagelevel import StorageLevel
 from claimlens import config as C
 from claimlens.functions.scoring import probability_of_one
 from claimlens.operators.evaluation import curve_areas
-from claimlens.operators.ranking import order_statistics
+from claimlens.operators.ranking import counted_order_statistics
 from claimlens.operators.reports import equivalence_summary, require_equivalent, score_difference
 from claimlens.session import run_folder
 from claimlens.sources.tables import write_and_read
@@ -43,7 +43,7 @@ def classifiers(seed: int = C.SEED) -> dict[str, object]:
 
 def exact_medians(df: DataFrame, features: list[str]) -> dict[str, float]:
     """The least value of each feature that at least half of its values do not exceed; all features in the same passes."""
-    found = order_statistics(df, {f: lambda n: [-(-n // 2)] if n else [] for f in features})
+    found = counted_order_statistics(df, {f: lambda n: [-(-n // 2)] if n else [] for f in features})
     empty = [f for f in features if not found[f]]
     if empty:
         raise ValueError(f"features without any value have no median: {empty}")

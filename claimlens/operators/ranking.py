@@ -27,7 +27,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimlens.operators.narrowing import BUCKETS, LEAF, Cell, Cells, plain_double, with_buckets
-from claimlens.session import shared_folder
+from claimlens.session import run_folder, shared_folder
+from claimlens.sources.tables import write_and_read
 
 # Neighbouring buckets whose totals are summed in one window.
 TOGETHER = 256
@@ -101,6 +102,45 @@ def order_statistics(
     return out
 
 
+def counted_order_statistics(df: DataFrame, ranks: dict[str, RankRule], nulls_last: bool = False) -> dict[str, dict[int, Found]]:
+    """``order_statistics`` in one pass over the table, for columns whose values repeat or that are a few of many.
+
+    Equal values become one row with a count before the shuffle. These rows are sorted and stored; the totals of the sorted partitions
+    say which partition holds a rank, and only those partitions are looked at, each by a window of its own.
+    """
+    cells = ", ".join(f"'{n}', `{n}`" for n in ranks)
+    plain = df.select(*[plain_double(F.col(n)).alias(n) for n in ranks])
+    long = plain.select(F.expr(f"stack({len(ranks)}, {cells}) as (name, value)"))
+    if not nulls_last:
+        long = long.filter("value IS NOT NULL")
+    order = F.asc_nulls_last("value")
+    counted = long.groupBy("name", "value").agg(F.count("*").alias("n")).orderBy("name", order)
+    spark = df.sparkSession
+    stored = write_and_read(counted.withColumn("part", F.spark_partition_id()), run_folder(spark, "values"))
+    # One row per column and sorted partition.
+    sizes: dict[str, list[tuple[int, int]]] = {n: [] for n in ranks}
+    for r in stored.groupBy("name", "part").agg(F.sum("n").alias("n")).orderBy("part").collect():
+        sizes[r["name"]].append((r["part"], r["n"]))
+    rows, totals = [], {}
+    for name, own in sizes.items():
+        ends = list(accumulate(n for _, n in own))
+        totals[name] = ends[-1] if ends else 0
+        for rank in sorted(set(ranks[name](totals[name]))):
+            if not 1 <= rank <= totals[name]:
+                raise ValueError(f"rank {rank} of {name} is outside 1..{totals[name]}")
+            at = bisect_left(ends, rank)
+            rows.append((name, own[at][0], rank - ends[at] + own[at][1], rank))
+    out: dict[str, dict[int, Found]] = {n: {} for n in ranks}
+    # One row per wanted rank: safe to broadcast.
+    targets = F.broadcast(spark.createDataFrame(rows, "name string, part int, local long, rank long"))
+    inside = stored.join(F.broadcast(targets.select("name", "part").distinct()), ["name", "part"], "left_semi")
+    steps = inside.withColumn("upto", F.sum("n").over(W.partitionBy("name", "part").orderBy(order)))
+    hits = steps.join(targets, ["name", "part"]).filter((F.col("local") <= F.col("upto")) & (F.col("local") > F.col("upto") - F.col("n")))
+    for r in hits.select("name", "rank", "value", (F.col("local") - F.col("upto") + F.col("n")).alias("inside"), "n").collect():
+        out[r["name"]][r["rank"]] = Found(r["value"], r["inside"], r["n"], totals[r["name"]])
+    return out
+
+
 def sample_quantiles(df: DataFrame, name: str, shares: list[float], buckets: int = BUCKETS) -> list[float | None]:
     """Exact sample quantiles: the smallest value whose share of rows is at least the given one."""
 
@@ -154,14 +194,15 @@ def group_quantiles(df: DataFrame, by: list[str], value: str, shares: list[float
 Cut = tuple["float | None", "str | None"]
 
 
-def cut_points(df: DataFrame, order: Column, tie: Column, ranks: RankRule) -> dict[int, Cut]:
-    """The (order value, tie value) pair at each wanted rank, order ascending with nulls and NaN last.
+def cut_points(df: DataFrame, order: Column, tie: Column, ranks: RankRule, counted: bool = False) -> dict[int, Cut]:
+    """The (order value, tie value) pair at each wanted rank, order ascending with nulls and NaN last; ``counted``: order values are few.
 
     ``tie`` must be unique within equal order values. It is looked at only for rows that share
     the order value of a cut; a cut at the end of a run of equal values needs none.
     """
     keyed = df.select(plain_double(order).alias("v"), tie.cast("string").alias("t"))
-    found = order_statistics(keyed, {"v": ranks}, nulls_last=True)["v"]
+    statistics = counted_order_statistics if counted else order_statistics
+    found = statistics(keyed, {"v": ranks}, nulls_last=True)["v"]
     inner = {rank: f for rank, f in found.items() if f.rank_in_ties < f.ties}
     tie_values: dict[int, str] = {}
     if inner:
@@ -188,11 +229,10 @@ def beyond_cut(order: Column, tie: Column, cut: Cut) -> Column:
 def time_split(df: DataFrame, date: str, key: str, share: float = 0.75, out: str = "tramo") -> DataFrame:
     """Tag the first ``int(share * n)`` rows by date (nulls last, key breaks ties) TRAIN, the rest TEST.
 
-    Only narrow counting passes over the dates, and the keys of one day, are needed; the table
-    itself is neither sorted nor shuffled.
+    Only the rows of each day are counted, and the keys of one day looked at; the table itself is neither sorted nor shuffled.
     """
     day = F.unix_date(F.col(date).cast("date"))
-    cuts = cut_points(df, day, F.col(key), lambda n: [int(n * share)] if int(n * share) else [])
+    cuts = cut_points(df, day, F.col(key), lambda n: [int(n * share)] if int(n * share) else [], counted=True)
     if not cuts:
         return df.withColumn(out, F.lit("TEST"))
     (cut,) = cuts.values()
