@@ -44,6 +44,16 @@ def test_test_rows_are_predicted_once(spark, monkeypatch):
     assert own.count() == again.count() and own.exceptAll(again).isEmpty()
 
 
+def test_equivalence_keeps_the_row_it_checked(spark, tmp_path):
+    raw = TR.split_frame(MQ.training_input(spark, FOLDER))
+    rows = raw.withColumns({f: F.col(f).cast("double") for f in C.FEATURES})
+    model = MD.fit_all(rows.filter("tramo = 'TRAIN'"), rows.filter("tramo = 'TEST'"), names=["logistic_regression"])[0].model
+    summary = MD.model_equivalence(model, model, rows)
+    # Nothing is left to be read: the models are not applied again when the result is used.
+    assert summary.inputFiles() == []
+    assert summary.first().asDict() == {"registros_comparados": rows.count(), "predicciones_diferentes": 0, "max_diferencia_score": 0.0}
+
+
 @pytest.mark.parametrize("nulls_last", [False, True])
 def test_counted_ranks_by_brute_force(spark, nulls_last):
     nan = float("nan")
